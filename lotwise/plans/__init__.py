@@ -4,7 +4,7 @@ from importlib import import_module
 
 from lotwise.plans.registry import CATALOGUE
 
-MODULES = ("scans", "joins", "aggregates", "subqueries", "windows")
+MODULES = ("sources", "generators", "scans", "joins", "aggregates", "subqueries", "windows")
 
 for _name in MODULES:
     import_module(f"lotwise.plans.{_name}")
