@@ -43,7 +43,7 @@ def totals_by_brand(t):
         WHERE l_extendedprice IS NOT NULL GROUP BY p_type""",
 )
 def min_and_max(t):
-    # The WHERE on the right side makes the reference's left join an inner join; the result is kept.
+    # A WHERE on the right side of a left join makes it an inner join.
     joined = t.part.join(t.lineitem, F.col("l_partkey") == F.col("p_partkey"))
     return joined.groupBy("p_type").agg(
         F.count("l_orderkey").alias("ad_count"),
