@@ -163,19 +163,33 @@ def value_frames(
 ) -> DataFrame:
     """RANGE BETWEEN ``before`` PRECEDING AND ``after`` FOLLOWING over the whole table, for additive measures.
 
-    ``value`` is an integer column (cents, days, seconds) and ``measures`` are sums or counts. Rows are first added
-    up per distinct value; each value then goes to the buckets of one frame width that can see it. A bucket holds at
-    most three widths of integers, a bound that does not grow with the table. ``ready`` prefixes the result columns.
+    ``value`` is an integer column (cents, days, seconds) and ``measures`` are sums or counts. A frame is the
+    difference of two running totals: rows are added up per distinct value, every value asks for the totals at the
+    last position inside its frame and at the last position before it, and one running total answers all questions.
+    The work is linear however many rows a frame holds. ``ready`` prefixes the result columns.
     """
-    width = max(before, after, 1)
+    names = list(measures)
     summed = df.groupBy(value).agg(*[column.alias(f"_m_{name}") for name, column in measures.items()])
-    home = F.floor(F.col(value) / width)
-    seen_by = [home] + ([home + 1] if before else []) + ([home - 1] if after else [])
-    spread = summed.withColumn("_home", home).withColumn("_bucket", F.explode(F.array(*seen_by)))
-    frame = Window.partitionBy("_bucket").orderBy(value).rangeBetween(-before, after)
-    framed = (
-        spread.withColumns({f"{ready}{name}": F.sum(f"_m_{name}").over(frame) for name in measures})
-        .where(F.col("_bucket") == F.col("_home"))
-        .select(F.col(value).alias("_value"), *[f"{ready}{name}" for name in measures])
+
+    def asking(position: Column, sign: int) -> DataFrame:
+        nothing = [F.lit(0).cast(summed.schema[f"_m_{name}"].dataType).alias(f"_m_{name}") for name in names]
+        return summed.select(position.alias("_at"), F.lit(1).alias("_asks"), F.col(value).alias("_value"), F.lit(sign).alias("_sign"), *nothing)
+
+    known = summed.select(
+        F.col(value).alias("_at"),
+        F.lit(0).alias("_asks"),
+        F.lit(None).cast(summed.schema[value].dataType).alias("_value"),
+        F.lit(0).alias("_sign"),
+        *[f"_m_{name}" for name in names],
+    )
+    line = known.unionByName(asking(F.col(value) + after, 1)).unionByName(asking(F.col(value) - before - 1, -1))
+    totals = running_totals(
+        line.select("_at", "_asks", "_value", "_sign", *[f"_m_{name}" for name in names]),
+        [],
+        ["_at", "_asks", "_value"],
+        {f"_t_{name}": F.col(f"_m_{name}") for name in names},
+    )
+    framed = totals.where("_asks = 1").groupBy("_value").agg(
+        *[F.sum(F.col(f"_t_{name}") * F.col("_sign")).alias(f"{ready}{name}") for name in names]
     )
     return df.join(framed, F.col(value) == F.col("_value"), "inner").drop("_value")

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lotwise.functions.money import mean
 from lotwise.operators.change import keep_one, upsert
 from lotwise.operators.ordered import row_numbers
 from lotwise.sources.generate import days
+from lotwise.sources.workspace import stage
 
 
 def date_key(date: Column) -> Column:
@@ -110,7 +111,7 @@ def popularity_mart(wide: DataFrame) -> DataFrame:
 def funnel_mart(wide: DataFrame) -> DataFrame:
     """Rows per status and their share of all rows; the whole comes from the few status rows, not from the fact."""
     counts = wide.groupBy("status").agg(_enrollments().alias("cnt"))
-    return counts.withColumn("pct", F.col("cnt") * F.lit(100.0) / counts.agg(F.sum("cnt")).scalar())
+    return counts.withColumn("pct", F.col("cnt") * F.lit(100.0) / F.sum("cnt").over(Window.partitionBy()))
 
 
 def unit_mart(wide: DataFrame) -> DataFrame:
@@ -160,7 +161,7 @@ def log_loads(log: DataFrame, run_id: str, counts: Sequence[tuple[str, DataFrame
             F.lit(run_id).alias("run_id"), F.lit(source).alias("source_name"), "rows_loaded"
         )
         rows = one if rows is None else rows.unionByName(one)
-    return upsert(log, rows, ["run_id", "source_name"])
+    return upsert(log, stage(rows, "load-log"), ["run_id", "source_name"])
 
 
 def last_runs(runs: DataFrame, status: str, count: int = 20) -> DataFrame:
