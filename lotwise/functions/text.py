@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-NOT_A_WORD = r"[^\p{L}\p{N}]+"
+WORD = r"[\p{L}\p{N}]+"
 
 
 def _col(value) -> Column:
@@ -16,8 +16,7 @@ def _col(value) -> Column:
 
 def words(*columns) -> Column:
     """Lower-cased words of the columns in order, repeats included, nulls skipped."""
-    text = F.lower(F.concat_ws(" ", *[_col(item) for item in columns]))
-    return F.filter(F.split(text, NOT_A_WORD), lambda word: word != "")
+    return F.regexp_extract_all(F.lower(F.concat_ws(" ", *[_col(item) for item in columns])), F.lit(WORD), 0)
 
 
 def tokens(*columns) -> Column:

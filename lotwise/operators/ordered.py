@@ -71,7 +71,7 @@ def running_totals(
     on = F.col(SLICE) == F.col("_slice_of")
     for key in keys:
         on = on & F.col(key).eqNullSafe(F.col(f"_key_{key}"))
-    return local.join(offsets, on, "left").select(
+    return local.join(F.broadcast(offsets), on, "left").select(
         *df.columns,
         *[(F.col(f"_local_{name}") + F.coalesce(F.col(f"_before_{name}"), F.lit(0))).alias(name) for name in measures],
     )
@@ -79,7 +79,18 @@ def running_totals(
 
 def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
     """ROW_NUMBER per key (or over the whole table without keys); ``order`` must be total."""
-    return running_totals(df, keys, order, {name: F.lit(1).cast("bigint")})
+    if keys:
+        return running_totals(df, keys, order, {name: F.lit(1).cast("bigint")})
+    # The slices are sorted as they are written, and the row id holds both the slice and the place in it:
+    # one shuffle, no window. What is broadcast is one row per slice.
+    cut = df.repartitionByRange(*sort_columns(order)).sortWithinPartitions(*sort_columns(order))
+    placed = stage(cut.withColumn("_id", F.monotonically_increasing_id()), "numbered")
+    slice_of, place = F.shiftright("_id", 33), F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = placed.groupBy(slice_of.alias("_slice_of")).agg(F.count("*").alias("_rows"))
+    earlier = Window.orderBy("_slice_of").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_slice_of", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+    joined = placed.join(F.broadcast(offsets), slice_of == F.col("_slice_of"))
+    return joined.select(*df.columns, (F.col("_before") + place + 1).alias(name))
 
 
 def ranks(df: DataFrame, keys: Sequence[str], value: str, descending: bool = True) -> DataFrame:

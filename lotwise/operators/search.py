@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lotwise.functions.text import words
+from lotwise.sources.workspace import stage
 
 # The usual BM25 parameters.
 K1, B = 1.2, 0.75
@@ -20,15 +21,18 @@ def _frequency(words_column: str, term: str) -> Column:
 def match(df: DataFrame, key: str, text: str, terms: Sequence[str]) -> DataFrame:
     """(key, score) of documents with at least one of the terms, scored by BM25.
 
-    Only the query terms are counted, so the corpus is never exploded: one pass for lengths and term frequencies, one
-    one-row aggregate for the corpus statistics.
+    Only the query terms are counted, so the corpus is never exploded. One pass over the texts leaves a few numbers per
+    document; those are written, and serve the corpus statistics and the scores.
     """
     terms = [term.lower() for term in terms]
     listed = df.select(F.col(key), words(text).alias("_words"))
-    counted = listed.select(
-        key,
-        F.size("_words").alias("_length"),
-        *[_frequency("_words", term).alias(f"_tf{i}") for i, term in enumerate(terms)],
+    counted = stage(
+        listed.select(
+            key,
+            F.size("_words").alias("_length"),
+            *[_frequency("_words", term).alias(f"_tf{i}") for i, term in enumerate(terms)],
+        ),
+        "term-counts",
     )
     statistics = counted.agg(
         F.struct(

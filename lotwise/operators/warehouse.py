@@ -37,8 +37,11 @@ def calendar(facts: DataFrame, first: str, last: str) -> DataFrame:
 
 
 def dimension(rows: DataFrame, natural_key: str, surrogate: str) -> DataFrame:
-    """A dimension with a surrogate key that follows the order of the natural key, so a rerun gives the same keys."""
-    return row_numbers(rows, [], [natural_key], surrogate)
+    """A dimension with a surrogate key that follows the order of the natural key, so a rerun gives the same keys.
+
+    It is written as a table: facts join it again and again, and Spark knows the size of a written table.
+    """
+    return stage(row_numbers(rows, [], [natural_key], surrogate), "dimension")
 
 
 def enrollment_fact(

@@ -133,7 +133,6 @@ def distinct_strings(t):
     # Distinct pairs first: a seller with a third of all rows is down to one row per brand before its string is built.
     pairs = (
         t.lineitem.select("l_suppkey", "l_partkey")
-        .distinct()
         .join(t.part, F.col("l_partkey") == F.col("p_partkey"))
         .select(F.col("l_suppkey").alias("s_suppkey"), "p_brand")
         .distinct()

@@ -8,6 +8,7 @@ from lotwise.functions.money import mean_rounded, money, sql_mean, sql_mean_roun
 from lotwise.operators import warehouse as dw
 from lotwise.operators.market import active_ads, average_rating
 from lotwise.plans.registry import query
+from lotwise.sources.workspace import stage, together
 
 
 def enrollment(t):
@@ -50,8 +51,12 @@ def flow_dimension(t):
 
 def star(t):
     rows = enrollment(t)
-    unit, user, flow = unit_dimension(t), user_dimension(t), flow_dimension(t)
-    dates = dw.calendar(rows, "enrolled_at", "dropped_at")
+    dates, unit, user, flow = together(
+        lambda: stage(dw.calendar(rows, "enrolled_at", "dropped_at"), "dates"),
+        lambda: unit_dimension(t),
+        lambda: user_dimension(t),
+        lambda: flow_dimension(t),
+    )
     return dw.enrollment_fact(rows, user, flow, unit), dates, user, flow, unit
 
 

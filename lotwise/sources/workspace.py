@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,3 +38,9 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = new_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def together(*builders: Callable[[], DataFrame]) -> list[DataFrame]:
+    """Runs builders that write tables side by side, so that small jobs fill the cluster."""
+    with ThreadPoolExecutor(len(builders)) as pool:
+        return list(pool.map(lambda build: build(), builders))
