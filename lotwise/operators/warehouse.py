@@ -49,15 +49,18 @@ def enrollment_fact(
 ) -> DataFrame:
     """Fact rows with date keys, surrogate keys and 0/1 flags; rows without a user, flow or unit drop out.
 
-    ``enrollment`` has (id, line, user_id, flow_id, enrolled_at, dropped_at, attendance, score, status). The flow and
-    unit dimensions are joined with each other first, so the fact meets two dimensions instead of three.
+    ``enrollment`` has (id, line, user_id, flow_id, enrolled_at, dropped_at, attendance, score, status). Each join
+    meets a written dimension of known size, so Spark can tell which of them to broadcast.
     """
     users = user.select(F.col("user_id").alias("_user"), "user_key")
-    flows = flow.join(unit.select("unit_id", "unit_key"), "unit_id").select(
-        F.col("flow_id").alias("_flow"), "flow_key", "unit_key"
-    )
+    flows = flow.select(F.col("flow_id").alias("_flow"), "flow_key", F.col("unit_id").alias("_unit"))
+    units = unit.select("unit_id", "unit_key")
     placed = enrollment.where(F.col("enrolled_at").isNotNull())
-    joined = placed.join(users, F.col("user_id") == F.col("_user")).join(flows, F.col("flow_id") == F.col("_flow"))
+    joined = (
+        placed.join(users, F.col("user_id") == F.col("_user"))
+        .join(flows, F.col("flow_id") == F.col("_flow"))
+        .join(units, F.col("unit_id") == F.col("_unit"))
+    )
     return joined.select(
         F.col("id").alias("enrollment_id"),
         "line",
