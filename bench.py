@@ -19,6 +19,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from lotwise.plans import CATALOGUE  # noqa: E402
 from lotwise.session import local_session  # noqa: E402
 from lotwise.sources.tables import Tables  # noqa: E402
+from lotwise.sources.workspace import release  # noqa: E402
 
 HEADLINE = [
     "SRC-13", "FLT-2", "JOIN-2", "JOIN-12", "JOIN-13", "AGG-2", "AGG-6", "AGG-9", "AGG-10", "AGG-11", "SUB-9", "SUB-16",
@@ -40,8 +41,11 @@ FILTERS = {
 
 def seconds_of(build) -> float:
     started = time.perf_counter()
-    build().write.format("noop").mode("overwrite").save()
-    return time.perf_counter() - started
+    result = build()
+    result.write.format("noop").mode("overwrite").save()
+    seconds = time.perf_counter() - started
+    release(result.sparkSession)
+    return seconds
 
 
 def main() -> None:

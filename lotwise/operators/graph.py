@@ -60,7 +60,10 @@ def with_neighbours(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         F.col("from_kind").alias("other_kind"),
         F.col("from_id").alias("other_id"),
     )
-    return nodes.join(forward.unionByName(backward), ["kind", "id"], "left")
+    both = forward.unionByName(backward)
+    # A hub node holds many edges: an inner join lets Spark split it, which a left outer join would not.
+    alone = nodes.join(both.select("kind", "id").distinct(), ["kind", "id"], "left_anti")
+    return nodes.join(both, ["kind", "id"]).unionByName(alone, allowMissingColumns=True)
 
 
 def merge(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -58,8 +58,9 @@ def top_k_each(
 
 def _best_of_block(vectors, key, vector, block, query_key, k) -> DataFrame:
     rows = block.select(query_key, vector).collect()
+    width = len(rows[0][1]) if rows else 1
     names = np.array([row[0] for row in rows], dtype=np.int64)
-    matrix = np.array([row[1] for row in rows], dtype=np.float64).reshape(len(rows), -1)
+    matrix = np.array([row[1] for row in rows], dtype=np.float64).reshape(len(rows), width)
     lengths = np.linalg.norm(matrix, axis=1, keepdims=True)
     matrix = np.divide(matrix, lengths, out=np.zeros_like(matrix), where=lengths > 0)
 

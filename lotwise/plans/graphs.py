@@ -103,34 +103,22 @@ def recommendations(t):
 
 @query(
     "GRF-6",
-    """WITH nodes AS (SELECT 'supplier' AS kind, s_suppkey AS id FROM supplier UNION ALL SELECT 'nation', n_nationkey FROM nation
-                      UNION ALL SELECT 'region', r_regionkey FROM region),
-            edges AS (SELECT 'supplier' AS k1, s_suppkey AS i1, 'nation' AS k2, s_nationkey AS i2 FROM supplier
-                      UNION ALL SELECT 'nation', n_nationkey, 'region', n_regionkey FROM nation WHERE n_regionkey < 3),
+    """WITH nodes AS (SELECT 'document' AS kind, doc_id AS id FROM documents
+                      UNION ALL SELECT 'quality', quality FROM labels GROUP BY quality),
+            edges AS (SELECT 'document' AS k1, doc_id AS i1, 'quality' AS k2, quality AS i2 FROM labels),
             both_ways AS (SELECT * FROM edges UNION ALL SELECT k2, i2, k1, i1 FROM edges)
-       SELECT kind, id, coalesce(k2, 'none') AS other_kind, coalesce(i2, -1) AS other_id FROM nodes
+       SELECT kind, id, coalesce(k2, 'none') AS other_kind, CAST(coalesce(i2, -1) AS BIGINT) AS other_id FROM nodes
        LEFT JOIN both_ways ON k1 = kind AND i1 = id""",
 )
 def all_nodes(t):
-    def node(kind, key):
-        return F.lit(kind).alias("kind"), F.col(key).cast("bigint").alias("id")
-
-    nodes = (
-        t.supplier.select(*node("supplier", "s_suppkey"))
-        .union(t.nation.select(*node("nation", "n_nationkey")))
-        .union(t.region.select(*node("region", "r_regionkey")))
-    )
-
-    def edge(from_kind, from_key, to_kind, to_key):
-        return (
-            F.lit(from_kind).alias("from_kind"),
-            F.col(from_key).cast("bigint").alias("from_id"),
-            F.lit(to_kind).alias("to_kind"),
-            F.col(to_key).cast("bigint").alias("to_id"),
-        )
-
-    edges = t.supplier.select(*edge("supplier", "s_suppkey", "nation", "s_nationkey")).union(
-        t.nation.where("n_regionkey < 3").select(*edge("nation", "n_nationkey", "region", "n_regionkey"))
+    document, quality = F.lit("document"), F.lit("quality")
+    grades = t.labels.select(F.col("quality").cast("bigint").alias("id")).distinct()
+    nodes = t.documents.select(document.alias("kind"), F.col("doc_id").alias("id")).union(grades.select(quality, "id"))
+    edges = t.labels.select(
+        document.alias("from_kind"),
+        F.col("doc_id").alias("from_id"),
+        quality.alias("to_kind"),
+        F.col("quality").cast("bigint").alias("to_id"),
     )
     found = graph.with_neighbours(nodes, edges)
     return found.select(

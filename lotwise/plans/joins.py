@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lotwise.functions.money import mean, mean_rounded, money, sql_mean, sql_mean_rounded, sql_total, total
+from lotwise.operators.joins import left_join_many
 from lotwise.operators.subqueries import with_each_entry
 from lotwise.plans.registry import query
 
@@ -42,8 +43,9 @@ def inner_chain(t):
 )
 def left_outer(t):
     urgent = t.orders.where("o_orderpriority = '1-URGENT'")
-    joined = t.customer.join(urgent, F.col("c_custkey") == F.col("o_custkey"), "left")
-    return joined.select("c_custkey", "c_name", "o_orderkey", "o_totalprice")
+    urgent = urgent.select("o_custkey", "o_orderkey", "o_totalprice")
+    joined = left_join_many(t.customer.select("c_custkey", "c_name"), urgent, "c_custkey", "o_custkey")
+    return joined.drop("o_custkey")
 
 
 @query(
@@ -51,8 +53,8 @@ def left_outer(t):
     """SELECT event_id, value, c_custkey, c_name FROM events RIGHT JOIN customer ON user_id = c_custkey""",
 )
 def right_outer(t):
-    joined = t.events.join(t.customer, F.col("user_id") == F.col("c_custkey"), "right")
-    return joined.select("event_id", "value", "c_custkey", "c_name")
+    readings = t.events.select("user_id", "event_id", "value")
+    return left_join_many(t.customer.select("c_custkey", "c_name"), readings, "c_custkey", "user_id").drop("user_id")
 
 
 @query("JOIN-5", "SELECT s_suppkey, r_name AS region FROM supplier CROSS JOIN region")
@@ -106,7 +108,8 @@ def above_mean(t):
     "SELECT c_custkey, c_name FROM customer WHERE EXISTS (SELECT 1 FROM events WHERE user_id = c_custkey)",
 )
 def semi(t):
-    return t.customer.join(t.events, F.col("c_custkey") == F.col("user_id"), "left_semi").select("c_custkey", "c_name")
+    users = t.events.select("user_id").distinct()
+    return t.customer.join(users, F.col("c_custkey") == F.col("user_id"), "left_semi").select("c_custkey", "c_name")
 
 
 @query(
@@ -114,7 +117,7 @@ def semi(t):
     "SELECT p_partkey, p_name FROM part WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_partkey = p_partkey AND l_tax > 0.07)",
 )
 def anti(t):
-    taxed = t.lineitem.where("l_tax > 0.07")
+    taxed = t.lineitem.where("l_tax > 0.07").select("l_partkey").distinct()
     return t.part.join(taxed, F.col("p_partkey") == F.col("l_partkey"), "left_anti").select("p_partkey", "p_name")
 
 

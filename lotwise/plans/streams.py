@@ -176,14 +176,8 @@ def counter_rates(t):
         FROM {DEALT} GROUP BY window_start""",
 )
 def mean_rate(t):
-    # Growth and number of series per window; a mean of per-series doubles would depend on their order.
-    grown = _grown(t)
-    sums = series.sliding_rates(grown, [], "ts").withColumnRenamed("rate", "_all")
-    each = series.sliding_rates(grown, ["event_type", "user_id"], "ts")
-    counts = each.groupBy("window_start").agg(F.count("*").alias("_series"))
-    return sums.join(counts, "window_start").select(
-        "window_start", (F.col("_all") / F.col("_series") * 1000).alias("mean_rate")
-    )
+    means = series.mean_rates(_grown(t), ["event_type", "user_id"], "ts")
+    return means.withColumn("mean_rate", F.col("mean_rate") * 1000)
 
 
 @query(

@@ -147,7 +147,7 @@ def greater_any_less_any(t):
 
 @query("SUB-11", "SELECT c_name, c_mktsegment FROM customer WHERE c_custkey IN (SELECT user_id FROM events)")
 def in_query(t):
-    users = t.events.select("user_id")
+    users = t.events.select("user_id").distinct()
     return t.customer.join(users, F.col("c_custkey") == F.col("user_id"), "left_semi").select("c_name", "c_mktsegment")
 
 
@@ -185,7 +185,7 @@ def row_value_in(t):
 def exists_through_join(t):
     returned = t.lineitem.where("l_returnflag = 'R' AND l_quantity > 45")
     pending = t.orders.where("o_orderstatus = 'P'")
-    sold = pending.join(returned, F.col("l_orderkey") == F.col("o_orderkey"), "left_semi")
+    sold = pending.join(returned, F.col("l_orderkey") == F.col("o_orderkey"), "left_semi").select("o_custkey").distinct()
     return t.customer.join(sold, F.col("o_custkey") == F.col("c_custkey"), "left_semi").select("c_custkey", "c_name")
 
 

@@ -14,6 +14,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 
 _local_folder: str | None = None
+_made: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -29,7 +30,9 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -40,6 +43,17 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> int:
+    """Deletes the tables this process wrote into the shared folder; call it when their results are no longer needed."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    configuration = spark.sparkContext._jsc.hadoopConfiguration()
+    gone = 0
+    while _made:
+        path = hadoop(_made.pop())
+        gone += path.getFileSystem(configuration).delete(path, True)
+    return gone
+
+
 def together(*builders: Callable[[], DataFrame]) -> list[DataFrame]:
     """Runs builders that write tables side by side, so that small jobs fill the cluster."""
     with ThreadPoolExecutor(len(builders)) as pool:

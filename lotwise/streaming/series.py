@@ -27,8 +27,8 @@ def increases(samples: DataFrame, series: Sequence[str], time: str, key: str, va
     return paired.withColumn("increase", grown).drop("_prev")
 
 
-def sliding_rates(grown: DataFrame, keys: Sequence[str], time: str, span: int = 300, step: int = 15) -> DataFrame:
-    """Growth per second in windows of ``span`` seconds that start every ``step`` seconds, summed per key.
+def sliding_growth(grown: DataFrame, keys: Sequence[str], time: str, span: int = 300, step: int = 15) -> DataFrame:
+    """Growth in windows of ``span`` seconds that start every ``step`` seconds, summed per key.
 
     Growth is added up per step before each step is dealt to the windows that contain it.
     """
@@ -36,7 +36,20 @@ def sliding_rates(grown: DataFrame, keys: Sequence[str], time: str, span: int =
     per_step = grown.groupBy(*keys, (F.floor(second / step) * step).alias("_step")).agg(F.sum("increase").alias("_sum"))
     starts = F.transform(F.sequence(F.lit(0), F.lit(span // step - 1)), lambda i: F.col("_step") - i * step)
     dealt = per_step.withColumn("window_start", F.explode(starts))
-    return dealt.groupBy(*keys, "window_start").agg((F.sum("_sum").cast("double") / span).alias("rate"))
+    return dealt.groupBy(*keys, "window_start").agg(F.sum("_sum").alias("growth"))
+
+
+def sliding_rates(grown: DataFrame, keys: Sequence[str], time: str, span: int = 300, step: int = 15) -> DataFrame:
+    """Growth per second in the same windows."""
+    growth = sliding_growth(grown, keys, time, span, step)
+    return growth.select(*keys, "window_start", (F.col("growth").cast("double") / span).alias("rate"))
+
+
+def mean_rates(grown: DataFrame, series: Sequence[str], time: str, span: int = 300, step: int = 15) -> DataFrame:
+    """Mean over the series of their growth per second. Growth is added exactly and divided once."""
+    each = sliding_growth(grown, series, time, span, step)
+    sums = each.groupBy("window_start").agg(F.sum("growth").cast("double").alias("_all"), F.count("*").alias("_series"))
+    return sums.select("window_start", (F.col("_all") / span / F.col("_series")).alias("mean_rate"))
 
 
 def last_values(samples: DataFrame, series: Sequence[str], order: Sequence[Column]) -> DataFrame:

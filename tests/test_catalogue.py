@@ -27,6 +27,7 @@ def test_entry_points(spark):
 
 
 def plan_of(spark, key):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
     df = CATALOGUE[key](spark, SMALL)
     return df._jdf.queryExecution().executedPlan().toString()
 
