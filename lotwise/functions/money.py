@@ -29,6 +29,15 @@ def mean_rounded(value, digits: int = 2) -> Column:
     return F.round(F.sum(money(value)) / F.count(_col(value)), digits).cast("double")
 
 
+def mean_of(total_column: str, count_column: str) -> Column:
+    """The mean of sums and counts gathered in an earlier step."""
+    return F.sum(total_column).cast("double") / F.sum(count_column)
+
+
+def mean_of_rounded(total_column: str, count_column: str, digits: int = 2) -> Column:
+    return F.round(F.sum(total_column).cast("decimal(28,2)") / F.sum(count_column), digits).cast("double")
+
+
 def sql_total(value: str) -> str:
     return f"CAST(sum(CAST({value} AS DECIMAL(18,2))) AS DECIMAL(28,2))"
 

@@ -4,13 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lotwise.functions.money import mean, mean_rounded, money, sql_mean, sql_mean_rounded, sql_total, total
+from lotwise.functions.money import (
+    mean, mean_of, mean_of_rounded, mean_rounded, money, sql_mean, sql_mean_rounded, sql_total, total,
+)
 from lotwise.operators.aggregates import cube_of, joined_segments, rollup_of
 from lotwise.plans.registry import query
 
 STATUS_NAMES = (("A", "active"), ("N", "in processing"), ("R", "sold"))
 
 
+def price_sums(t):
+    """Price sums per part with the columns of the part.
+
+    Lines are summed per part before they meet the parts: the join then moves one row per part instead of every line,
+    and reuses the partitioning of the sum.
+    """
+    sums = t.lineitem.groupBy("l_partkey").agg(
+        F.count("l_extendedprice").alias("n"),
+        F.sum(money("l_extendedprice")).alias("price"),
+        F.min("l_extendedprice").alias("low"),
+        F.max("l_extendedprice").alias("high"),
+    )
+    return sums.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
+
+
 @query(
     "AGG-1",
     """SELECT n_name, count(s_suppkey) AS sellers FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY n_name""",
@@ -27,11 +44,10 @@ def count_after_join(t):
         FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY p_brand""",
 )
 def totals_by_brand(t):
-    joined = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
-    return joined.groupBy("p_brand").agg(
-        F.count("*").alias("n"),
-        total("l_extendedprice").alias("total_price"),
-        mean_rounded("l_extendedprice").alias("avg_price"),
+    return price_sums(t).groupBy("p_brand").agg(
+        F.sum("n").alias("n"),
+        F.sum("price").cast("decimal(28,2)").alias("total_price"),
+        mean_of_rounded("price", "n").alias("avg_price"),
     )
 
 
@@ -44,12 +60,11 @@ def totals_by_brand(t):
 )
 def min_and_max(t):
     # A WHERE on the right side of a left join makes it an inner join.
-    joined = t.part.join(t.lineitem, F.col("l_partkey") == F.col("p_partkey"))
-    return joined.groupBy("p_type").agg(
-        F.count("l_orderkey").alias("ad_count"),
-        mean("l_extendedprice").alias("avg_price"),
-        F.min("l_extendedprice").alias("min_price"),
-        F.max("l_extendedprice").alias("max_price"),
+    return price_sums(t).groupBy("p_type").agg(
+        F.sum("n").alias("ad_count"),
+        mean_of("price", "n").alias("avg_price"),
+        F.min("low").alias("min_price"),
+        F.max("high").alias("max_price"),
     )
 
 
@@ -60,11 +75,8 @@ def min_and_max(t):
         HAVING {sql_mean("l_extendedprice")} > 52000""",
 )
 def having(t):
-    joined = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
-    grouped = joined.groupBy("p_brand").agg(
-        F.count("*").alias("n"),
-        mean_rounded("l_extendedprice").alias("avg_price"),
-        mean("l_extendedprice").alias("_mean"),
+    grouped = price_sums(t).groupBy("p_brand").agg(
+        F.sum("n").alias("n"), mean_of_rounded("price", "n").alias("avg_price"), mean_of("price", "n").alias("_mean")
     )
     return grouped.where("_mean > 52000").drop("_mean")
 

@@ -17,6 +17,8 @@ class Query:
     sql: str | None
 
     def __call__(self, spark: SparkSession, folder: str) -> DataFrame:
+        if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+            spark.conf.set("spark.sql.session.timeZone", "UTC")  # the tables hold times without a zone
         return self.build(Tables(spark, folder))
 
 

@@ -8,7 +8,7 @@ from lotwise.functions.money import mean, sql_mean
 from lotwise.plans.registry import query
 from lotwise.sources import files
 from lotwise.sources.tables import SCHEMAS
-from lotwise.sources.workspace import new_path
+from lotwise.sources.workspace import new_path, together
 
 ORDER_COLUMNS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
 ORDERS_WITH_DAY = f"SELECT {', '.join(ORDER_COLUMNS)}, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders"
@@ -162,9 +162,10 @@ def pruned_reads(t):
     def tagged(name, rows):
         return rows.select(F.lit(name).alias("layout"), "o_orderkey", "o_totalprice")
 
-    month = by_month(t).where(F.col("month") == F.lit("1997-03-01").cast("date"))
-    status = by_status(t).where("o_orderstatus = 'F' AND o_custkey = 120")
-    hashed = files.in_bucket(by_hash(t), "bucket", "o_custkey", 42, 4)
+    months, statuses, buckets = together(lambda: by_month(t), lambda: by_status(t), lambda: by_hash(t))
+    month = months.where(F.col("month") == F.lit("1997-03-01").cast("date"))
+    status = statuses.where("o_orderstatus = 'F' AND o_custkey = 120")
+    hashed = files.in_bucket(buckets, "bucket", "o_custkey", 42, 4)
     return tagged("month", month).union(tagged("status", status)).union(tagged("hash", hashed))
 
 

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lotwise.functions.money import mean, mean_rounded, sql_mean, sql_mean_rounded
+from lotwise.functions.money import mean, mean_of, mean_rounded, sql_mean, sql_mean_rounded
 from lotwise.operators.subqueries import greater_than_all, greater_than_any, less_than_any
+from lotwise.plans.aggregates import price_sums
 from lotwise.plans.registry import query
 
 
@@ -50,11 +51,7 @@ def two_ctes(t):
         SELECT p_brand, avg_price, category FROM categories""",
 )
 def cte_chain(t):
-    stats = (
-        t.part.join(t.lineitem, F.col("l_partkey") == F.col("p_partkey"))
-        .groupBy("p_brand")
-        .agg(F.count("*").alias("n"), mean("l_extendedprice").alias("avg_price"))
-    )
+    stats = price_sums(t).groupBy("p_brand").agg(F.sum("n").alias("n"), mean_of("price", "n").alias("avg_price"))
     category = F.when(F.col("avg_price") > 52500, "premium").when(F.col("avg_price") > 51500, "middle")
     return stats.where("n > 0").select("p_brand", "avg_price", category.otherwise("budget").alias("category"))
 
