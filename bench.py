@@ -48,6 +48,14 @@ def seconds_of(build) -> float:
     return seconds
 
 
+def scale_of(folder: str) -> float | str:
+    name = os.path.basename(folder.rstrip("/")).removeprefix("sf")
+    try:
+        return float(name)
+    except ValueError:
+        return name
+
+
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cores = int(os.environ.get("BENCH_CPUS", "8"))
@@ -68,7 +76,7 @@ def main() -> None:
         "value": round(sum(timed.values()), 3),
         "unit": "sec",
         "queries": timed,
-        "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf"),
+        "sf": scale_of(folder),
     }
     print(json.dumps(result))
 

@@ -174,7 +174,8 @@ def value_frames(
 ) -> DataFrame:
     """RANGE BETWEEN ``before`` PRECEDING AND ``after`` FOLLOWING over the whole table, for additive measures.
 
-    ``value`` is an integer column (cents, days, seconds) and ``measures`` are sums or counts. A frame is the
+    ``value`` is an integer column (cents, days, seconds), rows where it is null drop out, and ``measures`` are sums or
+    counts that are never null. A frame is the
     difference of two running totals: rows are added up per distinct value, every value asks for the totals at the
     last position inside its frame and at the last position before it, and one running total answers all questions.
     The work is linear however many rows a frame holds. ``ready`` prefixes the result columns.

@@ -158,7 +158,8 @@ DEALT = f"(SELECT event_type, user_id, CAST(floor(epoch(ts) / 15) * 15 AS BIGINT
 
 
 def _grown(t):
-    samples = t.events.select("event_id", "event_type", "user_id", "ts", money("value").alias("value"))
+    cents = (money("value") * 100).cast("bigint").alias("value")
+    samples = t.events.select("event_id", "event_type", "user_id", "ts", cents)
     return series.increases(samples, ["event_type", "user_id"], "ts", "event_id", "value")
 
 
@@ -167,7 +168,7 @@ def _grown(t):
     f"""SELECT event_type, window_start, CAST(sum(increase) AS DOUBLE) / 300 AS rate FROM {DEALT} GROUP BY ALL""",
 )
 def counter_rates(t):
-    return series.sliding_rates(_grown(t), ["event_type"], "ts")
+    return series.sliding_rates(_grown(t), ["event_type"], "ts", unit=100)
 
 
 @query(
@@ -176,7 +177,7 @@ def counter_rates(t):
         FROM {DEALT} GROUP BY window_start""",
 )
 def mean_rate(t):
-    means = series.mean_rates(_grown(t), ["event_type", "user_id"], "ts")
+    means = series.mean_rates(_grown(t), ["event_type", "user_id"], "ts", unit=100)
     return means.withColumn("mean_rate", F.col("mean_rate") * 1000)
 
 

@@ -34,22 +34,26 @@ def sliding_growth(grown: DataFrame, keys: Sequence[str], time: str, span: int =
     """
     second = F.unix_timestamp(F.col(time).cast("timestamp"))
     per_step = grown.groupBy(*keys, (F.floor(second / step) * step).alias("_step")).agg(F.sum("increase").alias("_sum"))
-    starts = F.transform(F.sequence(F.lit(0), F.lit(span // step - 1)), lambda i: F.col("_step") - i * step)
-    dealt = per_step.withColumn("window_start", F.explode(starts))
+    back = F.explode(F.array(*[F.lit(i * step) for i in range(span // step)]))
+    dealt = per_step.withColumn("_back", back).withColumn("window_start", F.col("_step") - F.col("_back"))
     return dealt.groupBy(*keys, "window_start").agg(F.sum("_sum").alias("growth"))
 
 
-def sliding_rates(grown: DataFrame, keys: Sequence[str], time: str, span: int = 300, step: int = 15) -> DataFrame:
-    """Growth per second in the same windows."""
+def sliding_rates(
+    grown: DataFrame, keys: Sequence[str], time: str, span: int = 300, step: int = 15, unit: int = 1
+) -> DataFrame:
+    """Growth per second in the same windows; a counter in cents has ``unit`` 100."""
     growth = sliding_growth(grown, keys, time, span, step)
-    return growth.select(*keys, "window_start", (F.col("growth").cast("double") / span).alias("rate"))
+    return growth.select(*keys, "window_start", (F.col("growth").cast("double") / unit / span).alias("rate"))
 
 
-def mean_rates(grown: DataFrame, series: Sequence[str], time: str, span: int = 300, step: int = 15) -> DataFrame:
+def mean_rates(
+    grown: DataFrame, series: Sequence[str], time: str, span: int = 300, step: int = 15, unit: int = 1
+) -> DataFrame:
     """Mean over the series of their growth per second. Growth is added exactly and divided once."""
     each = sliding_growth(grown, series, time, span, step)
     sums = each.groupBy("window_start").agg(F.sum("growth").cast("double").alias("_all"), F.count("*").alias("_series"))
-    return sums.select("window_start", (F.col("_all") / span / F.col("_series")).alias("mean_rate"))
+    return sums.select("window_start", (F.col("_all") / unit / span / F.col("_series")).alias("mean_rate"))
 
 
 def last_values(samples: DataFrame, series: Sequence[str], order: Sequence[Column]) -> DataFrame:
