@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lotwise.operators.copies import steps
 from lotwise.operators.ordered import running_totals
 
 
@@ -58,7 +59,7 @@ def joined_segments(df: DataFrame, key: str, entry: str, separator: str, length:
     placed = running_totals(counted, [key], [entry], {"_end": F.col("_n")})
     begin, end = F.col("_end") - F.col("_n"), F.col("_end")
     first, last = F.floor(begin / length), F.floor((end - 1) / length)
-    parts = placed.withColumn("segment", F.explode(F.sequence(first, last)))
+    parts = steps(placed, first, last, "segment")
     copies = F.least(end, (F.col("segment") + 1) * length) - F.greatest(begin, F.col("segment") * length)
     pieces = parts.select(
         key,

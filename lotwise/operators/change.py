@@ -11,6 +11,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lotwise.operators.copies import steps
+
 
 
 def upsert(target: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -119,7 +121,7 @@ def apply_keyless(target: DataFrame, removed: DataFrame, added: DataFrame) -> Da
         .unionByName(removed.select(*names).withColumn("_n", F.lit(-1).cast("bigint")))
     )
     left = signed.groupBy(*names).agg(F.sum("_n").alias("_n")).where(F.col("_n") > 0)
-    return left.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n")))).select(*names)
+    return steps(left, F.lit(1), F.col("_n"), "_copy").select(*names)
 
 
 def drift(stored: DataFrame, recomputed: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:

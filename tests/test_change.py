@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lotwise.operators import change, purchases
+from lotwise.operators.copies import steps
 
 
 def rows(df, *names):
@@ -88,6 +89,13 @@ def test_keyless_feed(spark):
     assert rows(change.apply_keyless(table, removed, added)) == sorted([(1, "row1"), (1, "end"), (2, "two"), (3, "x")], key=repr)
 
 
+@pytest.mark.parametrize("block", [1, 3, 100])
+def test_steps(spark, block):
+    df = spark.createDataFrame([("a", 1, 7), ("b", 5, 5), ("c", 3, 2), ("d", 0, 3)], "k string, lo int, hi int")
+    found = rows(steps(df, F.col("lo"), F.col("hi"), "n", block), "k", "n")
+    assert found == sorted([("a", n) for n in range(1, 8)] + [("b", 5)] + [("d", n) for n in range(4)], key=repr)
+
+
 def test_drift(spark):
     stored = spark.createDataFrame([(1, 5), (2, 6), (3, None)], "id int, n int")
     actual = spark.createDataFrame([(1, 5), (2, 7), (4, 1)], "id int, n int")
