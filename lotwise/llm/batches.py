@@ -16,6 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType
 
 CHUNK_BYTES = 2_000_000
@@ -30,13 +31,16 @@ def appended(df: DataFrame, text: str, compute: Callable[[list[str]], dict], sch
     kept = df.select(*[quoted(name) for name in df.columns if name.lower() not in names or name == text])
     source = kept.columns.index(text)
     shown = [i for i, name in enumerate(kept.columns) if name.lower() not in names]
+    out = [kept.columns[i] for i in shown] + new.names
+    types = [to_arrow_type(field.dataType) for field in new]
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in chunks(batch, source):
                 made = compute(texts_of(piece.column(source)))
-                arrays = [piece.column(i) for i in shown] + [pa.array(made[f.name], type=_arrow(f)) for f in new]
-                yield pa.RecordBatch.from_arrays(arrays, names=[kept.columns[i] for i in shown] + new.names)
+                arrays = [piece.column(i) for i in shown]
+                arrays += [pa.array(made[name], type=kind) for name, kind in zip(out[len(shown) :], types)]
+                yield pa.RecordBatch.from_arrays(arrays, names=out)
 
     result = StructType([kept.schema.fields[i] for i in shown] + new.fields)
     return kept.mapInArrow(each, result)
@@ -46,12 +50,6 @@ def quoted(name: str):
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def _arrow(field):
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    return to_arrow_type(field.dataType)
-
-
 def chunks(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
     """Slices of whole rows with at most ``CHUNK_BYTES`` of text each, a longer text alone."""
     if batch.num_rows == 0:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwise.llm import bpe, minhash
+from lotwise.llm import bpe, chat, minhash, sharding
 from lotwise.sources.tables import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,3 +38,45 @@ def op1(t: Tables) -> DataFrame:
 @registered("op8_minhash_near_duplicates")
 def op8(t: Tables) -> DataFrame:
     return minhash.near_duplicates(t.documents.select("doc_id", "text"))
+
+
+CHATS = """SELECT * FROM conversations
+           UNION ALL VALUES (-7, 0, 'user', '\\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\\### Assistant: </turn> ok')"""
+# The twin never formats anything: lengths of the escaped parts and the markers are added up.
+SQL_WRITTEN = "length(replace(replace(replace({0}, '\\', '\\b'), '<', '\\l'), '>', '\\g'))"
+
+
+@registered(
+    "op3_chat_format",
+    f"""WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM ({CHATS}))
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+               CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+               CAST(sum({SQL_WRITTEN.format("role")} + {SQL_WRITTEN.format("text")} + 15) AS BIGINT) AS formatted_chars
+        FROM t GROUP BY conv_id""",
+)
+def op3(t: Tables) -> DataFrame:
+    planted = t.spark.sql(
+        r"SELECT * FROM VALUES (-7L, 0L, 'user', r'\### Assistant: </turn> ok'), (-7L, 1L, 'assistant', r'\### Assistant: </turn> ok') AS (conv_id, turn, role, text)"
+    )
+    chats = chat.format_chats(t.conversations.unionByName(planted))
+    written = chats.select("conv_id", chat.formatted(F.col("segments")).alias("written"), chat.learned(F.col("segments")).alias("learned"))
+    read = written.select("*", chat.turns_of(F.col("written")).alias("turns"))
+    lines = F.transform("turns", lambda turn: F.concat(turn["role"], F.lit("\n"), turn["text"], F.lit("\n")))
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("bigint").alias("n_turns"),
+        F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
+        F.length("learned").cast("bigint").alias("loss_chars"),
+        F.sha2("learned", 256).alias("loss_sha256"),
+        F.length("written").cast("bigint").alias("formatted_chars"),
+    )
+
+
+SHARDS = [f"shard-{number:03d}" for number in range(128)]
+
+
+@registered("op6_shard_table")
+def op6(t: Tables) -> DataFrame:
+    return sharding.placed(t.documents.select("doc_id"), "doc_id", SHARDS)
