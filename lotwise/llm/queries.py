@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwise.llm import bpe, chat, minhash, sharding
+from lotwise.llm import bpe, chat, minhash, pii, sharding
 from lotwise.sources.tables import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +80,21 @@ SHARDS = [f"shard-{number:03d}" for number in range(128)]
 @registered("op6_shard_table")
 def op6(t: Tables) -> DataFrame:
     return sharding.placed(t.documents.select("doc_id"), "doc_id", SHARDS)
+
+
+def _equal(number: int):
+    return lambda kind: F.when(kind == number, kind)
+
+
+@registered("op4_pii")
+def op4(t: Tables) -> DataFrame:
+    spans = pii.with_spans(t.documents.select("doc_id", "text"), keep_text=False)
+    base = F.filter("pii_spans", lambda span: span["base"])
+    kinds = F.transform("_base", lambda span: span["kind"])
+    counts = [F.size(F.array_compact(F.transform(kinds, _equal(n)))).cast("bigint").alias(f"n_{kind}") for n, kind in enumerate(pii.KINDS)]
+    return spans.withColumn("_base", base).select(
+        "doc_id",
+        *counts,
+        F.sha2(pii.written(F.col("_base")), 256).alias("base_sha256"),
+        pii.written(F.col("pii_spans")).alias("spans"),
+    )
