@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwise.llm import bpe, chat, minhash, pii, sharding
+from lotwise.llm import bpe, chat, language, minhash, pii, quality, sharding
 from lotwise.sources.tables import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -98,3 +98,22 @@ def op4(t: Tables) -> DataFrame:
         F.sha2(pii.written(F.col("_base")), 256).alias("base_sha256"),
         pii.written(F.col("pii_spans")).alias("spans"),
     )
+
+
+def held(remainder: int, modulus: int):
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus == remainder
+
+
+@registered("op2_language")
+def op2(t: Tables) -> DataFrame:
+    docs = t.documents.select("doc_id", "text", "lang")
+    model = language.trained(docs.where(~held(1, 3)))
+    found = language.identified(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", F.coalesce(held(1, 3), F.lit(False)).alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans"))
+
+
+@registered("op7_quality")
+def op7(t: Tables) -> DataFrame:
+    docs = t.documents.select("doc_id", "text")
+    ranker = quality.trained(docs, t.labels.where(~held(0, 5)))
+    return quality.scored(docs, ranker).select("doc_id", F.coalesce(held(0, 5), F.lit(False)).alias("held_out"), "score", "predicted")
