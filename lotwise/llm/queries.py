@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwise.llm import bpe, chat, language, minhash, pii, quality, sharding
+from lotwise.llm import bpe, chat, language, minhash, pii, quality, sharding, toxicity
 from lotwise.sources.tables import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -117,3 +117,10 @@ def op7(t: Tables) -> DataFrame:
     docs = t.documents.select("doc_id", "text")
     ranker = quality.trained(docs, t.labels.where(~held(0, 5)))
     return quality.scored(docs, ranker).select("doc_id", F.coalesce(held(0, 5), F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+@registered("op10_toxicity")
+def op10(t: Tables) -> DataFrame:
+    docs = t.documents.select("doc_id", "text")
+    model = toxicity.trained(docs, t.labels.where(~held(2, 4)))
+    return toxicity.scored(docs, model).select("doc_id", F.coalesce(held(2, 4), F.lit(False)).alias("held_out"), "score", "predicted")
