@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwise.llm import bpe, chat, language, minhash, pii, quality, sharding, toxicity
+from lotwise.llm import ann, bpe, chat, decontaminate, language, minhash, pii, quality, sharding, toxicity
 from lotwise.sources.tables import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -124,3 +124,13 @@ def op10(t: Tables) -> DataFrame:
     docs = t.documents.select("doc_id", "text")
     model = toxicity.trained(docs, t.labels.where(~held(2, 4)))
     return toxicity.scored(docs, model).select("doc_id", F.coalesce(held(2, 4), F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+@registered("op5_multi_index_search")
+def op5(t: Tables) -> DataFrame:
+    return ann.nearest(t.embeddings, F.col("vec_id") % 20 == 0, 20)
+
+
+@registered("op9_decontamination")
+def op9(t: Tables) -> DataFrame:
+    return decontaminate.contaminated(t.documents, t.benchmark)
