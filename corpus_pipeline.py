@@ -1,32 +1,67 @@
-"""A training corpus from raw documents: every stage reads the Parquet that its predecessor wrote."""
+"""A training corpus from raw documents: every stage reads the Parquet that its predecessor wrote.
+
+A stage takes (spark, docs, sf_dir); all but the last return the columns of ``documents``. Null texts count as empty, null
+ids are kept and belong to no group, empty tables pass through, further columns are dropped.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwise.llm import bpe, minhash
+from lotwise.llm import bpe, decontaminate, minhash, pii, quality
 from lotwise.sources.tables import Tables
 from lotwise.sources.workspace import stage
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the ranker, learned from all labels of the folder, does not reject."""
+    docs = docs.select(*COLUMNS)
+    ranker = quality.trained(docs, Tables(spark, sf_dir).labels)
+    return quality.scored(docs, ranker).where("predicted = 1").select(*COLUMNS)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-copies stays: the one with the smallest id. Rows without an id stay."""
+    """One document of each group of near-copies stays: the one with the smallest id, and of that one row."""
+    docs = docs.select(*COLUMNS)
     found = minhash.near_duplicates(docs.select("doc_id", "text"))
-    gone = found.where("NOT kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    found = stage(found.groupBy("doc_id").agg(F.bool_and("kept").alias("kept"), F.count("*").alias("rows")), "kept")
+    plain = docs.join(found.where("doc_id IS NOT NULL AND (NOT kept OR rows > 1)").select("doc_id"), "doc_id", "left_anti")
+    repeated = docs.join(found.where("kept AND rows > 1").select("doc_id"), "doc_id", "left_semi")
+    one = F.min_by(F.struct(*COLUMNS), F.xxhash64(*COLUMNS)).alias("row")
+    return plain.select(*COLUMNS).unionByName(repeated.groupBy("doc_id").agg(one).select("row.*"))
+
+
+def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    docs = docs.select(*COLUMNS)
+    leaks = decontaminate.contaminated(docs, Tables(spark, sf_dir).benchmark).select("doc_id").distinct()
+    return docs.join(leaks, "doc_id", "left_anti").select(*COLUMNS)
+
+
+def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data replaced by its kind, ``n_chars`` counted anew where that changed the text."""
+    spans = pii.with_spans(docs.select(*COLUMNS))
+    changed = F.size("pii_spans") > 0
+    text = F.when(changed, pii.redacted(F.col("text"), F.col("pii_spans"))).otherwise(F.col("text"))
+    redacted = spans.withColumn("text", text)
+    return redacted.withColumn("n_chars", F.when(changed, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))).select(*COLUMNS)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token numbers of every text, and the text they read back to."""
+    """Token numbers of every text (unsigned 32-bit little-endian), their count, and what they read back to."""
     encoded = bpe.encode(docs.select("doc_id", "lang", "source", "text"), "word_bpe_49k.json")
-    return encoded.withColumn("n_tokens", F.expr("CAST(octet_length(token_ids) / 4 AS BIGINT)")).drop("text")
+    count = F.expr("CAST(octet_length(token_ids) / 4 AS BIGINT)").alias("n_tokens")
+    return encoded.select("doc_id", "lang", "source", count, "token_ids", "decoded")
 
 
 STAGES = [
+    ("quality", good_quality),
     ("near_duplicates", near_duplicates),
+    ("decontamination", without_benchmarks),
+    ("personal_data", without_personal_data),
     ("tokens", tokens),
 ]
 
