@@ -11,15 +11,12 @@ BLOCK = 100_000
 def steps(df: DataFrame, first: Column, last: Column, name: str, block: int = BLOCK) -> DataFrame:
     """Each row once for every whole number from ``first`` to ``last``, as the column ``name``.
 
-    Short spans are exploded where they are. A long span is first cut into blocks, and the blocks are shuffled to
-    different tasks before they are exploded.
+    Every span is cut into blocks, and the blocks are shuffled to different tasks before they are exploded.
     """
-    bounded = df.withColumn("_from", first.cast("bigint")).withColumn("_to", last.cast("bigint"))
-    length = F.col("_to") - F.col("_from") + 1
-    short = bounded.where(length.between(1, block))
+    bounded = df.withColumn("_from", first.cast("bigint")).withColumn("_to", last.cast("bigint")).where("_from <= _to")
     blocks = F.sequence(F.lit(0).cast("bigint"), F.expr(f"(_to - _from) div {block}"))
-    cut = bounded.where(length > block).withColumn("_block", F.explode(blocks))
+    cut = bounded.withColumn("_block", F.explode(blocks))
     cut = cut.withColumn("_from", F.col("_from") + F.col("_block") * block)
     cut = cut.withColumn("_to", F.least(F.col("_to"), F.col("_from") + block - 1))
-    spread = cut.repartition("_from", "_to").drop("_block")
-    return short.unionByName(spread).withColumn(name, F.explode(F.sequence("_from", "_to"))).drop("_from", "_to")
+    spread = cut.repartition("_from", "_to", F.col("_block")).drop("_block")
+    return spread.withColumn(name, F.explode(F.sequence("_from", "_to"))).drop("_from", "_to")

@@ -4,7 +4,8 @@ A window partitioned by a key sends all rows of that key to one task, and a wind
 table. The functions here cut the sorted table into slices by range partitioning on (keys, order), so one key can
 span many slices, compute inside each slice, and correct the slice borders with a table of about one row per slice.
 
-Sort orders are column names; a leading minus means descending. Nulls come first ascending and last descending.
+Sort orders are column names; a leading minus means descending. Nulls count as larger than every value, as in
+PostgreSQL: last ascending, first descending.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ def sort_columns(order: Sequence[str], backwards: bool = False) -> list[Column]:
     for name in order:
         descending = name.startswith("-")
         column = F.col(name.lstrip("-"))
-        result.append(column.desc_nulls_last() if descending != backwards else column.asc_nulls_first())
+        result.append(column.desc_nulls_first() if descending != backwards else column.asc_nulls_last())
     return result
 
 
@@ -36,6 +37,15 @@ def same_row(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
     return condition
 
 
+def joined_null_safe(left: DataFrame, right: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Inner join on equal names where nulls equal each other; the names appear once."""
+    renamed = right.select(*[F.col(name).alias(f"_on_{name}") if name in names else F.col(name) for name in right.columns])
+    on = F.lit(True)
+    for name in names:
+        on = on & F.col(name).eqNullSafe(F.col(f"_on_{name}"))
+    return left.join(renamed, on).drop(*[f"_on_{name}" for name in names])
+
+
 def slices(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """``df`` cut into range slices of (keys, order) and written once, so that every use sees the same borders.
 
@@ -93,12 +103,13 @@ def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[str], name:
     return joined.select(*df.columns, (F.col("_before") + place + 1).alias(name))
 
 
-def ranks(df: DataFrame, keys: Sequence[str], value: str, descending: bool = True) -> DataFrame:
+def ranks(df: DataFrame, keys: Sequence[str], value: str, descending: bool = True, count: Column | None = None) -> DataFrame:
     """Distinct (keys, value) rows with RANK as ``position`` and DENSE_RANK as ``dense_position``.
 
-    Counting equal values first means a value held by a third of the rows is one row here.
+    Counting equal values first means a value held by a third of the rows is one row here. ``count`` is the aggregate
+    that counts them where ``df`` already holds counted rows.
     """
-    counted = df.groupBy(*keys, value).agg(F.count("*").alias("_n"))
+    counted = df.groupBy(*keys, value).agg((F.count("*") if count is None else count).alias("_n"))
     measures = {"_upto": F.col("_n"), "dense_position": F.lit(1).cast("bigint")}
     summed = running_totals(counted, keys, [f"-{value}" if descending else value], measures)
     return summed.select(*keys, value, (F.col("_upto") - F.col("_n") + 1).alias("position"), "dense_position")
@@ -174,14 +185,15 @@ def value_frames(
 ) -> DataFrame:
     """RANGE BETWEEN ``before`` PRECEDING AND ``after`` FOLLOWING over the whole table, for additive measures.
 
-    ``value`` is an integer column (cents, days, seconds), rows where it is null drop out, and ``measures`` are sums or
-    counts that are never null. A frame is the
+    ``value`` is an integer column (cents, days, seconds); rows where it is null are a frame of their own, and
+    ``measures`` are sums or counts that are never null. A frame is the
     difference of two running totals: rows are added up per distinct value, every value asks for the totals at the
     last position inside its frame and at the last position before it, and one running total answers all questions.
     The work is linear however many rows a frame holds. ``ready`` prefixes the result columns.
     """
     names = list(measures)
-    summed = df.groupBy(value).agg(*[column.alias(f"_m_{name}") for name, column in measures.items()])
+    every = df.groupBy(value).agg(*[column.alias(f"_m_{name}") for name, column in measures.items()])
+    summed = every.where(F.col(value).isNotNull())
 
     def asking(position: Column, sign: int) -> DataFrame:
         nothing = [F.lit(0).cast(summed.schema[f"_m_{name}"].dataType).alias(f"_m_{name}") for name in names]
@@ -204,4 +216,5 @@ def value_frames(
     framed = totals.where("_asks = 1").groupBy("_value").agg(
         *[F.sum(F.col(f"_t_{name}") * F.col("_sign")).alias(f"{ready}{name}") for name in names]
     )
-    return df.join(framed, F.col(value) == F.col("_value"), "inner").drop("_value")
+    missing = every.where(F.col(value).isNull()).select(F.col(value).alias("_value"), *[F.col(f"_m_{name}").alias(f"{ready}{name}") for name in names])
+    return df.join(framed.unionByName(missing), F.col(value).eqNullSafe(F.col("_value")), "inner").drop("_value")

@@ -33,13 +33,20 @@ def less_than_any(x: Column, values: DataFrame) -> Column:
     return x < _summary(values)["high"]
 
 
-def with_each_entry(df: DataFrame, dictionary: DataFrame, limit: int = 1000) -> DataFrame:
-    """Every row of ``df`` paired with every entry of a small dictionary (the use of CROSS JOIN on lookup tables).
+def with_each_entry(df: DataFrame, dictionary: DataFrame, per_segment: int = 1000, salts: int = 16) -> DataFrame:
+    """Every row of ``df`` paired with every entry of a dictionary (the use of CROSS JOIN on lookup tables).
 
-    The dictionary travels as one array and is exploded per row; a dictionary above ``limit`` entries is refused.
+    The entries are dealt into numbered segments by their hash, about ``per_segment`` in each. A row is repeated once per
+    segment and meets it in an equi-join, where the segment exists in ``salts`` copies: no cell or task needs the whole
+    dictionary, whatever its size, and neither side meets one task.
     """
-    entries = F.collect_list(F.struct(*dictionary.columns))
-    too_large = F.raise_error(F.lit(f"dictionary has more than {limit} entries"))
-    checked = dictionary.limit(limit + 1).agg(F.when(F.count("*") > limit, too_large).otherwise(entries))
-    exploded = df.withColumn("_entry", F.explode(checked.scalar()))
-    return exploded.select(*df.columns, *[F.col(f"_entry.{name}").alias(name) for name in dictionary.columns])
+    names = dictionary.columns
+    segments = dictionary.agg(F.expr(f"CAST(count(*) div {per_segment} + 1 AS BIGINT)")).scalar()
+    entries = dictionary.select(F.struct(*names).alias("_entry"), F.monotonically_increasing_id().alias("_place"))
+    entries = entries.withColumn("_segment", F.pmod(F.xxhash64("_place", "_entry"), segments))
+    listed = entries.groupBy("_segment").agg(F.collect_list("_entry").alias("_entries"))
+    listed = listed.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    rows = df.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int"))
+    rows = rows.withColumn("_segment", F.explode(F.sequence(F.lit(0).cast("bigint"), segments - 1)))
+    paired = rows.join(listed, ["_segment", "_salt"]).withColumn("_entry", F.explode("_entries"))
+    return paired.select(*df.columns, *[F.col(f"_entry.{name}").alias(name) for name in names])

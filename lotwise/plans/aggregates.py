@@ -20,6 +20,7 @@ def price_sums(t):
     and reuses the partitioning of the sum.
     """
     sums = t.lineitem.groupBy("l_partkey").agg(
+        F.count("*").alias("rows"),
         F.count("l_extendedprice").alias("n"),
         F.sum(money("l_extendedprice")).alias("price"),
         F.min("l_extendedprice").alias("low"),
@@ -44,11 +45,12 @@ def count_after_join(t):
         FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY p_brand""",
 )
 def totals_by_brand(t):
-    return price_sums(t).groupBy("p_brand").agg(
-        F.sum("n").alias("n"),
+    sums = price_sums(t).groupBy("p_brand").agg(
+        F.sum("rows").alias("_rows"),
         F.sum("price").cast("decimal(28,2)").alias("total_price"),
         mean_of_rounded("price", "n").alias("avg_price"),
     )
+    return sums.select("p_brand", F.col("_rows").alias("n"), "total_price", "avg_price")
 
 
 @query(
@@ -76,7 +78,7 @@ def min_and_max(t):
 )
 def having(t):
     grouped = price_sums(t).groupBy("p_brand").agg(
-        F.sum("n").alias("n"), mean_of_rounded("price", "n").alias("avg_price"), mean_of("price", "n").alias("_mean")
+        F.sum("rows").alias("n"), mean_of_rounded("price", "n").alias("avg_price"), mean_of("price", "n").alias("_mean")
     )
     return grouped.where("_mean > 52000").drop("_mean")
 

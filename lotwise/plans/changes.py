@@ -411,22 +411,22 @@ def routed_feed(t):
     """SELECT 'ownerships' AS entity, o_orderkey AS vehicle_id, c_name AS detail FROM orders JOIN customer ON o_custkey = c_custkey
        UNION ALL SELECT 'mileage_log', o_orderkey, CAST(CAST(floor(o_totalprice) AS BIGINT) AS VARCHAR) FROM orders
        UNION ALL SELECT 'insurances', o_orderkey, o_orderpriority FROM orders
-       UNION ALL SELECT 'vehicle_flags', o_orderkey, CASE WHEN o_orderstatus = 'P' THEN 'true' ELSE 'false' END FROM orders""",
+       UNION ALL SELECT 'vehicle_flags', o_orderkey, CASE WHEN o_orderstatus = 'P' THEN 'true' WHEN o_orderstatus IS NOT NULL THEN 'false' END FROM orders""",
 )
 def split_wide_table(t):
-    # The wide row is read once and exploded into one row per new table.
-    wide = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+    # Only an ownership needs its owner; the rest of the wide row is exploded into one row per new table.
+    owned = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+    owned = owned.select(F.lit("ownerships").alias("entity"), F.col("o_orderkey").alias("vehicle_id"), F.col("c_name").alias("detail"))
 
     def row(entity, detail):
         return F.struct(F.lit(entity).alias("entity"), F.col("o_orderkey").alias("vehicle_id"), detail.alias("detail"))
 
     rows = F.array(
-        row("ownerships", F.col("c_name")),
         row("mileage_log", F.floor("o_totalprice").cast("bigint").cast("string")),
         row("insurances", F.col("o_orderpriority")),
         row("vehicle_flags", (F.col("o_orderstatus") == "P").cast("string")),
     )
-    return wide.select(F.inline(rows))
+    return owned.unionByName(t.orders.select(F.inline(rows)))
 
 
 YES_NO = "CASE c_mktsegment WHEN 'BUILDING' THEN 'Yes' WHEN 'FURNITURE' THEN ' no' WHEN 'MACHINERY' THEN 'y' WHEN 'HOUSEHOLD' THEN 'NO ' ELSE 'maybe' END"

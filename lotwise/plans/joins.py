@@ -39,12 +39,11 @@ def inner_chain(t):
 @query(
     "JOIN-3",
     """SELECT c_custkey, c_name, o_orderkey, o_totalprice FROM customer
-       LEFT JOIN (SELECT * FROM orders WHERE o_orderpriority = '1-URGENT') ON c_custkey = o_custkey""",
+       LEFT JOIN orders ON c_custkey = o_custkey""",
 )
 def left_outer(t):
-    urgent = t.orders.where("o_orderpriority = '1-URGENT'")
-    urgent = urgent.select("o_custkey", "o_orderkey", "o_totalprice")
-    joined = left_join_many(t.customer.select("c_custkey", "c_name"), urgent, "c_custkey", "o_custkey")
+    orders = t.orders.select("o_custkey", "o_orderkey", "o_totalprice")
+    joined = left_join_many(t.customer.select("c_custkey", "c_name"), orders, "c_custkey", "o_custkey")
     return joined.drop("o_custkey")
 
 
@@ -66,11 +65,11 @@ def every_dictionary_entry(t):
 @query(
     "JOIN-6",
     """SELECT s_suppkey, s_name, count(l_orderkey) AS active_ads
-       FROM supplier LEFT JOIN lineitem ON s_suppkey = l_suppkey AND l_returnflag = 'A' AND l_quantity > 49
+       FROM supplier LEFT JOIN lineitem ON s_suppkey = l_suppkey AND l_returnflag = 'A'
        GROUP BY s_suppkey, s_name""",
 )
 def filter_inside_on(t):
-    active = t.lineitem.where("l_returnflag = 'A' AND l_quantity > 49")
+    active = t.lineitem.where("l_returnflag = 'A'")
     counts = active.groupBy("l_suppkey").agg(F.count("*").alias("_n"))
     joined = t.supplier.join(counts, F.col("s_suppkey") == F.col("l_suppkey"), "left")
     return joined.select("s_suppkey", "s_name", F.coalesce("_n", F.lit(0)).alias("active_ads"))

@@ -205,10 +205,10 @@ def lookups(t):
     return by_key.union(by_name.select(F.lit("name").alias("access"), "c_custkey", "c_name"))
 
 
-@query("SRT-1", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey")
+@query("SRT-1", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC NULLS FIRST, o_orderkey")
 def order_by(t):
     ordered = t.orders.select("o_orderkey", "o_totalprice")
-    return ordered.orderBy(F.col("o_totalprice").desc(), "o_orderkey")
+    return ordered.orderBy(F.col("o_totalprice").desc_nulls_first(), F.col("o_orderkey").asc_nulls_last())
 
 
 @query(
@@ -286,14 +286,14 @@ def union_of_reports(t):
 
 @query(
     "SET-3",
-    """SELECT 'events' AS source, event_id AS id, user_id AS owner FROM events WHERE event_type = 'error'
-       UNION ALL SELECT 'orders', o_orderkey, o_custkey FROM orders WHERE o_orderstatus = 'P'""",
+    """SELECT 'events' AS source, event_id AS id, user_id AS owner FROM events
+       UNION ALL SELECT 'orders', o_orderkey, o_custkey FROM orders""",
 )
 def union_all(t):
-    events = t.events.where("event_type = 'error'").select(
+    events = t.events.select(
         F.lit("events").alias("source"), F.col("event_id").alias("id"), F.col("user_id").alias("owner")
     )
-    orders = t.orders.where("o_orderstatus = 'P'").select(F.lit("orders"), "o_orderkey", "o_custkey")
+    orders = t.orders.select(F.lit("orders"), "o_orderkey", "o_custkey")
     return events.union(orders)
 
 

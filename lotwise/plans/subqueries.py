@@ -14,11 +14,11 @@ from lotwise.plans.registry import query
     "SUB-1",
     f"""WITH seller_stats AS (
           SELECT s_suppkey, s_name, count(l_orderkey) AS n, coalesce({sql_mean("l_quantity")}, 0.0) AS rating
-          FROM supplier LEFT JOIN lineitem ON l_suppkey = s_suppkey AND l_returnflag = 'R' GROUP BY s_suppkey, s_name)
+          FROM supplier LEFT JOIN lineitem ON l_suppkey = s_suppkey GROUP BY s_suppkey, s_name)
         SELECT s_name, n, rating FROM seller_stats WHERE n > 0""",
 )
 def single_cte(t):
-    stats = t.lineitem.where("l_returnflag = 'R'").groupBy("l_suppkey").agg(
+    stats = t.lineitem.groupBy("l_suppkey").agg(
         F.count("*").alias("n"), mean("l_quantity").alias("rating")
     )
     joined = t.supplier.join(stats, F.col("l_suppkey") == F.col("s_suppkey"))
@@ -51,7 +51,7 @@ def two_ctes(t):
         SELECT p_brand, avg_price, category FROM categories""",
 )
 def cte_chain(t):
-    stats = price_sums(t).groupBy("p_brand").agg(F.sum("n").alias("n"), mean_of("price", "n").alias("avg_price"))
+    stats = price_sums(t).groupBy("p_brand").agg(F.sum("rows").alias("n"), mean_of("price", "n").alias("avg_price"))
     category = F.when(F.col("avg_price") > 52500, "premium").when(F.col("avg_price") > 51500, "middle")
     return stats.where("n > 0").select("p_brand", "avg_price", category.otherwise("budget").alias("category"))
 
@@ -86,11 +86,10 @@ def scalar_for_all(t):
 @query(
     "SUB-6",
     f"""SELECT s_suppkey, d.avg_quantity FROM supplier
-        LEFT JOIN (SELECT l_suppkey, {sql_mean_rounded("l_quantity")} AS avg_quantity FROM lineitem
-                   WHERE l_returnflag = 'N' GROUP BY l_suppkey) d ON d.l_suppkey = s_suppkey""",
+        LEFT JOIN (SELECT l_suppkey, {sql_mean_rounded("l_quantity")} AS avg_quantity FROM lineitem GROUP BY l_suppkey) d ON d.l_suppkey = s_suppkey""",
 )
 def derived_table(t):
-    derived = t.lineitem.where("l_returnflag = 'N'").groupBy("l_suppkey").agg(
+    derived = t.lineitem.groupBy("l_suppkey").agg(
         mean_rounded("l_quantity").alias("avg_quantity")
     )
     joined = t.supplier.join(derived, F.col("l_suppkey") == F.col("s_suppkey"), "left")
@@ -151,10 +150,11 @@ def in_query(t):
 @query(
     "SUB-12",
     """SELECT p_partkey, p_name FROM part
-       WHERE p_brand IN (SELECT p_brand FROM part GROUP BY p_brand HAVING count(*) > 80)""",
+       WHERE p_brand IN (SELECT p_brand FROM part GROUP BY p_brand HAVING count(*) > (SELECT count(*) / count(DISTINCT p_brand) FROM part WHERE p_brand IS NOT NULL))""",
 )
 def in_grouped(t):
-    common = t.part.groupBy("p_brand").agg(F.count("*").alias("n")).where("n > 80")
+    counts = t.part.where("p_brand IS NOT NULL").groupBy("p_brand").agg(F.count("*").alias("n"))
+    common = counts.where(F.col("n") > counts.agg(F.avg("n")).scalar())
     return t.part.join(common, "p_brand", "left_semi").select("p_partkey", "p_name")
 
 
@@ -163,11 +163,15 @@ def in_grouped(t):
     """SELECT l_orderkey, l_linenumber, p_type, l_returnflag FROM lineitem JOIN part ON l_partkey = p_partkey
        WHERE (p_type, l_returnflag) IN (
          SELECT p_type, l_returnflag FROM lineitem JOIN part ON l_partkey = p_partkey
-         GROUP BY p_type, l_returnflag HAVING count(*) > 3300)""",
+         GROUP BY p_type, l_returnflag
+         HAVING count(*) > (SELECT avg(n) FROM (SELECT count(*) AS n FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY p_type, l_returnflag)))""",
 )
 def row_value_in(t):
     joined = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
-    common = joined.groupBy("p_type", "l_returnflag").agg(F.count("*").alias("n")).where("n > 3300")
+    # Lines are counted per part and status before they meet the parts.
+    per_part = t.lineitem.groupBy("l_partkey", "l_returnflag").agg(F.count("*").alias("n"))
+    counts = per_part.join(t.part, F.col("l_partkey") == F.col("p_partkey")).groupBy("p_type", "l_returnflag").agg(F.sum("n").alias("n"))
+    common = counts.where(F.col("n") > counts.agg(F.avg("n")).scalar())
     return joined.join(common, ["p_type", "l_returnflag"], "left_semi").select(
         "l_orderkey", "l_linenumber", "p_type", "l_returnflag"
     )
@@ -177,10 +181,10 @@ def row_value_in(t):
     "SUB-14",
     """SELECT c_custkey, c_name FROM customer WHERE EXISTS (
          SELECT 1 FROM orders JOIN lineitem ON l_orderkey = o_orderkey
-         WHERE o_custkey = c_custkey AND l_returnflag = 'R' AND o_orderstatus = 'P' AND l_quantity > 45)""",
+         WHERE o_custkey = c_custkey AND l_returnflag = 'R' AND o_orderstatus = 'P')""",
 )
 def exists_through_join(t):
-    returned = t.lineitem.where("l_returnflag = 'R' AND l_quantity > 45")
+    returned = t.lineitem.where("l_returnflag = 'R'")
     pending = t.orders.where("o_orderstatus = 'P'")
     sold = pending.join(returned, F.col("l_orderkey") == F.col("o_orderkey"), "left_semi").select("o_custkey").distinct()
     return t.customer.join(sold, F.col("o_custkey") == F.col("c_custkey"), "left_semi").select("c_custkey", "c_name")

@@ -7,8 +7,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lotwise.functions.money import mean, money, sql_mean, sql_total, total
-from lotwise.operators.ordered import row_frames, row_numbers, tiles, value_frames, with_ranks
+from lotwise.operators.ordered import joined_null_safe, ranks, row_frames, row_numbers, tiles, value_frames
 from lotwise.plans.registry import query
+from lotwise.sources.workspace import stage
 
 
 @query(
@@ -26,7 +27,8 @@ def means_at_two_levels(t):
     )
     fine = sums.select("p_brand", "p_type", (F.col("_s").cast("double") / F.col("_n")).alias("avg_brand_type"))
     coarse = sums.groupBy("p_brand").agg((F.sum("_s").cast("double") / F.sum("_n")).alias("avg_brand"))
-    return joined.join(fine.join(coarse, "p_brand"), ["p_brand", "p_type"]).select(
+    means = joined_null_safe(fine, coarse, ["p_brand"])
+    return joined_null_safe(joined, means, ["p_brand", "p_type"]).select(
         "p_brand", "p_type", "l_orderkey", "l_linenumber", "l_extendedprice", "avg_brand_type", "avg_brand"
     )
 
@@ -44,7 +46,7 @@ def share_in_group(t):
     )
     totals = sellers.groupBy("s_nationkey").agg(F.sum("ads_count").alias("_all"))
     share = F.col("ads_count") * F.lit(100.0) / F.col("_all")
-    return sellers.join(totals, "s_nationkey").select(
+    return joined_null_safe(sellers, totals, ["s_nationkey"]).select(
         "s_suppkey", "s_name", "s_nationkey", "ads_count", share.alias("percentage")
     )
 
@@ -63,7 +65,7 @@ def share_of_total(t):
 @query(
     "WIN-4",
     """SELECT o_orderpriority, o_orderkey, o_totalprice,
-              row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_totalprice DESC, o_orderkey) AS place
+              row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_totalprice DESC NULLS FIRST, o_orderkey) AS place
        FROM orders""",
 )
 def row_number_in_group(t):
@@ -72,19 +74,23 @@ def row_number_in_group(t):
 
 
 RANK_SQL = """SELECT p_brand, l_orderkey, l_linenumber, l_quantity,
-                     {name}() OVER (PARTITION BY p_brand ORDER BY l_quantity DESC) AS in_brand,
-                     {name}() OVER (ORDER BY l_quantity DESC) AS overall
+                     {name}() OVER (PARTITION BY p_brand ORDER BY l_quantity DESC NULLS FIRST) AS in_brand,
+                     {name}() OVER (ORDER BY l_quantity DESC NULLS FIRST) AS overall
               FROM lineitem JOIN part ON l_partkey = p_partkey"""
 
 
 def _ranked(t, position):
-    rows = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select(
-        "p_brand", "l_orderkey", "l_linenumber", "l_quantity"
-    )
-    inside = with_ranks(rows, ["p_brand"], "l_quantity").withColumn("in_brand", F.col(position))
-    inside = inside.drop("position", "dense_position")
-    overall = with_ranks(inside, [], "l_quantity").withColumn("overall", F.col(position))
-    return overall.drop("position", "dense_position")
+    # Equal values are counted per part, then per brand, then overall; both rank tables hold one row per value, and the
+    # lines are joined only to them.
+    per_part = t.lineitem.groupBy("l_partkey", "l_quantity").agg(F.count("*").alias("n"))
+    counted = per_part.join(t.part, F.col("l_partkey") == F.col("p_partkey")).groupBy("p_brand", "l_quantity").agg(F.sum("n").alias("n"))
+    counted = stage(counted, "counted")
+    inside = ranks(counted, ["p_brand"], "l_quantity", count=F.sum("n")).withColumnRenamed(position, "in_brand")
+    overall = ranks(counted, [], "l_quantity", count=F.sum("n")).withColumnRenamed(position, "overall")
+    places = joined_null_safe(inside.select("p_brand", "l_quantity", "in_brand"), overall.select("l_quantity", "overall"), ["l_quantity"])
+    rows = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
+    rows = rows.select("p_brand", "l_orderkey", "l_linenumber", "l_quantity")
+    return joined_null_safe(rows, places, ["p_brand", "l_quantity"])
 
 
 @query("WIN-5", RANK_SQL.format(name="rank"))
@@ -99,8 +105,8 @@ def dense_rank(t):
 
 @query(
     "WIN-7",
-    """SELECT o_orderkey, o_totalprice, ntile(4) OVER (ORDER BY o_totalprice DESC, o_orderkey) AS quartile,
-              CASE ntile(4) OVER (ORDER BY o_totalprice DESC, o_orderkey) WHEN 1 THEN 'high' WHEN 2 THEN 'above middle'
+    """SELECT o_orderkey, o_totalprice, ntile(4) OVER (ORDER BY o_totalprice DESC NULLS FIRST, o_orderkey) AS quartile,
+              CASE ntile(4) OVER (ORDER BY o_totalprice DESC NULLS FIRST, o_orderkey) WHEN 1 THEN 'high' WHEN 2 THEN 'above middle'
                    WHEN 3 THEN 'below middle' ELSE 'low' END AS category
        FROM orders""",
 )
@@ -112,7 +118,7 @@ def quartiles(t):
 
 @query(
     "WIN-8",
-    "SELECT row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS row_num, o_orderkey, o_totalprice FROM orders",
+    "SELECT row_number() OVER (ORDER BY o_totalprice DESC NULLS FIRST, o_orderkey) AS row_num, o_orderkey, o_totalprice FROM orders",
 )
 def global_row_number(t):
     return row_numbers(t.orders.select("o_orderkey", "o_totalprice"), [], ["-o_totalprice", "o_orderkey"], "row_num")
@@ -238,7 +244,7 @@ def _extreme(t, function, name):
     rows = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select(
         "p_brand", "l_orderkey", "l_linenumber", money("l_extendedprice").alias("price")
     )
-    return rows.join(rows.groupBy("p_brand").agg(function("price").alias(name)), "p_brand")
+    return joined_null_safe(rows, rows.groupBy("p_brand").agg(function("price").alias(name)), ["p_brand"])
 
 
 @query(
@@ -262,7 +268,12 @@ def first_value(t):
 )
 def last_value(t):
     difference = (F.col("highest") - F.col("price")).cast("decimal(18,2)")
-    return _extreme(t, F.max, "highest").withColumn("below_highest", difference)
+    return _extreme(t, _last, "highest").withColumn("below_highest", difference)
+
+
+def _last(column):
+    # Nulls come last, so one null price is the last value.
+    return F.when(F.count(column) == F.count("*"), F.max(column))
 
 
 @query(

@@ -37,11 +37,15 @@ def test_null_never_passes_a_comparison(spark):
     assert rows(x.where(subqueries.greater_than_all(F.col("x"), s))) == [(9,)]
 
 
-def test_dictionary_limit(spark):
-    pairs = subqueries.with_each_entry(spark.range(3), spark.createDataFrame([("a",), ("b",)], "name string"))
-    assert pairs.count() == 6
-    with pytest.raises(Exception, match="more than 5"):
-        subqueries.with_each_entry(spark.range(3), spark.range(9).withColumnRenamed("id", "n"), limit=5).collect()
+def test_every_dictionary_entry(spark):
+    pairs = subqueries.with_each_entry(spark.range(3), spark.createDataFrame([("a",), ("b",), ("b",), (None,)], "name string"))
+    assert sorted(map(str, pairs.select("id", "name").collect())) == sorted(
+        f"Row(id={i}, name={name!r})" for i in range(3) for name in ("a", "b", "b", None)
+    )
+    large = spark.range(5000).withColumnRenamed("id", "n")
+    pairs = subqueries.with_each_entry(spark.range(7), large)
+    assert pairs.count() == pairs.distinct().count() == 35_000
+    assert subqueries.with_each_entry(spark.range(3), large.where("n < 0")).count() == 0
 
 
 def test_rules(spark):
