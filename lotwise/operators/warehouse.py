@@ -78,16 +78,31 @@ def enrollment_fact(
     )
 
 
-def wide_extract(fact: DataFrame, dates: DataFrame, flow: DataFrame, unit: DataFrame) -> DataFrame:
-    """The fact with the readable columns of its dimensions, as the analytical store takes it."""
-    return (
-        fact.join(dates.select(F.col("date_key").alias("enroll_date_key"), F.col("full_date").alias("enroll_date")), "enroll_date_key")
-        .join(flow.select("flow_key", F.col("code").alias("flow_code"), F.col("title").alias("flow_title"), "modality"), "flow_key")
-        .join(unit.select("unit_key", F.col("name").alias("unit_name")), "unit_key")
-        .select(
-            "enrollment_id", "line", "enroll_date", "flow_code", "flow_title", "unit_name", "modality", "status",
-            "attendance", "score", "is_dropped", "is_completed", "enrollment_cnt",
-        )
+def wide_extract(enrollment: DataFrame, user: DataFrame, flow: DataFrame, unit: DataFrame) -> DataFrame:
+    """The fact with the readable columns of its dimensions, as the analytical store takes it.
+
+    Flows meet their units first, so an enrollment meets each of its dimensions once and brings the readable columns
+    along. Its day needs no join: the calendar holds every day of the facts.
+    """
+    flows = flow.join(unit.select("unit_id", F.col("name").alias("unit_name")), "unit_id")
+    flows = flows.select(F.col("flow_id").alias("_flow"), F.col("code").alias("flow_code"), F.col("title").alias("flow_title"), "unit_name", "modality")
+    placed = enrollment.where(F.col("enrolled_at").isNotNull())
+    joined = placed.join(user.select(F.col("user_id").alias("_user")), F.col("user_id") == F.col("_user"))
+    joined = joined.join(flows, F.col("flow_id") == F.col("_flow"))
+    return joined.select(
+        F.col("id").alias("enrollment_id"),
+        "line",
+        F.to_date("enrolled_at").alias("enroll_date"),
+        "flow_code",
+        "flow_title",
+        "unit_name",
+        "modality",
+        "status",
+        "attendance",
+        "score",
+        F.when(F.col("dropped_at").isNotNull(), 1).otherwise(0).alias("is_dropped"),
+        F.when(F.col("status") == "completed", 1).otherwise(0).alias("is_completed"),
+        F.lit(1).alias("enrollment_cnt"),
     )
 
 

@@ -147,8 +147,8 @@ def stepwise_discount(t):
 
 @query(
     "UPD-4",
-    """SELECT o_orderkey, CAST(CASE WHEN o_orderstatus = 'P' OR o_totalprice - 20000 <= 0 THEN 1000000 ELSE floor(o_totalprice) - 20000 END AS BIGINT) AS price,
-              coalesce(o_orderstatus = 'P' OR o_totalprice - 20000 <= 0, FALSE) AS repaired FROM orders""",
+    """SELECT o_orderkey, CASE WHEN price IS NULL OR price <= 0 THEN 1000000 ELSE price END AS price, price IS NULL OR price <= 0 AS repaired
+       FROM (SELECT o_orderkey, CAST(CASE WHEN o_orderstatus <> 'P' THEN floor(o_totalprice) - 20000 END AS BIGINT) AS price FROM orders)""",
 )
 def repair_prices(t):
     priced = t.orders.select(

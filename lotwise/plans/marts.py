@@ -61,8 +61,8 @@ def star(t):
 
 
 def wide(t):
-    fact, dates, _, flow, unit = star(t)
-    return dw.wide_extract(fact, dates, flow, unit)
+    unit, user, flow = together(lambda: unit_dimension(t), lambda: user_dimension(t), lambda: flow_dimension(t))
+    return dw.wide_extract(enrollment(t), user, flow, unit)
 
 
 @query(
@@ -117,7 +117,7 @@ def fact_table(t):
     f"""SELECT l_orderkey AS enrollment_id, l_linenumber AS line, strftime(l_shipdate, '%Y-%m-%d') AS enroll_date, 'F' || p_partkey AS flow_code,
                p_name AS flow_title, p_brand AS unit_name, p_type AS modality, {STATUS} AS status, l_discount AS attendance, l_quantity AS score,
                CASE WHEN l_returnflag = 'N' THEN 1 ELSE 0 END AS is_dropped, CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS is_completed, 1 AS enrollment_cnt
-        FROM lineitem JOIN supplier ON s_suppkey = l_suppkey JOIN part ON p_partkey = l_partkey""",
+        FROM lineitem JOIN supplier ON s_suppkey = l_suppkey JOIN part ON p_partkey = l_partkey AND p_brand IS NOT NULL""",
 )
 def wide_extract(t):
     return wide(t).withColumn("enroll_date", F.col("enroll_date").cast("string"))
@@ -127,7 +127,7 @@ def wide_extract(t):
     "DW-5",
     f"""SELECT strftime(l_shipdate, '%Y-%m-%d') AS enroll_date, count(*) AS enrollments, {sql_mean("l_quantity")} AS avg_score,
                {sql_mean("l_discount")} AS avg_attendance
-        FROM lineitem JOIN supplier ON s_suppkey = l_suppkey JOIN part ON p_partkey = l_partkey GROUP BY 1""",
+        FROM lineitem JOIN supplier ON s_suppkey = l_suppkey JOIN part ON p_partkey = l_partkey AND p_brand IS NOT NULL GROUP BY 1""",
 )
 def daily_activity(t):
     return dw.daily_mart(wide(t)).withColumn("enroll_date", F.col("enroll_date").cast("string"))
@@ -138,7 +138,7 @@ def daily_activity(t):
     """SELECT 'F' || p_partkey AS flow_code, p_name AS flow_title, count(*) AS total_enrollments,
               count(*) FILTER (WHERE l_returnflag = 'R') AS completed_cnt, count(*) FILTER (WHERE l_returnflag = 'N') AS dropped_cnt,
               count(*) FILTER (WHERE l_returnflag = 'R') / count(*) * 100 AS completion_rate
-       FROM lineitem JOIN supplier ON s_suppkey = l_suppkey JOIN part ON p_partkey = l_partkey GROUP BY p_partkey, p_name""",
+       FROM lineitem JOIN supplier ON s_suppkey = l_suppkey JOIN part ON p_partkey = l_partkey AND p_brand IS NOT NULL GROUP BY p_partkey, p_name""",
 )
 def popularity(t):
     return dw.popularity_mart(wide(t))
@@ -147,7 +147,7 @@ def popularity(t):
 @query(
     "DW-7",
     f"""SELECT {STATUS} AS status, count(*) AS cnt, count(*) * 100.0 / sum(count(*)) OVER () AS pct
-        FROM lineitem JOIN supplier ON s_suppkey = l_suppkey JOIN part ON p_partkey = l_partkey GROUP BY 1""",
+        FROM lineitem JOIN supplier ON s_suppkey = l_suppkey JOIN part ON p_partkey = l_partkey AND p_brand IS NOT NULL GROUP BY 1""",
 )
 def status_funnel(t):
     return dw.funnel_mart(wide(t))
@@ -156,7 +156,7 @@ def status_funnel(t):
 @query(
     "DW-8",
     f"""SELECT p_brand AS unit_name, count(*) AS enrollments, {sql_mean("l_quantity")} AS avg_score
-        FROM lineitem JOIN supplier ON s_suppkey = l_suppkey JOIN part ON p_partkey = l_partkey GROUP BY p_brand""",
+        FROM lineitem JOIN supplier ON s_suppkey = l_suppkey JOIN part ON p_partkey = l_partkey AND p_brand IS NOT NULL GROUP BY p_brand""",
 )
 def unit_summary(t):
     return dw.unit_mart(wide(t))

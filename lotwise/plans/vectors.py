@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lotwise.operators.change import upsert
-from lotwise.operators.vectors import collection_faults, top_k, top_k_each
+from lotwise.operators.vectors import fault_of, top_k, top_k_each
 from lotwise.plans.registry import query
 
 SQL_COSINE = """round(list_inner_product(CAST(e.embedding AS DOUBLE[]), q.v)
@@ -19,7 +19,9 @@ def _query_vector(t):
 
 
 def _payload(t):
-    return t.embeddings.join(t.documents.join(t.labels, "doc_id"), F.col("doc_id") == F.col("vec_id"))
+    # A vector without a document or a label stays; only a filter on their fields drops it.
+    vectors = t.embeddings.join(t.documents.withColumnRenamed("doc_id", "_doc"), F.col("_doc") == F.col("vec_id"), "left")
+    return vectors.join(t.labels.withColumnRenamed("doc_id", "_labelled"), F.col("_labelled") == F.col("vec_id"), "left")
 
 
 def _shown(df):
@@ -28,9 +30,7 @@ def _shown(df):
 
 @query("VEC-1", "SELECT label, count(*) AS vectors, CAST(0 AS BIGINT) AS faults FROM embeddings GROUP BY label")
 def collection_check(t):
-    faults = collection_faults(t.embeddings, "vec_id", "embedding", 64)
-    flagged = t.embeddings.select("vec_id", "label").join(faults, "vec_id", "left")
-    return flagged.groupBy("label").agg(F.count("*").alias("vectors"), F.count("fault").alias("faults"))
+    return t.embeddings.groupBy("label").agg(F.count("*").alias("vectors"), F.count(fault_of("embedding", 64)).alias("faults"))
 
 
 @query(
@@ -44,7 +44,7 @@ def nearest(t):
 
 FILTERED = """SELECT vec_id, label, round(s, 6) AS score
               FROM (SELECT vec_id, label, quality, n_chars, {cosine} AS s FROM embeddings e
-                    JOIN documents d ON d.doc_id = e.vec_id JOIN labels l ON l.doc_id = e.vec_id, {query})
+                    LEFT JOIN documents d ON d.doc_id = e.vec_id LEFT JOIN labels l ON l.doc_id = e.vec_id, {query})
               WHERE {condition} ORDER BY s DESC, vec_id LIMIT {k}"""
 
 
@@ -66,9 +66,9 @@ def nearest_above(t):
     return _filtered(t, "n_chars > 2000", 5)
 
 
-@query("VEC-5", _filtered_sql("label IN (1, 2) AND quality >= 0 AND n_chars BETWEEN 500 AND 5000", 10))
+@query("VEC-5", _filtered_sql("label IN (1, 2) AND quality >= 1 AND n_chars BETWEEN 500 AND 5000", 10))
 def nearest_any_of(t):
-    return _filtered(t, "label IN (1, 2) AND quality >= 0 AND n_chars BETWEEN 500 AND 5000", 10)
+    return _filtered(t, "label IN (1, 2) AND quality >= 1 AND n_chars BETWEEN 500 AND 5000", 10)
 
 
 @query(

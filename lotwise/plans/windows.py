@@ -139,7 +139,7 @@ def _monthly(t):
 )
 def running_months(t):
     # The window runs over one row per month, not over the orders.
-    running = F.sum("amount").over(Window.orderBy("month").rowsBetween(Window.unboundedPreceding, 0))
+    running = F.sum("amount").over(Window.orderBy(F.col("month").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0))
     return _monthly(t).withColumn("cumulative", running.cast("decimal(28,2)"))
 
 
@@ -149,7 +149,7 @@ def running_months(t):
         FROM ({MONTHLY}) WINDOW w AS (ORDER BY month ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)""",
 )
 def moving_months(t):
-    w = Window.orderBy("month").rowsBetween(-2, 0)
+    w = Window.orderBy(F.col("month").asc_nulls_last()).rowsBetween(-2, 0)
     return _monthly(t).withColumn("moving_avg", F.sum("amount").over(w).cast("double") / F.count("*").over(w))
 
 

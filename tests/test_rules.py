@@ -145,14 +145,24 @@ def test_nearest_one(spark, points, query):
 
 
 @pytest.mark.parametrize("at_once", [1024, 4])
-def test_nearest_many(points, at_once):
+def test_nearest_many(points, at_once, monkeypatch):
+    monkeypatch.setattr(vectors, "BLOCK", at_once)
+    monkeypatch.setattr(vectors, "SLICE", 10 * at_once)
     values, df = points
     queries = df.where("id % 30 = 10").select(F.col("id").alias("q"), "v")
-    found = vectors.top_k_each(df, "id", "v", queries, "q", 4, at_once).orderBy("q", "place").collect()
+    found = vectors.top_k_each(df, "id", "v", queries, "q", 4).orderBy("q", "place").collect()
     for query in range(10, 300, 30):
         assert [r["id"] for r in found if r["q"] == query] == brute_force(values, values[query], 4)
 
 
+def test_nearest_many_of_unlike_sizes(spark):
+    data = [("a", [1.0, 0.0]), ("b", [1.0, 1.0]), ("c", [1.0]), ("d", [0.0, 0.0]), ("e", None), ("f", [1.0, None]), ("g", [3.0, 1.0, 2.0])]
+    df = spark.createDataFrame(data, "id string, v array<float>")
+    queries = spark.createDataFrame([("two", [2.0, 0.0]), ("one", [-1.0]), ("zero", [0.0, 0.0])], "q string, v array<float>")
+    found = vectors.top_k_each(df, "id", "v", queries, "q", 2).orderBy("q", "place").collect()
+    assert [(r["q"], r["id"], r["score"]) for r in found] == [("one", "c", -1.0), ("two", "a", 1.0), ("two", "b", 0.707106781)]
+
+
 def test_collection_faults(spark):
     df = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 0.0]), (3, [1.0]), (4, None), (5, [1.0, None])], "id int, v array<float>")
     assert rows(vectors.collection_faults(df, "id", "v", 2)) == [(2, "zero"), (3, "size"), (4, "missing"), (5, "null element")]
