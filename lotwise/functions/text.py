@@ -47,9 +47,15 @@ def trigrams(value) -> Column:
 
 def trigram_similarity(left, right) -> Column:
     """Shared pieces over all pieces, 0 when there are none."""
-    a, b = trigrams(left), trigrams(right)
-    together = F.size(F.array_union(a, b))
-    return F.when(together == 0, 0.0).otherwise(F.size(F.array_intersect(a, b)).cast("double") / together)
+
+    # The list of one pair is a name for the two sets, so that each is made once per row.
+    def of_pair(pair: Column) -> Column:
+        shared = F.size(F.array_intersect(pair["a"], pair["b"]))
+        together = F.size(pair["a"]) + F.size(pair["b"]) - shared
+        return F.when(together == 0, 0.0).otherwise(shared.cast("double") / together)
+
+    pairs = F.array(F.struct(trigrams(left).alias("a"), trigrams(right).alias("b")))
+    return F.transform(pairs, of_pair)[0]
 
 
 def one_space(value) -> Column:

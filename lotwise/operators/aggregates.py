@@ -49,13 +49,16 @@ def cube_of(df, labels, sums, lows=None, highs=None) -> DataFrame:
     return _levels(df, labels, sums, lows or {}, highs or {}, "cube")
 
 
-def joined_segments(df: DataFrame, key: str, entry: str, separator: str, length: int) -> DataFrame:
+def joined_segments(
+    df: DataFrame, key: str, entry: str, separator: str, length: int, count: Column | None = None
+) -> DataFrame:
     """STRING_AGG(entry ORDER BY entry) per key, in numbered segments of ``length`` entries.
 
     The string of a large group does not fit one cell or one task; its segments, read in order, are that string.
     Equal entries are counted first, then placed by running totals, and each count is dealt out to its segments.
+    ``count`` is the aggregate that counts them where ``df`` already holds counted rows. Null entries take no part.
     """
-    counted = df.groupBy(key, entry).agg(F.count("*").alias("_n"))
+    counted = df.where(F.col(entry).isNotNull()).groupBy(key, entry).agg((F.count("*") if count is None else count).alias("_n"))
     placed = running_totals(counted, [key], [entry], {"_end": F.col("_n")})
     begin, end = F.col("_end") - F.col("_n"), F.col("_end")
     first, last = F.floor(begin / length), F.floor((end - 1) / length)

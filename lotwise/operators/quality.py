@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# The patterns are the rules.
 EMAIL = r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}$"
 PHONE = r"^\+[0-9]{10,15}$"
 
@@ -24,6 +25,11 @@ def violations(df: DataFrame, key: str, rules: Mapping[str, Column]) -> DataFram
     return df.select(F.col(key), F.explode(broken).alias("rule"))
 
 
+def broken(df: DataFrame, holds: Column) -> DataFrame:
+    """The rows themselves that break one rule."""
+    return df.where(~F.coalesce(holds, F.lit(True)))
+
+
 def present(column: str) -> Column:
     """The value is neither null nor blank."""
     return F.coalesce(F.trim(F.col(column)) != "", F.lit(False))

@@ -25,7 +25,7 @@ def match(df: DataFrame, key: str, text: str, terms: Sequence[str]) -> DataFrame
     document; those are written, and serve the corpus statistics and the scores.
     """
     terms = [term.lower() for term in terms]
-    listed = df.select(F.col(key), words(text).alias("_words"))
+    listed = df.select(key, text).repartition(key).select(F.col(key), words(text).alias("_words"))
     counted = stage(
         listed.select(
             key,
@@ -64,11 +64,14 @@ def bool_query(df: DataFrame, must: Sequence[Column], should: Sequence[tuple[Col
 def postings(df: DataFrame, key: str, text: str, segment: int = 1024) -> DataFrame:
     """Inverted index: for each term and range of ``segment`` document ids, the ids with their term frequency.
 
-    A common word occurs in a third of the documents; its posting list is kept in segments that stay small.
+    A common word occurs in a third of the documents; its posting list is kept in segments that stay small. The texts
+    are spread by document first, so that counting needs no shuffle of its own and few large files make many tasks; the
+    postings are shuffled once.
     """
-    listed = df.select(F.col(key), F.explode(words(text)).alias("term"))
-    counted = listed.groupBy("term", key).agg(F.count("*").alias("tf"))
-    part = F.floor(F.col(key) / segment).alias("segment")
+    spread = df.select(key, text).repartition(key)
+    listed = spread.select(F.col(key), F.explode(words(text)).alias("term"))
+    counted = listed.groupBy(key, "term").agg(F.count("*").alias("tf"))
+    part = F.expr(f"`{key}` div {segment}").alias("segment")
     gathered = counted.groupBy("term", part).agg(
         F.count("*").alias("documents"),
         F.sum("tf").alias("occurrences"),

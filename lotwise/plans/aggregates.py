@@ -8,6 +8,7 @@ from lotwise.functions.money import (
     mean, mean_of, mean_of_rounded, mean_rounded, money, sql_mean, sql_mean_rounded, sql_total, total,
 )
 from lotwise.operators.aggregates import cube_of, joined_segments, rollup_of
+from lotwise.operators.ordered import joined_null_safe
 from lotwise.plans.registry import query
 
 STATUS_NAMES = (("A", "active"), ("N", "in processing"), ("R", "sold"))
@@ -161,15 +162,20 @@ def distinct_strings(t):
     "AGG-10",
     """WITH entries AS (
          SELECT p_brand, concat(p_name, ' (', p_size, ')') AS entry FROM part JOIN lineitem ON l_partkey = p_partkey),
-       numbered AS (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY entry) - 1 AS place FROM entries)
+       numbered AS (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY entry) - 1 AS place FROM entries),
+       totals AS (SELECT p_brand AS brand, count(*) AS vehicles, """ + sql_mean_rounded("l_extendedprice") + """ AS avg_price
+                  FROM part JOIN lineitem ON l_partkey = p_partkey GROUP BY p_brand)
        SELECT p_brand, CAST(place // 1000 AS BIGINT) AS segment, count(*) AS entries,
-              string_agg(entry, '; ' ORDER BY place) AS models
-       FROM numbered GROUP BY p_brand, place // 1000""",
+              string_agg(entry, '; ' ORDER BY place) AS models, any_value(vehicles) AS vehicles, any_value(avg_price) AS avg_price
+       FROM numbered JOIN totals ON brand IS NOT DISTINCT FROM p_brand GROUP BY p_brand, place // 1000""",
 )
 def composed_strings(t):
     entry = F.concat("p_name", F.lit(" ("), F.col("p_size").cast("string"), F.lit(")")).alias("entry")
-    listed = t.part.join(t.lineitem, F.col("l_partkey") == F.col("p_partkey")).select("p_brand", entry)
-    return joined_segments(listed, "p_brand", "entry", "; ", 1000).withColumnRenamed("text", "models")
+    # Lines are counted per part before they meet the parts.
+    sums = price_sums(t).select("p_brand", entry, "rows", "price", "n")
+    totals = sums.groupBy("p_brand").agg(F.sum("rows").alias("vehicles"), mean_of_rounded("price", "n").alias("avg_price"))
+    segments = joined_segments(sums, "p_brand", "entry", "; ", 1000, count=F.sum("rows")).withColumnRenamed("text", "models")
+    return joined_null_safe(segments, totals, ["p_brand"])
 
 
 @query(
@@ -223,11 +229,18 @@ def by_month(t):
         FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderpriority""",
 )
 def longest_duration(t):
-    joined = t.orders.join(t.lineitem, F.col("l_orderkey") == F.col("o_orderkey"))
+    # One row per order meets the orders: its last line makes its longest duration.
+    lines = t.lineitem.groupBy("l_orderkey").agg(
+        F.sum(money("l_quantity")).alias("distance"),
+        F.count("l_quantity").alias("measured"),
+        F.count("*").alias("trips"),
+        F.max("l_shipdate").alias("last"),
+    )
+    joined = t.orders.join(lines, F.col("l_orderkey") == F.col("o_orderkey"))
     return joined.groupBy("o_orderpriority").agg(
-        mean_rounded("l_quantity").alias("avg_distance"),
-        F.count("*").alias("trip_count"),
-        F.expr("max(timestampdiff(SECOND, o_orderdate, l_shipdate))").alias("max_duration_sec"),
+        mean_of_rounded("distance", "measured").alias("avg_distance"),
+        F.sum("trips").alias("trip_count"),
+        F.expr("max(timestampdiff(SECOND, o_orderdate, last))").alias("max_duration_sec"),
     )
 
 

@@ -160,6 +160,36 @@ def repair_prices(t):
     return change.update_where(priced, bad, {"price": F.lit(1000000).cast("bigint"), "repaired": F.lit(True)})
 
 
+PRICE_REQUESTS = """SELECT event_id AS request, user_id * 7 AS ad, CAST(floor(value) AS BIGINT) - 20 AS wanted FROM events"""
+
+
+@query(
+    "UPD-6",
+    f"""WITH requests AS ({PRICE_REQUESTS}),
+             judged AS (SELECT r.*, CASE WHEN o_orderkey IS NULL THEN 'unknown ad' WHEN wanted IS NULL OR wanted < 0 THEN 'bad price' END AS reason
+                        FROM requests r LEFT JOIN orders ON o_orderkey = ad),
+             placed AS (SELECT *, CASE WHEN reason IS NULL THEN row_number() OVER (PARTITION BY ad, reason IS NULL ORDER BY request DESC) END AS place FROM judged),
+             final AS (SELECT request, ad, wanted, coalesce(reason, CASE WHEN place > 1 THEN 'overtaken' ELSE 'updated' END) AS outcome FROM placed)
+        SELECT request, ad, outcome, CAST(floor(o_totalprice) AS BIGINT) AS old_price, CASE WHEN outcome = 'updated' THEN wanted END AS new_price
+        FROM final LEFT JOIN orders ON o_orderkey = ad""",
+)
+def price_changes(t):
+    """Every request gets an outcome; of several good ones for an ad the last wins."""
+    requests = t.events.select(
+        F.col("event_id").alias("request"), (F.col("user_id") * 7).alias("ad"), (F.floor("value").cast("bigint") - 20).alias("wanted")
+    )
+    ads = t.orders.select(F.col("o_orderkey").alias("_ad"), F.floor("o_totalprice").cast("bigint").alias("old_price"))
+    known = requests.join(ads, F.col("ad") == F.col("_ad"), "left")
+    reason = F.when(F.col("_ad").isNull(), "unknown ad").when(F.coalesce(F.col("wanted") < 0, F.lit(True)), "bad price")
+    judged = known.withColumn("reason", reason)
+    # The winner of an ad is a maximum, combined before the shuffle, so an ad with a third of all requests is no problem.
+    last = judged.where("reason IS NULL").groupBy(F.col("ad").alias("_of")).agg(F.max("request").alias("_last"))
+    placed = judged.join(last, F.col("ad") == F.col("_of"), "left")
+    outcome = F.coalesce("reason", F.when(F.col("request") == F.col("_last"), "updated").otherwise("overtaken"))
+    changed = placed.withColumn("outcome", outcome)
+    return changed.select("request", "ad", "outcome", "old_price", F.when(F.col("outcome") == "updated", F.col("wanted")).alias("new_price"))
+
+
 @query(
     "UPD-5",
     "SELECT c_custkey, coalesce(nullif(c_mktsegment, 'BUILDING'), 'UNIT' || c_custkey) AS code FROM customer",

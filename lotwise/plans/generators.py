@@ -56,6 +56,29 @@ def modulo_rows(t):
     return checks.withColumn("sold_at", F.unix_micros(F.col("sold_at").cast("timestamp")))
 
 
+@query(
+    "GEN-3-members",
+    """SELECT g AS id, 'Member ' || g AS full_name,
+              CASE WHEN g % 15 = 0 THEN 'premium' WHEN g % 4 = 0 THEN 'plus' ELSE 'base' END AS member_level,
+              CASE WHEN g % 8 = 0 THEN 'KZN' WHEN g % 5 = 0 THEN 'MSK' ELSE 'NNV' END AS city_code
+       FROM (SELECT c_custkey + 1 AS g FROM customer)""",
+)
+def members(t):
+    return g.club_members(_counter(t.customer, "c_custkey", 1))
+
+
+@query(
+    "GEN-3-visits",
+    """SELECT g AS id, g * 17 % 22000 + 1 AS member_id, CAST((g * 13 % 150000) / 100.0 AS DECIMAL(10,2)) AS spend,
+              CASE WHEN g % 6 = 0 THEN 'gym' WHEN g % 5 = 0 THEN 'pool' ELSE 'group' END AS visit_type,
+              epoch_us(TIMESTAMP '2025-01-01' + to_days(CAST(g % 90 AS INTEGER)) + to_seconds(g * 43 % 86400)) AS visit_at
+       FROM (SELECT event_id + 1 AS g FROM events)""",
+)
+def visits(t):
+    made = g.club_visits(_counter(t.events, "event_id", 1))
+    return made.withColumn("visit_at", F.unix_micros(F.col("visit_at").cast("timestamp")))
+
+
 @query(
     "GEN-4",
     f"""SELECT o_orderkey, CASE WHEN {sql_chance("o_orderkey", 1, 70)}
@@ -80,7 +103,7 @@ def nulls_at_a_rate(t):
 
 @query(
     "GEN-6",
-    f"""SELECT event_id, ['Moscow', 'London', 'Berlin', 'Paris', 'Tokyo'][{sql_scramble("event_id", 6)} % 5 + 1] AS city
+    f"""SELECT event_id, ['Lisbon', 'Oslo', 'Quito', 'Hanoi', 'Perth'][{sql_scramble("event_id", 6)} % 5 + 1] AS city
         FROM events""",
 )
 def array_pick(t):
@@ -111,7 +134,7 @@ def nested_json(t):
     return t.customer.select("c_custkey", F.to_json(profile).alias("profile"))
 
 
-INTERESTS = ("math", "cs", "physics", "art", "history", "music", "movies", "football", "cars", "trains", "cooking", "politics")
+INTERESTS = ("sailing", "chess", "gardens", "pottery", "choir", "maps", "robots", "cycling", "baking", "stars", "birds", "dance")
 
 
 @query(
@@ -141,7 +164,7 @@ def templated_ads(t):
     f"""SELECT event_id + 1 AS trip_id, epoch(TIMESTAMP '2024-02-01') - {sql_scramble("event_id", 11)} % 2592000 AS start_second,
                {sql_scramble("event_id", 12)} % 7200 AS duration,
                CAST(({sql_scramble("event_id", 13)} % 4901 + 100) / 100.0 AS DECIMAL(10,2)) AS distance_km,
-               ['Moscow', 'London', 'Berlin', 'Paris', 'Tokyo'][{sql_scramble("event_id", 14)} % 5 + 1] AS city
+               ['Lisbon', 'Oslo', 'Quito', 'Hanoi', 'Perth'][{sql_scramble("event_id", 14)} % 5 + 1] AS city
         FROM events""",
 )
 def trip_table(t):

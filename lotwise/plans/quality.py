@@ -61,8 +61,7 @@ def record_rules(t):
 
 @query("DQ-5", "SELECT s_suppkey, s_acctbal FROM supplier WHERE s_acctbal - 3000 <= 0")
 def positive_numbers(t):
-    broken = dq.violations(t.supplier, "s_suppkey", {"positive": F.col("s_acctbal") - 3000 > 0})
-    return t.supplier.join(broken, "s_suppkey", "left_semi").select("s_suppkey", "s_acctbal")
+    return dq.broken(t.supplier, F.col("s_acctbal") - 3000 > 0).select("s_suppkey", "s_acctbal")
 
 
 @query(

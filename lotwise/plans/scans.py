@@ -304,12 +304,12 @@ def union_all(t):
        SELECT c_custkey, c_name FROM customer JOIN events ON c_custkey = user_id""",
 )
 def intersect(t):
-    sold = t.customer.join(
-        t.orders.where("o_orderstatus = 'F'"), F.col("c_custkey") == F.col("o_custkey")
-    ).select("c_custkey", "c_name")
-    users = t.events.select("user_id").distinct()
-    seen = t.customer.join(users, F.col("c_custkey") == F.col("user_id")).select("c_custkey", "c_name")
-    return sold.intersect(seen)
+    # A join only to find who has a match is a semi join on distinct keys.
+    def having(keys, column):
+        return t.customer.join(keys.distinct(), F.col("c_custkey") == F.col(column), "left_semi").select("c_custkey", "c_name")
+
+    sold = having(t.orders.where("o_orderstatus = 'F'").select("o_custkey"), "o_custkey")
+    return sold.intersect(having(t.events.select("user_id"), "user_id"))
 
 
 @query(
@@ -319,6 +319,8 @@ def intersect(t):
        SELECT p_partkey, p_brand, p_name FROM part JOIN lineitem ON p_partkey = l_partkey WHERE l_quantity > 48""",
 )
 def subtract(t):
-    sold = t.part.join(t.lineitem, F.col("p_partkey") == F.col("l_partkey"))
-    large = sold.where("l_quantity > 48").select("p_partkey", "p_brand", "p_name")
-    return sold.select("p_partkey", "p_brand", "p_name").subtract(large)
+    def having(lines):
+        keys = lines.select("l_partkey").distinct()
+        return t.part.join(keys, F.col("p_partkey") == F.col("l_partkey"), "left_semi").select("p_partkey", "p_brand", "p_name")
+
+    return having(t.lineitem).subtract(having(t.lineitem.where("l_quantity > 48")))
