@@ -120,7 +120,7 @@ def throughput(t):
 @query("ST-5-stream", THROUGHPUT)
 def throughput_streamed(t):
     done = event_stream(t).where("event_type <> 'error'").withWatermark("ts", "10 minutes")
-    return _rates(runtime.final_result(queue.throughput(done, "ts")))
+    return _rates(runtime.final_result(queue.throughput(done, "ts"), ["window_start"]))
 
 
 @query("ST-6", f"SELECT task_id, priority, status FROM ({TASKS}) ORDER BY priority DESC, created_at, task_id")

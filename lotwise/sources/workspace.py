@@ -54,6 +54,25 @@ def release(spark: SparkSession) -> int:
     return gone
 
 
+def _opened(spark: SparkSession, path: str):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def names(spark: SparkSession, path: str) -> list[str]:
+    """What a folder holds, nothing if there is no such folder."""
+    store, folder = _opened(spark, path)
+    if not store.exists(folder):
+        return []
+    found = [status.getPath().getName() for status in store.listStatus(folder)]
+    return [name for name in found if not name.startswith(("_", "."))]
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    store, folder = _opened(spark, path)
+    store.delete(folder, True)
+
+
 def together(*builders: Callable[[], DataFrame]) -> list[DataFrame]:
     """Runs builders that write tables side by side, so that small jobs fill the cluster."""
     with ThreadPoolExecutor(len(builders)) as pool:

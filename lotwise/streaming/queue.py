@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lotwise.sources.workspace import new_path
 from lotwise.streaming.runtime import run_batches, write_batch
+from lotwise.streaming.state import KeyedState
 
 BACK_OFF_MINUTES = 5
 ERROR_TEXT = "Processing failed"
@@ -49,34 +50,32 @@ def fold_outcomes(tasks: DataFrame, outcomes: DataFrame, max_attempts: int | Non
     )
 
 
-def keep_state(spark: SparkSession, tasks: DataFrame, stream: DataFrame, max_attempts: int | None = None) -> DataFrame:
+def keep_state(
+    spark: SparkSession, tasks: DataFrame, stream: DataFrame, max_attempts: int | None = None, folder: str | None = None
+) -> DataFrame:
     """Folds a stream of outcomes into the tasks, one micro-batch at a time.
 
-    Open tasks are rewritten per batch, finished ones leave for an append-only folder, so the state holds open work
-    only. A replayed batch starts from the same earlier version and overwrites its own output. Outcomes of a task that
-    is no longer open are late and find nothing to change.
+    Finished tasks leave for an append-only folder, so the state holds open work only, and a batch rewrites only the
+    buckets of the tasks it names. ``folder`` keeps state, results and checkpoint: a call with the same folder goes on
+    where the last one stopped. Outcomes of a task that is no longer open are late and find nothing to change.
     """
-    open_path, done_path = new_path(spark, "open"), new_path(spark, "finished")
-    tasks.write.parquet(f"{open_path}/version=-1")
+    folder = folder or new_path(spark, "queue")
+    state = KeyedState(spark, f"{folder}/open", TASK, "task_id")
+    state.begin(tasks)
+    spark.createDataFrame([], TASK).write.mode("ignore").parquet(f"{folder}/finished/batch=-1")
 
     def step(batch: DataFrame, number: int) -> None:
-        before = spark.read.schema(TASK).parquet(f"{open_path}/version={number - 1}")
-        after = fold_outcomes(before, batch, max_attempts)
-        after.write.mode("overwrite").partitionBy("status").parquet(f"{open_path}/all-{number}")
-        whole = spark.read.schema(TASK).parquet(f"{open_path}/all-{number}")
-        write_batch(whole.where("status IN ('Completed', 'Failed')"), done_path, number)
-        whole.where("status NOT IN ('Completed', 'Failed')").write.mode("overwrite").parquet(
-            f"{open_path}/version={number}"
-        )
-        steps.append(number)
-
-    steps: list[int] = []
-    run_batches(stream, step)
-    if not steps:
-        return tasks
-    still_open = spark.read.schema(TASK).parquet(f"{open_path}/version={steps[-1]}")
-    finished = spark.read.schema(TASK + ", batch int").parquet(done_path).drop("batch")
-    return still_open.unionByName(finished)
+        batch = batch.persist()
+        touched = state.touched(batch)
+        whole = fold_outcomes(state.before(number, touched), batch, max_attempts).persist()
+        write_batch(whole.where("status IN ('Completed', 'Failed')"), f"{folder}/finished", number)
+        state.after(number, whole.where("status NOT IN ('Completed', 'Failed')"), touched)
+        whole.unpersist()
+        batch.unpersist()
+
+    run_batches(stream, step, f"{folder}/checkpoint")
+    finished = spark.read.schema(TASK + ", batch int").parquet(f"{folder}/finished").drop("batch")
+    return state.before(state.last() + 1).unionByName(finished)
 
 
 def lag(tasks: DataFrame, as_of: Column) -> DataFrame:

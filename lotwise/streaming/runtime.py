@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,15 +52,19 @@ def collected(stream: DataFrame, checkpoint: str | None = None) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(path)
 
 
-def final_result(stream: DataFrame) -> DataFrame:
-    """The last state of a streaming aggregate in complete mode, so that the newest window counts too."""
+def final_result(stream: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The last state of every group of a streaming aggregate.
+
+    Update mode: a batch tells the groups that it changed, and what the watermark has passed leaves the engine's state.
+    ``keys`` are the columns of the group; the batch that told it last counts.
+    """
     spark = stream.sparkSession
     path = new_path(spark, "aggregate")
-
-    def replace(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
-
-    stream.writeStream.outputMode("complete").foreachBatch(replace).option(
+    stream.writeStream.outputMode("update").foreachBatch(lambda batch, number: write_batch(batch, path, number)).option(
         "checkpointLocation", new_path(spark, "checkpoint")
     ).trigger(availableNow=True).start().awaitTermination()
-    return spark.read.schema(stream.schema).parquet(path)
+    schema = ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in stream.schema)
+    told = read_batches(spark, path, schema)
+    values = [name for name in stream.columns if name not in keys]
+    last = F.max_by(F.struct(*values), "batch").alias("_last")
+    return told.groupBy(*keys).agg(last).select(*keys, *[F.col(f"_last.{name}").alias(name) for name in values]).select(*stream.columns)

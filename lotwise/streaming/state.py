@@ -1,0 +1,65 @@
+"""Keyed state of a stream between its micro-batches, in bucket files of the working folder.
+
+A batch reads and rewrites only the buckets that its keys fall into. A manifest per batch says which version of each
+bucket counts after it. A replayed batch starts from the manifest before it and overwrites its own version, so a stream
+that is given its folder again goes on where it stopped. Versions that neither of the last two manifests names are
+deleted, so the files stay in proportion to the state, not to the number of batches.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lotwise.sources import workspace
+
+BUCKETS = 64
+
+
+class KeyedState:
+    def __init__(self, spark: SparkSession, folder: str, schema: str, key: str, buckets: int = BUCKETS):
+        self.spark, self.folder, self.schema, self.key, self.buckets = spark, folder.rstrip("/"), schema, key, buckets
+
+    def bucket(self) -> Column:
+        return F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
+
+    def begin(self, rows: DataFrame) -> None:
+        """Writes the state before the first batch, unless the folder has one from an earlier run."""
+        if self.last() is None:
+            self._write(-1, rows, {})
+
+    def last(self) -> int | None:
+        """The number of the last finished batch, -1 before the first, None without any state."""
+        return max((int(name) for name in workspace.names(self.spark, f"{self.folder}/manifest")), default=None)
+
+    def touched(self, batch: DataFrame) -> list[int]:
+        return [row[0] for row in batch.select(self.bucket().alias("bucket")).distinct().collect()]
+
+    def before(self, number: int, buckets: list[int] | None = None) -> DataFrame:
+        """The state that batch ``number`` starts from, in the given buckets or whole."""
+        manifest = self._manifest(number - 1)
+        chosen = manifest if buckets is None else {b: manifest[b] for b in buckets if b in manifest}
+        paths = [f"{self.folder}/state/version={version}/bucket={b}" for b, version in sorted(chosen.items())]
+        return self.spark.read.schema(self.schema).parquet(*paths) if paths else self.spark.createDataFrame([], self.schema)
+
+    def after(self, number: int, rows: DataFrame, buckets: list[int]) -> None:
+        """Replaces the given buckets; ``rows`` are all that is left in them."""
+        self._write(number, rows, {b: v for b, v in self._manifest(number - 1).items() if b not in buckets})
+
+    def _write(self, number: int, rows: DataFrame, kept: dict[int, int]) -> None:
+        path = f"{self.folder}/state/version={number}"
+        rows.withColumn("bucket", self.bucket()).write.mode("overwrite").partitionBy("bucket").parquet(path)
+        made = {int(name.split("=")[1]): number for name in workspace.names(self.spark, path) if name.startswith("bucket=")}
+        manifest = sorted((kept | made).items())
+        table = self.spark.createDataFrame(manifest, "bucket int, version int")
+        table.coalesce(1).write.mode("overwrite").parquet(f"{self.folder}/manifest/{number}")
+        # The batch before may still be replayed; what only earlier ones name is not needed any more.
+        current = set(manifest) | set(self._manifest(number - 1).items())
+        for b, version in set(self._manifest(number - 2).items()) - current:
+            workspace.delete(self.spark, f"{self.folder}/state/version={version}/bucket={b}")
+        workspace.delete(self.spark, f"{self.folder}/manifest/{number - 2}")
+
+    def _manifest(self, number: int) -> dict[int, int]:
+        if str(number) not in workspace.names(self.spark, f"{self.folder}/manifest"):
+            return {}
+        return {row["bucket"]: row["version"] for row in self.spark.read.parquet(f"{self.folder}/manifest/{number}").collect()}

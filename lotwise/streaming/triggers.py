@@ -11,6 +11,11 @@ from lotwise.operators.ordered import row_frames
 from lotwise.operators.quality import EMAIL
 from lotwise.sources.workspace import new_path
 from lotwise.streaming.runtime import read_batches, run_batches, write_batch
+from lotwise.streaming.state import KeyedState
+
+
+#: Names told in one message, on average at most.
+NAMES = 1000
 
 
 def low_rating_notes(feedback: DataFrame, limit: float = 3.0) -> DataFrame:
@@ -36,16 +41,21 @@ def clean_ads(rows: DataFrame) -> DataFrame:
 
 
 def batch_summary(rows: DataFrame, name: str, table: str) -> DataFrame:
-    """One notification about a batch: how many rows, and which distinct names they carry."""
+    """Notifications about a batch: how many rows, and which distinct names they carry.
+
+    The names are told in messages of up to ``NAMES`` of them, by their hash; few names make one message. Each message
+    has the count of the rows whose names it tells.
+    """
     names = rows.groupBy(name).agg(F.count("*").alias("_n"))
-    listed = names.agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("record_count"),
+    parts = names.agg(F.expr(f"CAST(count(*) div {NAMES} + 1 AS BIGINT)")).scalar()
+    told = names.groupBy(F.pmod(F.xxhash64(name), parts).alias("_part")).agg(
+        F.sum("_n").alias("record_count"),
         F.expr(f"listagg({name}, ', ') WITHIN GROUP (ORDER BY {name})").alias("_names"),
     )
     message = F.concat(
         F.lit("Bulk insert: "), F.col("record_count").cast("string"), F.lit(" rows. Names: "), F.coalesce("_names", F.lit("none"))
     )
-    return listed.select(F.lit(table).alias("table_name"), message.alias("message"), "record_count")
+    return told.select(F.lit(table).alias("table_name"), message.alias("message"), "record_count")
 
 
 def operation_log(spark: SparkSession, stream: DataFrame, operation: str, table: str) -> DataFrame:
@@ -95,24 +105,29 @@ def price_changes(prices: DataFrame) -> DataFrame:
     return changed.select("ad_id", "seq", "old_price", F.col("price").alias("new_price"), (F.col("price") - F.col("old_price")).alias("difference"))
 
 
-def price_change_stream(spark: SparkSession, stream: DataFrame) -> DataFrame:
-    """The same over a stream of (ad_id, seq, price): the last price of each ad is carried from batch to batch."""
-    state, log = new_path(spark, "last-price"), new_path(spark, "price-log")
-    schema = stream.schema
-    spark.createDataFrame([], schema).write.parquet(f"{state}/version=-1")
+def price_change_stream(spark: SparkSession, stream: DataFrame, folder: str | None = None) -> DataFrame:
+    """The same over a stream of (ad_id, seq, price): the last price of each ad is carried from batch to batch.
+
+    ``folder`` keeps state, log and checkpoint; a call with the same folder goes on where the last one stopped.
+    """
+    folder = folder or new_path(spark, "prices")
+    log = f"{folder}/log"
+    schema = ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in stream.schema)
+    state = KeyedState(spark, f"{folder}/last", schema, "ad_id")
+    state.begin(spark.createDataFrame([], schema))
 
     def step(batch: DataFrame, number: int) -> None:
-        stored = f"{state}/batch-{number}"
-        batch.write.mode("overwrite").parquet(stored)
-        new = spark.read.schema(schema).parquet(stored)
-        last = spark.read.schema(schema).parquet(f"{state}/version={number - 1}")
-        touched = last.join(new.select("ad_id").distinct(), "ad_id", "left_semi")
-        write_batch(price_changes(touched.unionByName(new)), log, number)
+        new = batch.persist()
+        touched = state.touched(new)
+        last = state.before(number, touched)
+        earlier = last.join(new.select("ad_id").distinct(), "ad_id", "left_semi")
+        write_batch(price_changes(earlier.unionByName(new)), log, number)
         newest = keep_one(new, ["ad_id"], [F.col("seq")], last=True)
-        upsert(last, newest, ["ad_id"]).write.mode("overwrite").parquet(f"{state}/version={number}")
+        state.after(number, upsert(last, newest, ["ad_id"]), touched)
+        new.unpersist()
 
-    run_batches(stream, step)
-    price = schema["price"].dataType.simpleString()
-    difference = price_changes(spark.createDataFrame([], schema)).schema["difference"].dataType.simpleString()
-    columns = f"ad_id bigint, seq bigint, old_price {price}, new_price {price}, difference {difference}"
+    empty = price_changes(spark.createDataFrame([], schema))
+    empty.write.mode("ignore").parquet(f"{log}/batch=-1")
+    run_batches(stream, step, f"{folder}/checkpoint")
+    columns = ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in empty.schema)
     return read_batches(spark, log, columns).drop("batch")

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from lotwise.plans.streams import _prices, open_tasks, outcomes_of
 from lotwise.sources.tables import SCHEMAS, Tables
+from lotwise.sources import workspace
 from lotwise.sources.workspace import new_path
 from lotwise.streaming import queue, runtime, series, triggers
 from tests.conftest import SMALL
@@ -65,7 +66,7 @@ def test_restart_repeats_nothing(spark, in_three):
 
 def test_windowed_throughput(spark, tables, in_three):
     done = tables.events.withColumn("ts", F.col("ts").cast("timestamp"))
-    streamed = runtime.final_result(queue.throughput(stream(spark, in_three).withWatermark("ts", "1 minute"), "ts"))
+    streamed = runtime.final_result(queue.throughput(stream(spark, in_three).withWatermark("ts", "1 minute"), "ts"), ["window_start"])
     assert rows(streamed) == rows(queue.throughput(done, "ts"))
 
 
@@ -118,3 +119,42 @@ def test_counter_reset(spark):
     assert rows(grown, "key", "id", "increase") == [("a", 0, 0), ("a", 1, 15), ("a", 2, 5), ("a", 3, 0), ("b", 1, 0)]
     rates = series.sliding_rates(grown, ["key"], "ts", span=30, step=15).where("key = 'a'").orderBy("window_start")
     assert [round(r["rate"], 4) for r in rates.collect()] == [0.0, 0.5, 0.6667, 0.1667, 0.0]
+
+
+@pytest.mark.parametrize("case", ["queue", "prices"])
+def test_a_stopped_stream_goes_on(spark, tables, in_three, case):
+    """Stops after two of three batches; a call with the same folder ends at the result of the batch program."""
+    folder, source = new_path(spark, "resumed"), new_path(spark, "growing")
+    third = tables.events.count() // 3 + 1
+
+    def add(first, last):
+        tables.events.where(F.col("event_id").between(first, last - 1)).coalesce(1).write.mode("append").parquet(source)
+
+    def run():
+        rows_ = stream(spark, source)
+        if case == "queue":
+            return queue.keep_state(spark, open_tasks(tables), outcomes_of(rows_), folder=folder)
+        return triggers.price_change_stream(spark, _prices(rows_), folder=folder)
+
+    add(0, third)
+    add(third, 2 * third)
+    run()
+    add(2 * third, 3 * third)
+    resumed = run()
+    if case == "queue":
+        assert rows(resumed) == rows(queue.fold_outcomes(open_tasks(tables), outcomes_of(tables.events)))
+    else:
+        assert rows(resumed) == rows(triggers.price_changes(_prices(tables.events)))
+    assert rows(run()) == rows(resumed)
+
+
+def test_old_versions_go(spark, in_three):
+    folder = new_path(spark, "bounded")
+    triggers.price_change_stream(spark, _prices(stream(spark, in_three)), folder=folder)
+    manifests = workspace.names(spark, f"{folder}/last/manifest")
+    assert sorted(map(int, manifests)) == [1, 2]
+
+
+def test_many_names_in_several_messages(spark):
+    told = triggers.batch_summary(spark.range(5000).select(F.col("id").cast("string").alias("name")), "name", "t").collect()
+    assert len(told) > 1 and sum(row["record_count"] for row in told) == 5000
