@@ -9,17 +9,18 @@ from __future__ import annotations
 import itertools
 import unicodedata
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType
 
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 1_000_000
 BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so that its powers have inverses modulo 2**64
 BASE_INVERSE = np.uint64(pow(int(BASE), -1, 2**64))
 
@@ -46,6 +47,18 @@ def appended(df: DataFrame, text: str, compute: Callable[[list[str]], dict], sch
     return kept.mapInArrow(each, result)
 
 
+@contextmanager
+def rows_per_batch(spark: SparkSession, rows: int):
+    """While it lasts, Arrow batches hold at most so many rows: for steps that send several texts in a row."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def quoted(name: str):
     return F.col("`" + name.replace("`", "``") + "`")
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lotwise.llm.batches import chunks, mixed, range_hashes, runs, texts_of, utf8_of, weighted
+from lotwise.llm.batches import chunks, mixed, range_hashes, rows_per_batch, runs, texts_of, utf8_of, weighted
 from lotwise.llm.components import components
 from lotwise.sources.workspace import stage
 
@@ -33,6 +33,7 @@ WIDTH = 5
 ROWS, BANDS, LANES, BITS = 5, 26, 256, 4
 #: Four and a half standard deviations of the estimate at a similarity of 0.85.
 SLACK = 0.105
+BATCH = 1_000  # rows sent to Python at once
 BLOCK = 32_768  # elements hashed at once, so that they stay in the processor's cache
 FOLD = np.arange(256, dtype=np.uint8)
 FOLD[65:91] += 32
@@ -163,7 +164,7 @@ def estimate(left: Column, right: Column) -> Column:
 
 
 def confirmed(pairs: DataFrame, df: DataFrame, key: str, text: str, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets are similar enough."""
+    """The pairs (a, b) whose whole sets are similar enough, as a written table."""
     wanted = pairs.select("a").union(pairs.select("b")).distinct()
     texts = df.select(F.col(key).cast("bigint").alias("a"), F.col(text).cast("string").alias("left"))
     texts = stage(texts.join(wanted, "a"), "contested")
@@ -183,12 +184,14 @@ def confirmed(pairs: DataFrame, df: DataFrame, key: str, text: str, percent: int
                 total = np.bincount(owner, minlength=count) + np.bincount(their, minlength=count) - both
                 yield piece.filter(pa.array((total > 0) & (100 * both >= percent * total))).select([0, 1])
 
-    return joined.mapInArrow(each, "a bigint, b bigint")
+    with rows_per_batch(df.sparkSession, BATCH):
+        return stage(joined.mapInArrow(each, "a bigint, b bigint"), "confirmed")
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 85) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row; ``kept`` marks the smallest id of each component."""
-    made = stage(features(df, key, text), "minhash")
+    with rows_per_batch(df.sparkSession, BATCH):
+        made = stage(features(df, key, text), "minhash")
     full = made.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = full.groupBy("high", "low", "n_shingles").agg(F.min("doc_id").alias("class"))
     members = stage(full.select("doc_id", "n_shingles", "high", "low").join(classes, ["high", "low", "n_shingles"]).select("doc_id", "class"), "classes")
@@ -218,10 +221,10 @@ def _links(first: DataFrame, df: DataFrame, key: str, text: str, percent: int) -
     met = stage(met.join(left, "a").join(right, "b").where(alike("left", "right")).select("a", "b", "shared").distinct(), "hubs")
     best = met.groupBy("a").agg(F.max(F.struct("shared", (-F.col("b")).alias("low"))).alias("best"))
     best = best.select("a", (-F.col("best.low")).alias("b"))
-    links = stage(confirmed(best, df, key, text, percent), "confirmed")
+    links = confirmed(best, df, key, text, percent)
     place = stage(components(links), "components")
     rest = _across(met.select("a", "b"), place).join(best, ["a", "b"], "left_anti")
-    links = links.unionByName(stage(confirmed(rest, df, key, text, percent), "confirmed"))
+    links = links.unionByName(confirmed(rest, df, key, text, percent))
 
     # What still shares a bucket with another component: pairs that share one of their rarest shingles.
     place = stage(components(links), "components")
@@ -236,7 +239,7 @@ def _links(first: DataFrame, df: DataFrame, key: str, text: str, percent: int) -
     pairs = one.join(two, (F.col("hash1") == F.col("hash2")) & apart & alike("bits1", "bits2"))
     pairs = pairs.select(F.col("doc_id1").alias("a"), F.col("doc_id2").alias("b")).distinct()
     pairs = stage(pairs.join(met.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
-    return links.unionByName(stage(confirmed(pairs, df, key, text, percent), "confirmed"))
+    return links.unionByName(confirmed(pairs, df, key, text, percent))
 
 
 def _rarest(open_: DataFrame, df: DataFrame, key: str, text: str, percent: int) -> DataFrame:
@@ -254,7 +257,8 @@ def _rarest(open_: DataFrame, df: DataFrame, key: str, text: str, percent: int)
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "hash"])
 
     texts = df.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    rows = stage(texts.join(open_.select("doc_id"), "doc_id").mapInArrow(each, "doc_id bigint, n bigint, hash bigint"), "shingles")
+    with rows_per_batch(df.sparkSession, BATCH):
+        rows = stage(texts.join(open_.select("doc_id"), "doc_id").mapInArrow(each, "doc_id bigint, n bigint, hash bigint"), "shingles")
     common = rows.groupBy("hash").agg(F.count("*").alias("often")).where("often > 1")
     order = Window.partitionBy("doc_id", "n").orderBy("often", "hash")
     shared = rows.join(common, "hash").withColumn("place", F.row_number().over(order))
