@@ -144,11 +144,16 @@ def row_frames(
     columns: Callable[[WindowSpec], Mapping[str, Column]],
     before: int = 0,
     after: int = 0,
+    slice_of: Column | None = None,
 ) -> DataFrame:
     """Adds window columns that look at most ``before`` rows back and ``after`` rows ahead within a key.
 
     Each slice borrows that many rows from its neighbours, the window runs per slice, and the borrowed rows leave.
+    ``slice_of`` is a number that grows with the first order column, such as its day; with it the slices need no sampled
+    borders and no written table, and the rows are shuffled once, by key and slice.
     """
+    if slice_of is not None:
+        return _frames_by_slice(df, keys, order, columns, before, after, slice_of)
     cut = slices(df, keys, order)
     padded = cut.withColumn("_lent", F.lit(False))
     if before:
@@ -159,6 +164,37 @@ def row_frames(
     return padded.withColumns(added).where(~F.col("_lent")).select(*df.columns, *added)
 
 
+def _frames_by_slice(df, keys, order, columns, before, after, slice_of) -> DataFrame:
+    cut = df.withColumn(SLICE, slice_of)
+    padded = cut.withColumn("_lent", F.lit(False))
+    for rows, ahead in ((before, False), (after, True)):
+        if rows:
+            padded = padded.unionByName(_lent(cut, keys, order, rows, ahead))
+    added = columns(Window.partitionBy(*keys, SLICE).orderBy(*sort_columns(order)))
+    return padded.withColumns(added).where(~F.col("_lent")).select(*df.columns, *added)
+
+
+def _lent(cut: DataFrame, keys: Sequence[str], order: Sequence[str], rows: int, ahead: bool) -> DataFrame:
+    """For every slice of every key, the ``rows`` rows just before it (or after it), over empty slices, re-tagged.
+
+    Only the last (or first) rows of each slice are needed for that; they are picked before they are shuffled.
+    """
+    edge = Window.partitionBy(*keys, SLICE).orderBy(*sort_columns(order, backwards=not ahead))
+    edges = cut.withColumn("_edge", F.row_number().over(edge)).where(F.col("_edge") <= rows).drop("_edge")
+    line = Window.partitionBy(*keys).orderBy(*sort_columns([SLICE, *order]))
+    placed = edges.withColumn("_at", F.row_number().over(line))
+    wanted = F.sequence(F.max("_at") + 1, F.max("_at") + rows) if ahead else F.sequence(F.min("_at") - rows, F.min("_at") - 1)
+    takers = placed.groupBy(*keys, SLICE).agg(wanted.alias("_wanted"))
+    takers = takers.select(*keys, F.col(SLICE).alias("_taker"), F.explode("_wanted").alias("_at"))
+    lent = joined_null_safe(placed.drop(SLICE), takers, [*keys, "_at"])
+    return lent.drop("_at").withColumnRenamed("_taker", SLICE).withColumn("_lent", F.lit(True))
+
+
+def day_of(column: str, days: int = 1) -> Column:
+    """The number of the day, or of the span of days, that a time lies in."""
+    return F.expr(f"unix_date(CAST({column} AS DATE)) div {days}")
+
+
 def _neighbours(cut: DataFrame, keys: Sequence[str], order: Sequence[str], rows: int, ahead: bool) -> DataFrame:
     """For every slice, the ``rows`` rows just before it (or just after it), re-tagged with that slice."""
     full = [*keys, *order]

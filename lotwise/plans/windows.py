@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lotwise.functions.money import mean, money, sql_mean, sql_total, total
-from lotwise.operators.ordered import joined_null_safe, ranks, row_frames, row_numbers, tiles, value_frames
+from lotwise.operators.ordered import day_of, joined_null_safe, ranks, row_frames, row_numbers, tiles, value_frames
 from lotwise.plans.registry import query
 from lotwise.sources.workspace import stage
 
@@ -166,7 +166,7 @@ def moving_rows(t):
         frame = window.rowsBetween(-2, 0)
         return {"moving_avg": F.sum(money("o_totalprice")).over(frame).cast("double") / F.count("*").over(frame)}
 
-    return row_frames(rows, [], ["o_orderdate", "o_orderkey"], columns, before=2).drop("o_orderdate")
+    return row_frames(rows, [], ["o_orderdate", "o_orderkey"], columns, before=2, slice_of=day_of("o_orderdate")).drop("o_orderdate")
 
 
 @query(
@@ -221,7 +221,7 @@ def lag(t):
         change = money("o_totalprice") - F.lag(money("o_totalprice")).over(window)
         return {"prev_price": F.lag("o_totalprice").over(window), "difference": change.cast("decimal(18,2)")}
 
-    return row_frames(rows, [], ["o_orderdate", "o_orderkey"], columns, before=1).drop("o_orderdate")
+    return row_frames(rows, [], ["o_orderdate", "o_orderkey"], columns, before=1, slice_of=day_of("o_orderdate")).drop("o_orderdate")
 
 
 @query(
@@ -237,7 +237,7 @@ def lead(t):
         change = F.lead(money("o_totalprice")).over(window) - money("o_totalprice")
         return {"next_price": F.lead("o_totalprice").over(window), "change_to_next": change.cast("decimal(18,2)")}
 
-    return row_frames(rows, ["o_custkey"], ["o_orderdate", "o_orderkey"], columns, after=1).drop("o_orderdate")
+    return row_frames(rows, ["o_custkey"], ["o_orderdate", "o_orderkey"], columns, after=1, slice_of=day_of("o_orderdate", 90)).drop("o_orderdate")
 
 
 def _extreme(t, function, name):
@@ -287,7 +287,7 @@ def _last(column):
 def increases(t):
     rows = t.events.select("event_id", "user_id", money("value").alias("value"), "ts")
     history = row_frames(
-        rows, ["user_id"], ["ts", "event_id"], lambda w: {"_prev": F.lag("value").over(w)}, before=1
+        rows, ["user_id"], ["ts", "event_id"], lambda w: {"_prev": F.lag("value").over(w)}, before=1, slice_of=day_of("ts")
     )
     increase = F.coalesce(F.col("value") - F.col("_prev"), F.lit(0)).cast("decimal(18,2)")
     return history.select("event_id", "user_id", "value", increase.alias("increase")).where("increase > 0")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lotwise.operators.change import keep_one
-from lotwise.operators.ordered import row_frames
+from lotwise.operators.ordered import day_of, row_frames
 
 
 def trailing(rows: DataFrame, time: str, as_of: Column, span: str) -> DataFrame:
@@ -18,7 +18,7 @@ def trailing(rows: DataFrame, time: str, as_of: Column, span: str) -> DataFrame:
 
 def increases(samples: DataFrame, series: Sequence[str], time: str, key: str, value: str) -> DataFrame:
     """Growth of each counter since its previous sample; a counter that fell has restarted from zero."""
-    paired = row_frames(samples, series, [time, key], lambda w: {"_prev": F.lag(value).over(w)}, before=1)
+    paired = row_frames(samples, series, [time, key], lambda w: {"_prev": F.lag(value).over(w)}, before=1, slice_of=day_of(time))
     grown = (
         F.when(F.col("_prev").isNull(), F.lit(0))
         .when(F.col(value) < F.col("_prev"), F.col(value))

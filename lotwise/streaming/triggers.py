@@ -14,6 +14,8 @@ from lotwise.streaming.runtime import read_batches, run_batches, write_batch
 from lotwise.streaming.state import KeyedState
 
 
+#: Numbers of a sequence that are one slice of it.
+SEQUENCE = 100_000
 #: Names told in one message, on average at most.
 NAMES = 1000
 
@@ -100,7 +102,7 @@ def with_first_mileage(spark: SparkSession, vehicles: DataFrame) -> tuple[DataFr
 
 def price_changes(prices: DataFrame) -> DataFrame:
     """(ad_id, seq, old_price, new_price, difference) wherever a price differs from the one before it for the same ad."""
-    paired = row_frames(prices, ["ad_id"], ["seq"], lambda w: {"old_price": F.lag("price").over(w), "_first": F.lag("seq").over(w).isNull()}, before=1)
+    paired = row_frames(prices, ["ad_id"], ["seq"], lambda w: {"old_price": F.lag("price").over(w), "_first": F.lag("seq").over(w).isNull()}, before=1, slice_of=F.expr(f"seq div {SEQUENCE}"))
     changed = paired.where(~F.col("_first") & ~F.col("old_price").eqNullSafe(F.col("price")))
     return changed.select("ad_id", "seq", "old_price", F.col("price").alias("new_price"), (F.col("price") - F.col("old_price")).alias("difference"))
 

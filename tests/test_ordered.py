@@ -40,6 +40,26 @@ def test_row_numbers(rows, keys, order):
     same(ordered.row_numbers(rows, keys, order, "n"), rows.withColumn("n", F.row_number().over(w).cast("bigint")))
 
 
+@pytest.mark.parametrize("keys", [[], ["key"]])
+@pytest.mark.parametrize("step", [1, 7, 1000])
+def test_row_frames_by_slice(rows, keys, step):
+    order = ["value", "id"]
+
+    def columns(w):
+        return {"back": F.lag("id", 3).over(w), "ahead": F.lead("id", 2).over(w), "sum": F.sum("id").over(w.rowsBetween(-3, 2))}
+
+    mine = ordered.row_frames(rows, keys, order, columns, before=3, after=2, slice_of=F.expr(f"value * value div {step}"))
+    same(mine, rows.withColumns(columns(Window.partitionBy(*keys).orderBy(*native(order)))))
+
+
+def test_one_shuffle_of_the_table(rows):
+    framed = ordered.row_frames(rows, ["key"], ["id"], lambda w: {"p": F.lag("value").over(w)}, before=1, slice_of=F.expr("id div 100"))
+    plan = framed._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan
+    # The other shuffles carry what a limit per slice has left over.
+    assert plan.count("Exchange hashpartitioning") - plan.count("WindowGroupLimit") // 2 <= 4
+
+
 @pytest.mark.parametrize("keys", [[], ["key"]])
 def test_running_totals(rows, keys):
     w = Window.partitionBy(*keys).orderBy(*native(["value", "id"])).rowsBetween(Window.unboundedPreceding, 0)
