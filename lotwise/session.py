@@ -14,9 +14,16 @@ SETTINGS = {
 }
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, name: str = "lotwise") -> SparkSession:
-    """A single-JVM session for tests and benchmarks; clusters bring their own session."""
+def local_session(
+    cores: int | str = "*", shuffle_partitions: int = 8, name: str = "lotwise", folder: str | None = None
+) -> SparkSession:
+    """A single-JVM session for tests and benchmarks; clusters bring their own session.
+
+    ``folder`` is where intermediate tables go (``spark.checkpoint.dir``); without it a temporary folder is used.
+    """
     builder = SparkSession.builder.master(f"local[{cores}]").appName(name)
+    if folder:
+        builder = builder.config("spark.checkpoint.dir", folder)
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
     return (

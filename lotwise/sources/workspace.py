@@ -22,6 +22,9 @@ def shared_folder(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    on_context = spark.sparkContext.getCheckpointDir()
+    if on_context:
+        return on_context.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     if _local_folder is None:
@@ -43,14 +46,18 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> int:
-    """Deletes the tables this process wrote into the shared folder; call it when their results are no longer needed."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    configuration = spark.sparkContext._jsc.hadoopConfiguration()
+def mark() -> int:
+    """Remembers which tables are already written, for a ``release`` of what comes after."""
+    return len(_made)
+
+
+def release(spark: SparkSession, since: int = 0) -> int:
+    """Deletes the tables this process wrote into the shared folder after ``since``, a ``mark``; call it when the results
+    that read them are no longer needed. Tables of results made before the mark stay."""
     gone = 0
-    while _made:
-        path = hadoop(_made.pop())
-        gone += path.getFileSystem(configuration).delete(path, True)
+    while len(_made) > since:
+        store, path = _opened(spark, _made.pop())
+        gone += store.delete(path, True)
     return gone
 
 
