@@ -232,20 +232,21 @@ def _links(first: DataFrame, df: DataFrame, key: str, text: str, percent: int) -
     keys = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
     open_ = placed.join(keys.select("key"), "key").select("doc_id", "component").distinct()
     open_ = stage(open_.join(marks, "doc_id"), "open")
-    rare = stage(_rarest(open_, df, key, text, percent), "rarest")
+    rare = stage(_rarest(open_, df, key, text, percent), "rarest").select("*", F.posexplode("prefix").alias("at", "hash"))
     one, two = (rare.select(*(F.col(name).alias(name + side) for name in rare.columns)) for side in "12")
     sizes = (100 * F.col("n1") >= percent * F.col("n2")) & (100 * F.col("n2") >= percent * F.col("n1"))
     apart = (F.col("component1") != F.col("component2")) & (F.col("doc_id1") > F.col("doc_id2")) & sizes
-    pairs = one.join(two, (F.col("hash1") == F.col("hash2")) & apart & alike("bits1", "bits2"))
+    # A pair that shares several of them is made at the first.
+    again = F.arrays_overlap(F.expr("slice(prefix1, 1, at1)"), F.expr("slice(prefix2, 1, at2)"))
+    pairs = one.join(two, (F.col("hash1") == F.col("hash2")) & apart & alike("bits1", "bits2") & ~again)
     pairs = pairs.select(F.col("doc_id1").alias("a"), F.col("doc_id2").alias("b")).distinct()
     pairs = stage(pairs.join(met.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
     return links.unionByName(confirmed(pairs, df, key, text, percent))
 
 
 def _rarest(open_: DataFrame, df: DataFrame, key: str, text: str, percent: int) -> DataFrame:
-    """The rarest shingles of each document: n - ceil(n * percent / 100) + 1 of n, of which a linked pair shares one.
-
-    Shingles that no other open document has come first and need no row.
+    """The open documents with their rarest shingles in ``prefix``: n - ceil(n * percent / 100) + 1 of n, of which a
+    linked pair shares one. Shingles that no other open document has come first and need no entry.
     """
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -264,7 +265,9 @@ def _rarest(open_: DataFrame, df: DataFrame, key: str, text: str, percent: int)
     shared = rows.join(common, "hash").withColumn("place", F.row_number().over(order))
     shared = shared.withColumn("shared", F.count("*").over(Window.partitionBy("doc_id", "n")))
     bound = F.expr(f"n - CAST(ceil(n * {percent} / 100) AS BIGINT) + 1 - (n - shared)")
-    return shared.where(F.col("place") <= bound).select("doc_id", "n", "hash").join(open_.drop("bands"), "doc_id")
+    prefix = F.transform(F.sort_array(F.collect_list(F.struct("place", "hash"))), lambda one: one["hash"])
+    rarest = shared.where(F.col("place") <= bound).groupBy("doc_id", "n").agg(prefix.alias("prefix"))
+    return rarest.join(open_.drop("bands"), "doc_id")
 
 
 def _placed(df: DataFrame, node: str, place: DataFrame, name: str) -> DataFrame:
