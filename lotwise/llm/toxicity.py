@@ -27,12 +27,14 @@ from lotwise.llm.batches import appended, letter_words, mixed
 from lotwise.llm.quality import sampled
 
 #: Training documents of both labels together, and the length up to which a document can be one.
-SAMPLE, MAX_CHARS = 3_000, 20_000
+SAMPLE, MAX_CHARS = 2_000, 20_000
 CUT = 0.3
 WINDOW, STEP = 32, 24
 BUCKETS = 1 << 17
 INPUTS, HIDDEN = 6, 8
 ROUNDS, PASSES, BATCH, RATE = 4, 6, 64, 0.01
+#: Training documents taken apart at once.
+DOCS = 64
 
 
 def letter_groups(points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -67,7 +69,7 @@ class Words:
         self.word = (distinct & np.uint64(BUCKETS - 1)).astype(np.int64)
         groups, self.of = letter_groups(points, starts[at], ends[at])
         order = np.argsort(self.of, kind="stable")
-        self.groups, self.of = groups[order], self.of[order]
+        self.groups, self.of = groups[order].astype(np.int32), self.of[order].astype(np.int32)
         self.length = (ends - starts)[at]
         sizes = np.bincount(owner, minlength=len(texts))
         begin = np.concatenate([[0], np.cumsum(sizes)])
@@ -96,11 +98,8 @@ class Words:
         return rows
 
 
-def leanings(words: Words, label: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """By bucket, for words and for letter groups: how far it occurs in more toxic documents than chance, in deviations."""
-    prior = label[docs].mean() if len(docs) else 0.5
-    used = np.zeros(len(label), bool)
-    used[docs] = True
+def counted(words: Words, label: np.ndarray, used: np.ndarray) -> np.ndarray:
+    """For words and for letter groups, by bucket: used documents that have it, and toxic ones among them."""
     pairs = np.unique(words.owner.astype(np.int64) * (len(words.word) + 1) + words.which)
     doc, word = pairs // (len(words.word) + 1), pairs % (len(words.word) + 1)
     doc, word = doc[used[doc]], word[used[doc]]
@@ -108,10 +107,14 @@ def leanings(words: Words, label: np.ndarray, docs: np.ndarray) -> tuple[np.ndar
     counts = first[word + 1] - first[word]
     run = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
     grouped = np.unique(np.repeat(doc, counts) * BUCKETS + words.groups[np.repeat(first[word], counts) + run])
+    sides = ((doc, words.word[word]), (grouped // BUCKETS, grouped % BUCKETS))
+    return np.array([[np.bincount(bucket, minlength=BUCKETS), np.bincount(bucket, weights=label[owner], minlength=BUCKETS)] for owner, bucket in sides])
+
+
+def leanings(counts: np.ndarray, prior: float) -> tuple[np.ndarray, np.ndarray]:
+    """By bucket, for words and for letter groups: how far it occurs in more toxic documents than chance, in deviations."""
     tables = []
-    for owner, bucket in ((doc, words.word[word]), (grouped // BUCKETS, grouped % BUCKETS)):
-        every = np.bincount(bucket, minlength=BUCKETS)
-        toxic = np.bincount(bucket, weights=label[owner], minlength=BUCKETS)
+    for every, toxic in counts:
         far = (toxic - every * prior) / np.sqrt(every * prior * (1 - prior) + 1)
         tables.append((np.clip(far, -6, 9) / 3).astype(np.float32))
     return tables[0], tables[1]
@@ -224,32 +227,42 @@ def fit(texts: list[str], labels: list[int], seed: int = 11) -> Model | None:
     label = np.array(labels, np.float64)
     if not (label == 1).any() or not (label == 0).any():
         return None
-    words = Words(texts)
     random = np.random.default_rng(seed)
     fold = random.permutation(len(texts)) % 2
-    sides = [words.inputs(*leanings(words, label, np.flatnonzero(fold != side))) for side in (0, 1)]
-    # One table of inputs for both halves: the words of the second half are numbered after those of the first.
+    # A few documents at a time, so that the memory follows the sample's bound and not its letter groups.
+    starts = range(0, len(texts), DOCS)
+    parts = [Words(texts[at : at + DOCS]) for at in starts]
+
+    def tables(used: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        counts = sum(counted(part, label[at : at + DOCS], used[at : at + DOCS]) for at, part in zip(starts, parts))
+        return leanings(counts, label[used].mean() if used.any() else 0.5)
+
+    sides = [np.concatenate([part.inputs(*both) for part in parts]) for both in (tables(fold != side) for side in (0, 1))]
+    # One table of inputs: part after part, and all of them once for each half of the documents.
     inputs = np.concatenate(sides)
-    windows = words.windows + (fold[words.doc] * len(sides[0]))[:, None].astype(np.int32)
+    begin = np.cumsum([0, *(len(part.word) + 1 for part in parts)])
+    doc_of = np.concatenate([part.doc + at for at, part in zip(starts, parts)])
+    real = np.concatenate([part.real for part in parts])
+    windows = np.concatenate([part.windows + shift for part, shift in zip(parts, begin)])
+    windows = windows + (fold[doc_of] * len(sides[0]))[:, None]
     network = Network.fresh(random)
     step = {name: (np.zeros_like(value), np.zeros_like(value)) for name, value in network.weights.items()}
     weight = np.where(label == 1, (label == 0).sum() / (label == 1).sum(), 1.0) ** 0.5
-    order = np.argsort(words.doc, kind="stable")
-    first = np.searchsorted(words.doc[order], np.arange(len(texts)))
-    ranked = inputs[windows][:, :, :2].sum(axis=2).max(axis=1)
+    first = np.searchsorted(doc_of, np.arange(len(texts)))
+    ranked = inputs[:, :2].sum(axis=1)[windows].max(axis=1)
     turn = 0
     for _ in range(ROUNDS):
-        by = np.lexsort((-ranked, words.doc))
+        by = np.lexsort((-ranked, doc_of))
         worst = by[first]
         for _ in range(PASSES):
             # Besides its worst window a clean document shows a random one.
-            spare = np.flatnonzero(label[words.doc] == 0)
+            spare = np.flatnonzero(label[doc_of] == 0)
             shown = np.concatenate([worst, random.choice(spare, min(len(spare), len(texts) // 3))])
             random.shuffle(shown)
             for at in range(0, len(shown), BATCH):
                 part = shown[at : at + BATCH]
-                doc = words.doc[part]
-                slopes = network.gradient(inputs, windows[part], words.real[part], label[doc], weight[doc])
+                doc = doc_of[part]
+                slopes = network.gradient(inputs, windows[part], real[part], label[doc], weight[doc])
                 turn += 1
                 for name, slope in slopes.items():
                     mean, square = step[name]
@@ -257,10 +270,10 @@ def fit(texts: list[str], labels: list[int], seed: int = 11) -> Model | None:
                     mean += 0.1 * (slope - mean)
                     square += 0.01 * (slope**2 - square)
                     network.weights[name] -= (RATE * mean / (1 - 0.9**turn) / (np.sqrt(square / (1 - 0.99**turn)) + 1e-6)).astype(np.float32)
-        ranked = network.logits(inputs, windows, words.real)
+        ranked = network.logits(inputs, windows, real)
     logit = np.full(len(texts), -np.inf)
-    np.maximum.at(logit, words.doc, ranked)
-    word_table, group_table = leanings(words, label, np.arange(len(texts)))
+    np.maximum.at(logit, doc_of, ranked)
+    word_table, group_table = tables(np.ones(len(texts), bool))
     return Model(network, word_table, group_table, _best_cut(logit, label), 1.0)
 
 
