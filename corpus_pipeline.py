@@ -14,6 +14,8 @@ from lotwise.sources.tables import Tables
 from lotwise.sources.workspace import stage
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: Per cent of shingles that two documents share at least to be near-copies; ``op8_minhash_near_duplicates`` has its own, 85.
+NEAR = 80
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,7 +28,7 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-copies stays: the one with the smallest id, and of that one row."""
     docs = docs.select(*COLUMNS)
-    found = minhash.near_duplicates(docs.select("doc_id", "text"))
+    found = minhash.near_duplicates(docs.select("doc_id", "text"), percent=NEAR)
     found = stage(found.groupBy("doc_id").agg(F.bool_and("kept").alias("kept"), F.count("*").alias("rows")), "kept")
     plain = docs.join(found.where("doc_id IS NOT NULL AND (NOT kept OR rows > 1)").select("doc_id"), "doc_id", "left_anti")
     repeated = docs.join(found.where("kept AND rows > 1").select("doc_id"), "doc_id", "left_semi")

@@ -5,7 +5,8 @@ fewer words the whole sequence is its only element; without words it is empty an
 linked at a Jaccard similarity of at least ``percent`` / 100, and a component is everything reachable by links.
 
 1. Equal sets are one class, told apart by 128 bits; only its smallest id goes on.
-2. 130 of 256 minima make 26 band keys of five. A pair at similarity 0.85 shares no key with a probability of 2e-7.
+2. Of 256 minima, band keys of five are made: 26 keys for a threshold of 0.85, 39 for 0.80. A pair at the threshold shares
+   no key with a probability of at most 2.4e-7. Thresholds below 0.77 need more minima than there are and are refused.
 3. The low four bits of all minima are packed into sixteen numbers. The share of equal lanes, corrected for chance
    collisions of 1/16, estimates the similarity; pairs 4.5 deviations below the threshold are dropped.
 4. Pairs are not all pairs of a bucket. First every document meets the hub (smallest id) it shares most keys with, then
@@ -18,6 +19,7 @@ Null ids belong to no component. Rows that repeat an id are one document whose l
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,9 +32,9 @@ from lotwise.llm.components import components
 from lotwise.sources.workspace import stage
 
 WIDTH = 5
-ROWS, BANDS, LANES, BITS = 5, 26, 256, 4
-#: Four and a half standard deviations of the estimate at a similarity of 0.85.
-SLACK = 0.105
+ROWS, LANES, BITS = 5, 256, 4
+#: At least so many bands, so much slack and so rare a miss by the bands, as a threshold of 0.85 calls for.
+BANDS, SLACK, MISS = 26, 0.105, 2.4e-7
 BATCH = 1_000  # rows sent to Python at once
 BLOCK = 32_768  # elements hashed at once, so that they stay in the processor's cache
 FOLD = np.arange(256, dtype=np.uint8)
@@ -44,6 +46,22 @@ SHIFTS = _random.integers(0, 1 << 63, LANES, dtype=np.uint64)
 PLACES = _random.integers(0, 1 << 63, WIDTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
+def bands_for(percent: int) -> int:
+    """Bands of which a pair at the threshold shares one but for a probability of ``MISS``."""
+    unlike = 1 - (percent / 100) ** ROWS
+    bands = max(BANDS, math.ceil(math.log(MISS) / math.log(unlike))) if unlike > 0 else BANDS
+    if percent > 100 or bands * ROWS > LANES:
+        raise ValueError(f"a threshold of {percent} percent needs {bands * ROWS} minima; there are {LANES}, which reach from 77 to 100")
+    return bands
+
+
+def slack_for(percent: int) -> float:
+    """Four and a half standard deviations of the estimate at the threshold, in thousandths."""
+    chance = 1 / (1 << BITS)
+    equal = chance + (1 - chance) * percent / 100
+    return max(SLACK, math.ceil(4_500 * math.sqrt(equal * (1 - equal) / LANES) / (1 - chance)) / 1000)
+
+
 def shingle_sets(texts: list[str], width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes of each text, sorted, and the text each belongs to."""
     data, first = utf8_of(texts)
@@ -91,11 +109,11 @@ def minima(hashes: np.ndarray, begin: np.ndarray) -> np.ndarray:
     return result
 
 
-def band_keys(low: np.ndarray) -> np.ndarray:
+def band_keys(low: np.ndarray, bands: int = BANDS) -> np.ndarray:
     """A 64-bit key of each band (row) of each set, unlike for unlike bands."""
-    keys = np.empty((BANDS, low.shape[1]), np.uint64)
+    keys = np.empty((bands, low.shape[1]), np.uint64)
     with np.errstate(over="ignore"):
-        for band in range(BANDS):
+        for band in range(bands):
             key = np.full(low.shape[1], band + 1, np.uint64)
             for row in low[band * ROWS : (band + 1) * ROWS]:
                 key = mixed(key * PLACES[0] + row.astype(np.uint64))
@@ -115,7 +133,7 @@ def packed(low: np.ndarray) -> np.ndarray:
 FEATURES = "doc_id bigint, n_shingles bigint, high bigint, low bigint, bits array<bigint>, bands array<bigint>"
 
 
-def features(df: DataFrame, key: str, text: str) -> DataFrame:
+def features(df: DataFrame, key: str, text: str, n_bands: int = BANDS) -> DataFrame:
     """Set size, two hashes of the whole set, packed low bits and band keys of every document; null where it is empty."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,7 +151,7 @@ def features(df: DataFrame, key: str, text: str) -> DataFrame:
                         marks[0, full] = np.add.reduceat(mixed(hashes ^ PLACES[1]), begin)
                         marks[1, full] = np.add.reduceat(mixed(hashes ^ PLACES[2]), begin)
                     low = minima(hashes, begin)
-                    bits, bands = packed(low), band_keys(low)
+                    bits, bands = packed(low), band_keys(low, n_bands)
                 columns = [piece.column(0), pa.array(sizes.astype(np.int64)), *(pa.array(m.view(np.int64)) for m in marks)]
                 columns += [_lists(bits, full, len(texts)), _lists(bands, full, len(texts))]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "high", "low", "bits", "bands"])
@@ -191,7 +209,7 @@ def confirmed(pairs: DataFrame, df: DataFrame, key: str, text: str, percent: int
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 85) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row; ``kept`` marks the smallest id of each component."""
     with rows_per_batch(df.sparkSession, BATCH):
-        made = stage(features(df, key, text), "minhash")
+        made = stage(features(df, key, text, bands_for(percent)), "minhash")
     full = made.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = full.groupBy("high", "low", "n_shingles").agg(F.min("doc_id").alias("class"))
     members = stage(full.select("doc_id", "n_shingles", "high", "low").join(classes, ["high", "low", "n_shingles"]).select("doc_id", "class"), "classes")
@@ -212,7 +230,7 @@ def _links(first: DataFrame, df: DataFrame, key: str, text: str, percent: int) -
     marks = first.select("doc_id", "bits", "bands")
 
     def alike(left: str, right: str) -> Column:
-        return estimate(F.col(left), F.col(right)) >= percent / 100 - SLACK
+        return estimate(F.col(left), F.col(right)) >= percent / 100 - slack_for(percent)
 
     # Each document with the hub that it shares most keys with, then with the other hubs outside its component.
     met = buckets.where("doc_id <> hub").groupBy(F.col("doc_id").alias("a"), F.col("hub").alias("b")).agg(F.count("*").alias("shared"))
