@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwise.llm import ann, bpe, chat, decontaminate, language, minhash, pii, quality, sharding, toxicity
+from lotwise.llm import ann, bpe, chat, decontaminate, language, minhash, periodic, pii, quality, sharding, toxicity
 from lotwise.sources.tables import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -134,3 +134,33 @@ def op5(t: Tables) -> DataFrame:
 @registered("op9_decontamination")
 def op9(t: Tables) -> DataFrame:
     return decontaminate.contaminated(t.documents, t.benchmark)
+
+
+def made_periodic(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): in a tenth of the documents all words from some place on repeat what stands there."""
+    number = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    plain = docs.select("doc_id", "text", number.alias("h"), F.expr("CAST(floor(crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) / 10) AS BIGINT)").alias("g"))
+    split = F.when(F.col("h") % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    plain = plain.withColumn("words", split).withColumn("n", F.size("words"))
+    plain = plain.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    plain = plain.withColumn("p", F.expr("1 + (n - a) DIV (3 + g % 8)"))
+    place = "CAST(IF(i < a, i, a + (i - a) % p) AS INT)"
+    repeated = F.expr(f"array_join(transform(sequence(0, n - 1), i -> get(words, {place})), ' ')")
+    return plain.select("doc_id", F.when(F.col("n") > 0, repeated).otherwise(F.col("text")).alias("text"))
+
+
+@registered("op12_periodic_runs")
+def op12(t: Tables) -> DataFrame:
+    found = periodic.with_runs(made_periodic(t.documents))
+    longest = F.array_max(F.transform("runs", lambda run: F.struct(run["length"], -run["start"], -run["period"])))
+    lines = F.transform("runs", lambda run: F.concat(F.concat_ws(",", run["start"], run["length"], run["period"]), F.lit("\n")))
+    return found.withColumn("top", longest).select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        F.expr("-top.col2").alias("start"),
+        F.expr("top.length").alias("length"),
+        F.expr("-top.col3").alias("period"),
+        F.expr("1000 * top.length DIV -top.col3").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
