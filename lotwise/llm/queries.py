@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwise.llm import ann, bpe, chat, decontaminate, language, minhash, periodic, pii, quality, sharding, toxicity
+from lotwise.llm import ann, bpe, chat, decontaminate, language, merkle, minhash, periodic, pii, quality, sharding, toxicity
+from lotwise.operators.ordered import row_numbers
 from lotwise.sources.tables import Tables
+from lotwise.sources.workspace import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -164,3 +166,73 @@ def op12(t: Tables) -> DataFrame:
         F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+def followed(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, fingerprint, prefix, following): the fingerprint of the next document by descending id (ties by a hash
+    of the text, null ids first, after the last the first), and as much of its beginning as half the text is long.
+
+    Places and lengths are found on ids and hashes alone; then every text moves once, and its beginning to the row before.
+    Rows that repeat id and text hold one place, so they have the same next document.
+    """
+    docs = docs.select(F.struct("doc_id", F.xxhash64("text").alias("own")).alias("key"), "text")
+    places = docs.select("key", "key.*", F.length("text").alias("n")).distinct()
+    places = stage(row_numbers(places, [], ["-doc_id", "own"], "at").select("key", "n", "at"), "places")
+    last = places.agg(F.max("at")).first()[0] or 1
+    before = places.select(F.col("key").alias("to"), F.expr("n DIV 2").alias("half"), (F.col("at") % last + 1).alias("at"))
+    moves = places.select("key", "at").join(before, "at").drop("at")
+    marked = docs.withColumn("fingerprint", merkle.fingerprint(F.col("text")))
+    sent = marked.join(moves, "key").select("to", F.struct(F.left("text", "half").alias("prefix"), F.col("fingerprint").alias("following")).alias("next"))
+    sent = sent.groupBy("to").agg(F.first("next").alias("next"))
+    return marked.join(sent, F.col("key") == F.col("to")).select("key.doc_id", "text", "fingerprint", "next.*")
+
+
+def sql_fingerprints(table: str) -> str:
+    """CTEs ``{table}_prints``: the fingerprint of every ``text`` of a table, with the table's other columns."""
+    cut = "left(sha256({0}), 16)"
+    return f"""
+        {table}_leaves AS (SELECT *, list_transform(regexp_extract_all(text, '[^\n]+\n*|\n+'), lambda p:
+            list_transform(regexp_extract_all(p, '[^.!?\n]{{1,64}}[.!?]*\n*|[.!?\n]+'), lambda s: {cut.format("s")})) AS own FROM {table}),
+        {table}_ids AS (SELECT *, list_transform(own, lambda p: {cut.format("array_to_string(p, '')")}) AS ids,
+            list_transform(own, lambda p: array_to_string(list_transform(p, lambda s: left(s, 8)), '')) AS shown FROM {table}_leaves),
+        {table}_rows AS (SELECT *,
+            array_to_string(list_transform(ids, lambda i: i || CASE WHEN i < '4' THEN ';' ELSE ',' END), '') AS id_row,
+            array_to_string(list_transform(list_zip(shown, ids), lambda z: z[1] || CASE WHEN z[2] < '4' THEN ';' ELSE ',' END), '') AS tree FROM {table}_ids),
+        {table}_prints AS (SELECT * EXCLUDE (own, ids, shown, id_row, tree), sha256(array_to_string(list_transform(
+            string_split(left(id_row, length(id_row) - 1), ';'), lambda s: {cut.format("s")}), ',')) || ':' || left(tree, length(tree) - 1) AS fingerprint FROM {table}_rows)"""
+
+
+def sql_likeness(one: str, two: str) -> str:
+    both = [f"regexp_extract_all(split_part({side}, ':', 2), '[0-9a-f]{{8}}')" for side in (one, two)]
+    counts = [f"len(list_distinct({side}))" for side in both]
+    return f"CASE WHEN {one} = {two} THEN 1.0::DOUBLE ELSE 2 * len(list_intersect({both[0]}, {both[1]})) / ({counts[0]} + {counts[1]}) END"
+
+
+@registered(
+    "op13_merkle_fingerprints",
+    f"""WITH base AS (SELECT doc_id, coalesce(text, '') AS text FROM documents), {sql_fingerprints("base")},
+        ring AS (SELECT doc_id, text AS mine, fingerprint,
+                        coalesce(lead(text) OVER w, first_value(text) OVER w) AS next_text,
+                        coalesce(lead(fingerprint) OVER w, first_value(fingerprint) OVER w) AS following
+                 FROM base_prints WINDOW w AS (ORDER BY doc_id DESC)),
+        edited AS (SELECT doc_id, length(mine) AS n_chars, fingerprint AS first_print, following,
+                          left(mine, length(mine) - length(mine) // 2) || left(next_text, length(mine) // 2) AS text FROM ring),
+        {sql_fingerprints("edited")}
+        SELECT doc_id, n_chars, sha256(text) AS edited_sha256, first_print AS fingerprint, fingerprint AS edited_fingerprint,
+               {sql_likeness("first_print", "fingerprint")} AS near_edited, {sql_likeness("first_print", "following")} AS near_next
+        FROM edited_prints""",
+)
+def op13(t: Tables) -> DataFrame:
+    docs = followed(t.documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
+    n_chars = F.length("text").cast("bigint")
+    edited = docs.select("*", n_chars.alias("n_chars"), F.concat(F.expr("left(text, length(text) - length(text) DIV 2)"), "prefix").alias("edited"))
+    edited = edited.withColumn("edited_fingerprint", merkle.fingerprint(F.col("edited")))
+    return edited.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        "fingerprint",
+        "edited_fingerprint",
+        merkle.likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
+        merkle.likeness(F.col("fingerprint"), F.col("following")).alias("near_next"),
+    )
