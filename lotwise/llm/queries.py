@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwise.llm import ann, bpe, chat, decontaminate, language, merkle, minhash, periodic, pii, quality, sharding, toxicity
+from lotwise.llm import ann, bpe, chat, decontaminate, language, merkle, minhash, periodic, pii, quality, repair, sharding, toxicity
 from lotwise.operators.ordered import row_numbers
 from lotwise.sources.tables import Tables
 from lotwise.sources.workspace import stage
@@ -236,3 +236,79 @@ def op13(t: Tables) -> DataFrame:
         merkle.likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
         merkle.likeness(F.col("fingerprint"), F.col("following")).alias("near_next"),
     )
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """(conv_id, turn, role, text, gone): rows dropped, emptied, without ends, repeated or given another role by their hash."""
+    one = [F.coalesce(F.col(name).cast("string"), F.lit(" ")) for name in ("conv_id", "turn", "role", "text")]
+    number = F.crc32(F.concat(one[0], F.lit(":"), one[1]).cast("binary")) % 20
+    rows = conversations.select("conv_id", "turn", one[2].alias("role"), one[3].alias("text"), number.alias("h"))
+    text = F.when(F.col("h") == 1, "").when(F.col("h") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
+    role = F.when(F.col("h") == 4, "user").otherwise(F.col("role"))
+    rows = rows.withColumn("again", F.explode(F.array_repeat(F.lit(1), F.when(F.col("h") == 3, 2).otherwise(1))))
+    return rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), (F.col("h") == 0).alias("gone"))
+
+
+# The twin takes the rows one after the other and keeps the least weight (cost in ten digits, audit) of every state. At most
+# two inserts in a row are of use: any further two lead back to the same state.
+SQL_REPAIR = """
+    WITH RECURSIVE bits(n, c, k) AS (
+        SELECT CAST(range AS BIGINT), CAST(range AS BIGINT), 0 FROM range(256)
+        UNION ALL SELECT n, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM bits WHERE k < 8),
+    crc AS (SELECT list(c ORDER BY n) AS t FROM bits WHERE k = 8),
+    hashed AS (
+        SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, xor(4294967295, list_reduce(
+                   list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(
+                       coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda b: CAST(ascii(b) AS BIGINT))),
+                   lambda a, b: xor(a >> 8, t[CAST((xor(a, b) & 255) + 1 AS INTEGER)]))) % 20 AS h
+        FROM conversations, crc),
+    damaged AS (
+        SELECT conv_id, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role,
+               CASE h WHEN 1 THEN '' WHEN 2 THEN replace(replace(replace(text, '.', ''), '!', ''), '?', '') ELSE text END AS text
+        FROM hashed, range(2) AS again(copy) WHERE h <> 0 AND (copy = 0 OR h = 3)),
+    placed AS (
+        SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(CAST(length(role) AS VARCHAR) || ':' || role || text)) AS i FROM damaged),
+    faulty AS (
+        SELECT conv_id, turn, role, text, i, left(role, 1) AS x, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before,
+               CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+                    WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+                    WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE '' END AS fault
+        FROM placed),
+    facts AS (
+        SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+               count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+               count(*) FILTER (before IS NOT NULL AND before || x NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+        FROM faulty GROUP BY conv_id),
+    step(p, x, q, role) AS (VALUES (0, 's', 1, ''), (0, 'u', 2, 'user'), (1, 'u', 2, 'user'), (2, 'a', 3, 'assistant'), (3, 'u', 2, 'user')),
+    gain(p, q, cost, letters, lines) AS (
+        SELECT p, p, 0, '', '' FROM (VALUES (0), (1), (2), (3)) AS v(p)
+        UNION ALL SELECT p, q, 3, 'I', role || ':' || chr(10) FROM step WHERE role <> ''
+        UNION ALL SELECT a.p, b.q, 6, 'II', a.role || ':' || chr(10) || b.role || ':' || chr(10) FROM step a JOIN step b ON a.q = b.p WHERE a.role <> ''),
+    edit(p, x, q, cost, letter, role) AS (
+        SELECT p, CAST(NULL AS VARCHAR), p, 4, 'D', CAST(NULL AS VARCHAR) FROM (VALUES (0), (1), (2), (3)) AS v(p)
+        UNION ALL SELECT p, NULL, q, 3, 'R', role FROM step WHERE role <> ''
+        UNION ALL SELECT p, x, q, 0, 'K', NULL FROM step),
+    best(conv_id, i, state, weight, lines) AS (
+        SELECT conv_id, CAST(0 AS BIGINT), q, printf('%010d', cost) || letters, lines FROM (SELECT DISTINCT conv_id FROM conversations), gain WHERE p = 0
+        UNION ALL
+        SELECT b.conv_id, b.i + 1, g.q,
+               min(printf('%010d', CAST(left(b.weight, 10) AS INTEGER) + e.cost + g.cost + CASE WHEN f.fault = 'truncated' AND e.letter <> 'D' THEN 3 ELSE 0 END)
+                   || substr(b.weight, 11) || e.letter || g.letters),
+               arg_min(b.lines || CASE WHEN e.letter = 'D' THEN '' ELSE coalesce(e.role, f.role) || ':' || f.text || chr(10) END || g.lines,
+                   printf('%010d', CAST(left(b.weight, 10) AS INTEGER) + e.cost + g.cost + CASE WHEN f.fault = 'truncated' AND e.letter <> 'D' THEN 3 ELSE 0 END)
+                   || substr(b.weight, 11) || e.letter || g.letters)
+        FROM best b JOIN faulty f ON f.conv_id IS NOT DISTINCT FROM b.conv_id AND f.i = b.i + 1 JOIN edit e ON e.p = b.state JOIN gain g ON g.p = e.q
+        WHERE (e.x IS NULL OR e.x = f.x) AND (e.letter = 'D' OR f.fault NOT IN ('blank', 'duplicate'))
+        GROUP BY b.conv_id, b.i, g.q)
+    SELECT b.conv_id, coalesce(any_value(gaps), 0) AS gaps, coalesce(any_value(blank), 0) AS blank, coalesce(any_value(duplicate), 0) AS duplicate,
+           coalesce(any_value(truncated), 0) AS truncated, coalesce(any_value(illegal), 0) AS illegal,
+           CAST(left(min(weight), 10) AS BIGINT) AS cost, substr(min(weight), 11) AS audit,
+           sha256(left(arg_min(lines, weight), greatest(length(arg_min(lines, weight)) - 1, 0))) AS repaired_sha256
+    FROM best b LEFT JOIN facts ON facts.conv_id IS NOT DISTINCT FROM b.conv_id
+    WHERE b.i = coalesce(n, 0) AND state IN (0, 3) GROUP BY b.conv_id"""
+
+
+@registered("op11_conversation_repair", SQL_REPAIR)
+def op11(t: Tables) -> DataFrame:
+    found = repair.repaired(damaged(t.conversations), gone=F.col("gone"))
+    return found.select("conv_id", *repair.COUNTS, "cost", "audit", F.sha2("repaired", 256).alias("repaired_sha256"))

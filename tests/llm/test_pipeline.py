@@ -17,7 +17,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def test_registered():
-    assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES) == list(range(1, 14))
     assert set(__spark_entry__.queries()) >= {*QUERIES, "pipeline"}
     assert set(SQL) <= set(QUERIES)
 
