@@ -8,13 +8,18 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+import weakref
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_folder: str | None = None
 _made: list[str] = []
+_inside: ContextVar[list[str] | None] = ContextVar("_inside", default=None)
+_paths: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -35,6 +40,8 @@ def shared_folder(spark: SparkSession) -> str:
 def new_path(spark: SparkSession, label: str) -> str:
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
     _made.append(path)
+    if (inside := _inside.get()) is not None:
+        inside.append(path)
     return path
 
 
@@ -43,7 +50,33 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    _paths[table] = path
+    return table
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Deletes the tables written inside it when it ends, but for those of ``stage`` that the given function is told to keep.
+
+    For steps that need a table only until the next one is written. What other threads write meanwhile stays.
+    """
+    written, kept = [], set()
+    token = _inside.set(written)
+
+    def keep(table: DataFrame) -> DataFrame:
+        kept.add(_paths[table])
+        return table
+
+    try:
+        yield keep
+    finally:
+        _inside.reset(token)
+        for path in set(written) - kept:
+            _made.remove(path)
+            delete(spark, path)
+        if (outer := _inside.get()) is not None:
+            outer.extend(kept)
 
 
 def mark() -> int:

@@ -1,11 +1,12 @@
 """Files, line protocol, layouts and the deterministic generators."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from lotwise.operators import warehouse as dw
 from lotwise.sources import files
 from lotwise.sources import generate as g
-from lotwise.sources.workspace import new_path, shared_folder
+from lotwise.sources.workspace import names, new_path, scratch, shared_folder, stage
 
 
 def rows(df, *names):
@@ -19,6 +20,24 @@ def test_shared_folder_follows_the_session(spark):
     assert new_path(spark, "x") != new_path(spark, "x")
 
 
+def test_scratch_tables_go_when_no_longer_needed(spark):
+    folder = shared_folder(spark)
+    before = set(names(spark, folder))
+    with scratch(spark) as keep_outer:
+        one = stage(spark.range(3), "one")
+        with scratch(spark) as keep:
+            stage(spark.range(4), "two")
+            three = keep(stage(one.selectExpr("id + 1 AS id"), "three"))
+        assert sorted(name.split("-")[0] for name in set(names(spark, folder)) - before) == ["one", "three"]
+        keep_outer(three)
+    assert [name.split("-")[0] for name in set(names(spark, folder)) - before] == ["three"]
+    assert sorted(r[0] for r in three.collect()) == [1, 2, 3]
+    with pytest.raises(ZeroDivisionError), scratch(spark):
+        stage(spark.range(1), "failed")
+        raise ZeroDivisionError
+    assert len(set(names(spark, folder)) - before) == 1
+
+
 def test_csv_keeps_bad_lines(spark):
     path = new_path(spark, "csv")
     spark.createDataFrame([("code,credits",), ("A1,4.5",), ("B2,many",)], "value string").coalesce(1).write.text(path)
