@@ -11,7 +11,9 @@ linked at a Jaccard similarity of at least ``percent`` / 100, and a component is
    collisions of 1/16, estimates the similarity; pairs 4.5 deviations below the threshold are dropped.
 4. Pairs are not all pairs of a bucket. First every document meets the hub (smallest id) it shares most keys with, then
    the other hubs outside its component. What then still shares a bucket with another component is paired where two
-   documents share one of their rarest shingles: with m shingles, the rarest 15 % and one; linked pairs cannot miss it.
+   documents share one of their rarest shingles: of m shingles the rarest 15 % and one at most, fewer for larger partners;
+   linked pairs cannot miss it. A sketch of 2,048 parities, which never overstates a difference, drops what is too unlike
+   (sets of more shingles go by the estimate), so a family of texts that are nearly but not quite similar makes few pairs.
 5. Each pair is confirmed on both whole sets, made again from the texts.
 
 Null ids belong to no component. Rows that repeat an id are one document whose links are those of all its rows.
@@ -29,7 +31,7 @@ from pyspark.sql import functions as F
 
 from lotwise.llm.batches import chunks, mixed, range_hashes, rows_per_batch, runs, texts_of, utf8_of, weighted
 from lotwise.llm.components import components
-from lotwise.sources.workspace import stage
+from lotwise.sources.workspace import scratch, stage
 
 WIDTH = 5
 ROWS, LANES, BITS = 5, 256, 4
@@ -37,6 +39,8 @@ ROWS, LANES, BITS = 5, 256, 4
 BANDS, SLACK, MISS = 26, 0.105, 2.4e-7
 BATCH = 1_000  # rows sent to Python at once
 BLOCK = 32_768  # elements hashed at once, so that they stay in the processor's cache
+#: Bits of a sketch, and up to how many shingles a set gets one.
+SKETCH, SKETCHED = 2_048, 2_048
 FOLD = np.arange(256, dtype=np.uint8)
 FOLD[65:91] += 32
 SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
@@ -130,7 +134,22 @@ def packed(low: np.ndarray) -> np.ndarray:
     return np.concatenate(planes)
 
 
-FEATURES = "doc_id bigint, n_shingles bigint, high bigint, low bigint, bits array<bigint>, bands array<bigint>"
+def sketches(hashes: np.ndarray, owner: np.ndarray, count: int) -> np.ndarray:
+    """For each set (row) the parities of its elements dealt to ``SKETCH`` places, as numbers of 64 bits.
+
+    An element in one of two sets changes one bit, so two sketches differ in at most as many bits as the sets in elements.
+    """
+    packed_ = np.empty((count, SKETCH // 64), np.uint64)
+    places = (hashes >> np.uint64(64 - (SKETCH - 1).bit_length())).astype(np.int64)
+    for at in range(0, count, 256):
+        stop = min(count, at + 256)
+        low, high = np.searchsorted(owner, [at, stop])
+        odd = np.bincount((owner[low:high] - at) * SKETCH + places[low:high], minlength=(stop - at) * SKETCH) & 1
+        packed_[at:stop] = np.packbits(odd.astype(np.uint8).reshape(stop - at, SKETCH), axis=1, bitorder="little").view(np.uint64)
+    return packed_
+
+
+FEATURES = "doc_id bigint, n_shingles bigint, high bigint, low bigint, bits array<bigint>, bands array<bigint>, sketch array<bigint>"
 
 
 def features(df: DataFrame, key: str, text: str, n_bands: int = BANDS) -> DataFrame:
@@ -153,8 +172,10 @@ def features(df: DataFrame, key: str, text: str, n_bands: int = BANDS) -> DataFr
                     low = minima(hashes, begin)
                     bits, bands = packed(low), band_keys(low, n_bands)
                 columns = [piece.column(0), pa.array(sizes.astype(np.int64)), *(pa.array(m.view(np.int64)) for m in marks)]
+                short = np.flatnonzero((sizes > 0) & (sizes <= SKETCHED))
                 columns += [_lists(bits, full, len(texts)), _lists(bands, full, len(texts))]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "high", "low", "bits", "bands"])
+                columns += [_lists(sketches(hashes, owner, len(texts))[short].T, short, len(texts))]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "high", "low", "bits", "bands", "sketch"])
 
     return df.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(each, FEATURES)
 
@@ -181,13 +202,16 @@ def estimate(left: Column, right: Column) -> Column:
     return (F.lit(1.0) - different / LANES - chance) / (1 - chance)
 
 
+def may_be_near(left: Column, right: Column, total: Column, percent: int) -> Column:
+    """False only for two sets, of ``total`` elements together, whose sketches differ in more bits than linked sets could."""
+    unlike = F.lit(0)
+    for i in range(SKETCH // 64):
+        unlike = unlike + F.bit_count(left[i].bitwiseXOR(right[i]))
+    return (F.size(left) == 0) | (F.size(right) == 0) | (unlike * (100 + percent) <= total * (100 - percent))
+
+
 def confirmed(pairs: DataFrame, df: DataFrame, key: str, text: str, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole sets are similar enough, as a written table."""
-    wanted = pairs.select("a").union(pairs.select("b")).distinct()
-    texts = df.select(F.col(key).cast("bigint").alias("a"), F.col(text).cast("string").alias("left"))
-    texts = stage(texts.join(wanted, "a"), "contested")
-    others = texts.select(F.col("a").alias("b"), F.col("left").alias("right"))
-    joined = pairs.join(texts, "a").join(others, "b").select("a", "b", "left", "right")
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -202,22 +226,31 @@ def confirmed(pairs: DataFrame, df: DataFrame, key: str, text: str, percent: int
                 total = np.bincount(owner, minlength=count) + np.bincount(their, minlength=count) - both
                 yield piece.filter(pa.array((total > 0) & (100 * both >= percent * total))).select([0, 1])
 
-    with rows_per_batch(df.sparkSession, BATCH):
-        return stage(joined.mapInArrow(each, "a bigint, b bigint"), "confirmed")
+    wanted = pairs.select("a").union(pairs.select("b")).distinct()
+    texts = df.select(F.col(key).cast("bigint").alias("a"), F.col(text).cast("string").alias("left"))
+    with scratch(df.sparkSession) as keep, rows_per_batch(df.sparkSession, BATCH):
+        texts = stage(texts.join(wanted, "a"), "contested")
+        others = texts.select(F.col("a").alias("b"), F.col("left").alias("right"))
+        joined = pairs.join(texts, "a").join(others, "b").select("a", "b", "left", "right")
+        return keep(stage(joined.mapInArrow(each, "a bigint, b bigint"), "confirmed"))
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 85) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row; ``kept`` marks the smallest id of each component."""
-    with rows_per_batch(df.sparkSession, BATCH):
-        made = stage(features(df, key, text, bands_for(percent)), "minhash")
-    full = made.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = full.groupBy("high", "low", "n_shingles").agg(F.min("doc_id").alias("class"))
-    members = stage(full.select("doc_id", "n_shingles", "high", "low").join(classes, ["high", "low", "n_shingles"]).select("doc_id", "class"), "classes")
-    first = stage(full.join(members.where("doc_id = class").select("doc_id").distinct(), "doc_id"), "representatives")
-    # An id on several rows may belong to several classes; its rows are linked through it.
-    same = members.where("doc_id <> class").select(F.col("doc_id").alias("a"), F.col("class").alias("b"))
-    found = components(same.unionByName(_links(first, df, key, text, percent)))
-    result = made.select("doc_id", "n_shingles").join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    spark = df.sparkSession
+    with scratch(spark) as keep:
+        with rows_per_batch(spark, BATCH):
+            made = stage(features(df, key, text, bands_for(percent)), "minhash")
+        full = made.where("n_shingles > 0 AND doc_id IS NOT NULL")
+        classes = full.groupBy("high", "low", "n_shingles").agg(F.min("doc_id").alias("class"))
+        members = full.select("doc_id", "n_shingles", "high", "low").join(classes, ["high", "low", "n_shingles"]).select("doc_id", "class")
+        members = stage(members, "classes")
+        first = full.join(members.where("doc_id = class").select("doc_id").distinct(), "doc_id").drop("high", "low", "n_shingles")
+        # An id on several rows may belong to several classes; its rows are linked through it.
+        same = members.where("doc_id <> class").select(F.col("doc_id").alias("a"), F.col("class").alias("b"))
+        found = components(same.unionByName(_links(first, df, key, text, percent)))
+        found, sizes = keep(stage(found, "found")), keep(stage(made.select("doc_id", "n_shingles"), "sizes"))
+    result = sizes.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     component = F.coalesce("component", "doc_id")
     kept = F.coalesce(F.col("doc_id") == component, F.lit(True))
     return result.select("doc_id", "n_shingles", component.alias("component_id"), kept.alias("kept"))
@@ -227,7 +260,8 @@ def _links(first: DataFrame, df: DataFrame, key: str, text: str, percent: int) -
     keyed = first.select("doc_id", F.posexplode("bands").alias("band", "key"))
     hubs = keyed.groupBy("key").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("last")).where("hub < last")
     buckets = stage(keyed.join(hubs.select("key", "hub"), "key"), "buckets")
-    marks = first.select("doc_id", "bits", "bands")
+    first = stage(first.drop("bands"), "representatives")
+    marks = first.select("doc_id", "bits")
 
     def alike(left: str, right: str) -> Column:
         return estimate(F.col(left), F.col(right)) >= percent / 100 - slack_for(percent)
@@ -249,11 +283,14 @@ def _links(first: DataFrame, df: DataFrame, key: str, text: str, percent: int) -
     placed = _placed(buckets.select("doc_id", "key"), "doc_id", place, "component")
     keys = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
     open_ = placed.join(keys.select("key"), "key").select("doc_id", "component").distinct()
-    open_ = stage(open_.join(marks, "doc_id"), "open")
-    rare = stage(_rarest(open_, df, key, text, percent), "rarest").select("*", F.posexplode("prefix").alias("at", "hash"))
+    open_ = stage(open_.join(first.select("doc_id", "bits", "sketch"), "doc_id"), "open")
+    with scratch(df.sparkSession) as keep:
+        rarest = keep(stage(_rarest(open_, df, key, text, percent), "rarest"))
+    rare = _partnered(rarest, percent)
     one, two = (rare.select(*(F.col(name).alias(name + side) for name in rare.columns)) for side in "12")
-    sizes = (100 * F.col("n1") >= percent * F.col("n2")) & (100 * F.col("n2") >= percent * F.col("n1"))
+    sizes = (F.col("n1") <= F.col("reach2")) & (F.col("n2") <= F.col("reach1"))
     apart = (F.col("component1") != F.col("component2")) & (F.col("doc_id1") > F.col("doc_id2")) & sizes
+    apart = apart & may_be_near(F.col("sketch1"), F.col("sketch2"), F.col("n1") + F.col("n2"), percent)
     # A pair that shares several of them is made at the first.
     again = F.arrays_overlap(F.expr("slice(prefix1, 1, at1)"), F.expr("slice(prefix2, 1, at2)"))
     pairs = one.join(two, (F.col("hash1") == F.col("hash2")) & apart & alike("bits1", "bits2") & ~again)
@@ -284,8 +321,24 @@ def _rarest(open_: DataFrame, df: DataFrame, key: str, text: str, percent: int)
     shared = shared.withColumn("shared", F.count("*").over(Window.partitionBy("doc_id", "n")))
     bound = F.expr(f"n - CAST(ceil(n * {percent} / 100) AS BIGINT) + 1 - (n - shared)")
     prefix = F.transform(F.sort_array(F.collect_list(F.struct("place", "hash"))), lambda one: one["hash"])
-    rarest = shared.where(F.col("place") <= bound).groupBy("doc_id", "n").agg(prefix.alias("prefix"))
-    return rarest.join(open_.drop("bands"), "doc_id")
+    rarest = shared.where(F.col("place") <= bound).groupBy("doc_id", "n", "shared").agg(prefix.alias("prefix"))
+    return rarest.join(open_, "doc_id")
+
+
+def _partnered(rarest: DataFrame, percent: int) -> DataFrame:
+    """The entries of the prefixes that can have a partner, one a row: ``at`` in the prefix, ``hash``, and ``reach``.
+
+    Two linked documents of n and m shingles have at least (n + m) * p / (1 + p) in common, so the first that they share
+    has at least so many, less one, behind it in both. An entry at rank r of n can thus only join a document of at most
+    ``reach`` shingles, and an entry that no other of its hash can join is dropped: a document with enough shingles of its
+    own, which come first, joins none of its size, however many others share the rest with it.
+    """
+    rows = rarest.select("*", F.posexplode("prefix").alias("at", "hash"))
+    # Of n shingles, the unshared come first: so many less than ``shared`` stand behind.
+    rows = rows.withColumn("reach", F.expr(f"(shared - at) * {100 + percent} DIV {percent} - n"))
+    rows = rows.where(F.expr(f"100 * reach >= {percent} * n"))
+    ends = rows.groupBy("hash").agg(F.min("n").alias("least"), F.max("reach").alias("furthest"), F.count("*").alias("often")).where("often > 1")
+    return rows.join(ends, "hash").where("least <= reach AND furthest >= n").drop("least", "furthest", "often")
 
 
 def _placed(df: DataFrame, node: str, place: DataFrame, name: str) -> DataFrame:

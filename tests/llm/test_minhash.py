@@ -3,6 +3,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 
 from lotwise.llm import minhash
 from lotwise.llm.components import components
@@ -55,9 +56,9 @@ def corpus():
     return rows + [(400, "a b"), (401, "A  B"), (402, "a b c d"), (403, ""), (404, None), (405, "a\x0bb"), (406, "a\xa0b")]
 
 
-def check(spark, rows):
-    found = minhash.near_duplicates(texts(spark, rows)).collect()
-    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found if r["doc_id"] is not None) == brute_force(rows)
+def check(spark, rows, percent=85):
+    found = minhash.near_duplicates(texts(spark, rows), percent=percent).collect()
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found if r["doc_id"] is not None) == brute_force(rows, percent)
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in found if r["doc_id"] is not None)
     return found
 
@@ -66,6 +67,53 @@ def test_components_equal_brute_force(spark):
     check(spark, corpus())
 
 
+def variants(count, length=300, changed=4, extra=0):
+    """Texts that each change some words of one text and repeat some of their words, so that few pairs are similar enough."""
+    pick, rows = random.Random(9), []
+    base = [f"b{n}" for n in range(length)]
+    for key in range(count):
+        words = list(base)
+        for at in pick.sample(range(length), changed):
+            words[at] = f"n{key}_{at}"
+        more = pick.randint(0, extra)
+        rows.append((key, " ".join(words + [f"e{key}_{n}" for n in range(more)])))
+    return rows
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_families_equal_brute_force(spark, percent):
+    rows = variants(90) + [(1000 + key, text) for key, text in variants(60, 60, 1, 8)] + [(2000 + key, text) for key, text in variants(50, 2500, 60)]
+    check(spark, rows, percent)
+
+
+def test_pairs_do_not_grow_with_the_square_of_a_family(spark, monkeypatch):
+    counts = []
+    real = minhash.confirmed
+
+    def counted(pairs, *args):
+        counts[-1] += pairs.count()
+        return real(pairs, *args)
+
+    monkeypatch.setattr(minhash, "confirmed", counted)
+    for size in (150, 300, 600):
+        counts.append(0)
+        minhash.near_duplicates(texts(spark, variants(size)))
+    assert counts[1] < 2.5 * counts[0] and counts[2] < 2.5 * counts[1]
+
+
+def test_sketches_never_overstate_a_difference():
+    pick = np.random.default_rng(2)
+    every = pick.integers(0, 1 << 63, 3000, dtype=np.uint64)
+    sets = [np.unique(pick.choice(every, size)) for size in (1, 40, 900, 1500, 2000) for _ in range(3)]
+    owner = np.repeat(np.arange(len(sets)), list(map(len, sets)))
+    bits = minhash.sketches(np.concatenate(sets), owner, len(sets))
+    for i, left in enumerate(sets):
+        for j, right in enumerate(sets):
+            unlike = len(set(left.tolist()) ^ set(right.tolist()))
+            found = int(np.bitwise_count(bits[i] ^ bits[j]).sum())
+            assert found <= unlike and (unlike - found) % 2 == 0 and (unlike > 200 or found >= 0.7 * unlike)
+
+
 def test_odd_rows(spark):
     rows = TEXTS + [(9, LONG + "end"), (10, LONG)]
     found = check(spark, rows)

@@ -38,7 +38,7 @@ def test_stages(spark):
         assert docs.columns == COLUMNS
         sizes.append(docs.count())
         if name == "near_duplicates":
-            kept = [key for key, _, component in brute_force([tuple(r) for r in before.select("doc_id", "text").collect()]) if key == component]
+            kept = [key for key, _, component in brute_force([tuple(r) for r in before.select("doc_id", "text").collect()], corpus_pipeline.NEAR) if key == component]
             assert sorted(r[0] for r in docs.select("doc_id").collect()) == kept
     assert sizes == sorted(sizes, reverse=True) and sizes[3] == sizes[4] and sizes[-1] > 0.6 * sizes[0]
     assert not [r for r in docs.select("text").collect() if re.search(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r[0])]
