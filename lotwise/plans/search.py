@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lotwise.functions import text
-from lotwise.functions.geo import in_box, in_circle
 from lotwise.functions.ranges import around_highest, make_range, overlaps
 from lotwise.operators.ordered import joined_null_safe
 from lotwise.operators.search import bool_query, match, postings
 from lotwise.plans.registry import query
+from lotwise.sources.grid import points_in_box, points_in_circle, write_points
+from lotwise.sources.workspace import layout
 
 WORDS = r"list_filter(string_split_regex(lower({0}), '[^\p{{L}}\p{{N}}]+'), lambda w: w <> '')"
 TOKENS = "list_distinct(" + WORDS + ")"
@@ -293,9 +294,17 @@ def value_in_range(t):
     return t.customer.join(readings, F.col("user_id") == F.col("c_custkey")).select("c_custkey", "c_name", "value")
 
 
-def _points(t):
-    x, y = F.col("embedding")[0].cast("double"), F.col("embedding")[1].cast("double")
-    return t.embeddings.select("vec_id", x.alias("x"), y.alias("y"))
+SIZE = 0.02
+
+
+def _points(t) -> str:
+    """The points of the vectors' first two numbers, stored along their cells once for these data."""
+
+    def write(path: str) -> None:
+        x, y = F.col("embedding")[0].cast("double"), F.col("embedding")[1].cast("double")
+        write_points(t.embeddings.select("vec_id", x.alias("x"), y.alias("y")), path, "x", "y", SIZE)
+
+    return layout(t.spark, "points", [t.path("embeddings")], write)
 
 
 POINTS = "(SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y FROM embeddings)"
@@ -303,9 +312,9 @@ POINTS = "(SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] A
 
 @query("GEO-1", f"SELECT vec_id, x, y FROM {POINTS} WHERE power(x - 0.05, 2) + power(y + 0.02, 2) <= 0.01")
 def point_in_circle(t):
-    return _points(t).where(in_circle(F.col("x"), F.col("y"), (0.05, -0.02), 0.1))
+    return points_in_circle(t.spark, _points(t), "x", "y", SIZE, (0.05, -0.02), 0.1)
 
 
 @query("GEO-2", f"SELECT vec_id, x, y FROM {POINTS} WHERE x BETWEEN -0.1 AND 0.1 AND y BETWEEN 0 AND 0.2")
 def point_in_box(t):
-    return _points(t).where(in_box(F.col("x"), F.col("y"), (0.1, 0.2), (-0.1, 0.0)))
+    return points_in_box(t.spark, _points(t), "x", "y", SIZE, (0.1, 0.2), (-0.1, 0.0))

@@ -6,10 +6,11 @@ gets a private temporary folder.
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
 import weakref
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from contextvars import ContextVar
@@ -79,6 +80,41 @@ def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
             outer.extend(kept)
 
 
+def layout(spark: SparkSession, label: str, sources: Sequence[str], write: Callable[[str], None]) -> str:
+    """The folder of a table that ``write`` derives from the files at ``sources``: written by whoever asks first, then reused.
+
+    The folder is named after the paths, sizes and times of those files, so new data make a new one. It appears when it is
+    complete. ``release`` leaves it; it is dropped with the shared folder.
+    """
+    listing = sorted(line for source in sources for line in _files(spark, source))
+    path = f"{shared_folder(spark)}/layout-{label}-{hashlib.sha256(repr(listing).encode()).hexdigest()[:24]}"
+    if not names(spark, path):
+        building = f"{path}-{uuid.uuid4().hex}"
+        write(building)
+        if not renamed(spark, building, path):
+            delete(spark, building)  # another session was first
+    return path
+
+
+def _files(spark: SparkSession, source: str) -> list[str]:
+    store, folder = _opened(spark, source)
+    found, left = [], [folder]
+    while left:
+        for status in store.listStatus(left.pop()):
+            if status.isDirectory():
+                left.append(status.getPath())
+            elif not status.getPath().getName().startswith(("_", ".")):
+                found.append(f"{status.getPath()} {status.getLen()} {status.getModificationTime()}")
+    return found
+
+
+def renamed(spark: SparkSession, old: str, new: str) -> bool:
+    """Gives a folder or file its final name, unless there is one of that name already."""
+    store, source = _opened(spark, old)
+    _, target = _opened(spark, new)
+    return not store.exists(target) and store.rename(source, target)
+
+
 def mark() -> int:
     """Remembers which tables are already written, for a ``release`` of what comes after."""
     return len(_made)
