@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -58,6 +58,23 @@ def trigram_similarity(left, right) -> Column:
     return F.transform(pairs, of_pair)[0]
 
 
+def named(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once per row, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def term_counts(value) -> Column:
+    """The words of a text with how often each occurs, by word: the sorted words are cut where the next one begins."""
+
+    def counted(sorted_: Column) -> Column:
+        size = F.size(sorted_)
+        first = F.filter(F.sequence(F.lit(0), size - 1), lambda at: (at == 0) | (F.get(sorted_, at) != F.get(sorted_, at - 1)))
+        return named(first, lambda starts: F.transform(starts, lambda at, i: F.struct(F.get(sorted_, at).alias("term"), (F.coalesce(F.get(starts, i + 1), size) - at).alias("tf"))))
+
+    none = F.array().cast("array<struct<term:string,tf:int>>")
+    return named(F.array_sort(words(value)), lambda sorted_: F.when(F.size(sorted_) > 0, counted(sorted_)).otherwise(none))
+
+
 def one_space(value) -> Column:
     return F.regexp_replace(F.trim(_col(value)), " {2,}", " ")
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lotwise.functions.text import words
+from lotwise.functions.text import term_counts, words
 from lotwise.sources.workspace import stage
 
 # The usual BM25 parameters.
@@ -22,10 +22,11 @@ def match(df: DataFrame, key: str, text: str, terms: Sequence[str]) -> DataFrame
     """(key, score) of documents with at least one of the terms, scored by BM25.
 
     Only the query terms are counted, so the corpus is never exploded. One pass over the texts leaves a few numbers per
-    document; those are written, and serve the corpus statistics and the scores.
+    document; those are written, and serve the corpus statistics and the scores. No text is shuffled. For texts that are
+    asked more than once, ``operators.index`` keeps what this pass finds.
     """
     terms = [term.lower() for term in terms]
-    listed = df.select(key, text).repartition(key).select(F.col(key), words(text).alias("_words"))
+    listed = df.select(F.col(key), words(text).alias("_words"))
     counted = stage(
         listed.select(
             key,
@@ -64,13 +65,12 @@ def bool_query(df: DataFrame, must: Sequence[Column], should: Sequence[tuple[Col
 def postings(df: DataFrame, key: str, text: str, segment: int = 1024) -> DataFrame:
     """Inverted index: for each term and range of ``segment`` document ids, the ids with their term frequency.
 
-    A common word occurs in a third of the documents; its posting list is kept in segments that stay small. The texts
-    are spread by document first, so that counting needs no shuffle of its own and few large files make many tasks; the
-    postings are shuffled once.
+    A common word occurs in a third of the documents; its posting list is kept in segments that stay small. Words are
+    counted inside each row, so no text is shuffled; the counts of rows that repeat an id are added up before and after
+    they are dealt out by id and term, so that an id with a third of all rows is spread over the tasks.
     """
-    spread = df.select(key, text).repartition(key)
-    listed = spread.select(F.col(key), F.explode(words(text)).alias("term"))
-    counted = listed.groupBy(key, "term").agg(F.count("*").alias("tf"))
+    listed = df.select(F.col(key), F.explode(term_counts(text)).alias("_one")).select(key, "_one.*")
+    counted = listed.groupBy(key, "term").agg(F.sum("tf").alias("tf"))
     part = F.expr(f"`{key}` div {segment}").alias("segment")
     gathered = counted.groupBy("term", part).agg(
         F.count("*").alias("documents"),

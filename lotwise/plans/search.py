@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from lotwise.functions import text
 from lotwise.functions.ranges import around_highest, make_range, overlaps
-from lotwise.operators.ordered import joined_null_safe
-from lotwise.operators.search import bool_query, match, postings
+from lotwise.operators import trigrams
+from lotwise.operators.index import Index, write_index
+from lotwise.operators.search import bool_query, postings
 from lotwise.plans.registry import query
 from lotwise.sources.grid import points_in_box, points_in_circle, write_points
 from lotwise.sources.workspace import layout
@@ -33,12 +34,22 @@ def token_sets(t):
     return t.documents.select("doc_id", F.size(text.tokens("source", "text")).cast("bigint").alias("size"))
 
 
+def _index(t) -> Index:
+    """The full-text index of the documents, written once for these data."""
+    return Index(t.spark, layout(t.spark, "texts", [t.path("documents")], lambda path: write_index(t.documents, path, "text", ["doc_id", "source"])))
+
+
+def _names(t) -> str:
+    """The pieces of the part names, written once for these data."""
+    return layout(t.spark, "names", [t.path("part")], lambda path: trigrams.write_trigrams(t.part, "p_name", path))
+
+
 @query(
     "TXT-2",
     f"SELECT doc_id, source FROM documents WHERE list_has_all({TOKENS.format('text')}, ['the', 'by', 'in'])",
 )
 def all_terms(t):
-    return t.documents.where(text.has_all(text.tokens("text"), ["the", "by", "in"])).select("doc_id", "source")
+    return _index(t).with_all(["the", "by", "in"]).select("doc_id", "source")
 
 
 @query(
@@ -46,7 +57,7 @@ def all_terms(t):
     f"SELECT doc_id, source FROM documents WHERE list_has_any({TOKENS.format('text')}, ['owner', 'nicht', 'que'])",
 )
 def any_term(t):
-    return t.documents.where(text.has_any(text.tokens("text"), ["owner", "nicht", "que"])).select("doc_id", "source")
+    return _index(t).with_any(["owner", "nicht", "que"]).select("doc_id", "source")
 
 
 @query("TXT-4", "SELECT doc_id, source FROM documents WHERE lower(text) LIKE '%the%'")
@@ -60,10 +71,8 @@ def substring(t):
         WHERE similarity >= 0.2""",
 )
 def similar_names(t):
-    # Equal names get their similarity once.
-    names = t.part.select("p_name").distinct()
-    scored = names.withColumn("similarity", text.trigram_similarity("p_name", F.lit("blue bolt")))
-    return t.part.join(scored.where("similarity >= 0.2"), "p_name").select("p_partkey", "p_name", "similarity")
+    found = trigrams.similar(t.spark, _names(t), "blue bolt", 0.2)
+    return t.part.join(found, F.col("p_name") == F.col("name")).select("p_partkey", "p_name", "similarity")
 
 
 @query(
@@ -72,10 +81,12 @@ def similar_names(t):
         ORDER BY distance, p_partkey LIMIT 5""",
 )
 def nearest_names(t):
-    # Equal names are measured once, whatever the number of parts that have them.
-    distance = 1 - text.trigram_similarity("p_name", F.lit("small red ring"))
-    names = t.part.select("p_name").distinct().withColumn("distance", distance)
-    measured = joined_null_safe(t.part.select("p_partkey", "p_name"), names, ["p_name"])
+    parts = t.part.select("p_partkey", "p_name")
+    found, enough = trigrams.nearest(t.spark, _names(t), "small red ring", 5)
+    measured = parts.join(found, F.col("p_name") == F.col("name")).select("p_partkey", "p_name", (1 - F.col("similarity")).alias("distance"))
+    if not enough:  # then ``found`` has every name that shares anything, and the others are all equally far
+        others = parts.join(found, F.col("p_name") == F.col("name"), "left_anti").withColumn("distance", F.lit(1.0))
+        measured = measured.unionByName(others)
     return measured.orderBy("distance", "p_partkey").limit(5)
 
 
@@ -98,7 +109,7 @@ def _bm25(i: int) -> str:
         SELECT doc_id, round({_bm25(0)} + {_bm25(1)}, 6) AS score FROM counted, stats WHERE tf0 + tf1 > 0""",
 )
 def analysed_match(t):
-    scored = match(t.documents, "doc_id", "text", ["The", "que"])
+    scored = _index(t).scored(["The", "que"])
     return scored.select("doc_id", F.round("score", 6).alias("score"))
 
 
