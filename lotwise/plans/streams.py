@@ -7,7 +7,11 @@ from pyspark.sql import functions as F
 from lotwise.functions.money import mean, money, sql_mean
 from lotwise.plans.registry import query
 from lotwise.sources.tables import SCHEMAS
-from lotwise.streaming import queue, runtime, series, triggers
+from lotwise.sources.workspace import new_path
+from lotwise.streaming import keyed, queue, runtime, series, triggers
+
+#: For streams over a finished table, whose rows come in any order of time.
+ANY_AGE = "36500 days"
 
 
 def event_stream(t):
@@ -87,7 +91,8 @@ def retries(t):
 
 @query("ST-3-stream", FOLDED)
 def retries_streamed(t):
-    return _folded(queue.keep_state(t.spark, open_tasks(t), outcomes_of(event_stream(t))))
+    outcomes = outcomes_of(event_stream(t))
+    return _folded(keyed.retries(open_tasks(t), outcomes, new_path(t.spark, "retries"), ANY_AGE)[0])
 
 
 @query(
@@ -163,24 +168,42 @@ def _grown(t):
     return series.increases(samples, ["event_type", "user_id"], "ts", "event_id", "value")
 
 
-@query(
-    "ST-9",
-    f"""SELECT event_type, window_start, CAST(sum(increase) AS DOUBLE) / 300 AS rate FROM {DEALT} GROUP BY ALL""",
-)
+RATES = f"""SELECT event_type, window_start, CAST(sum(increase) AS DOUBLE) / 300 AS rate FROM {DEALT} GROUP BY ALL"""
+
+
+@query("ST-9", RATES)
 def counter_rates(t):
     return series.sliding_rates(_grown(t), ["event_type"], "ts", unit=100)
 
 
-@query(
-    "ST-10",
-    f"""SELECT window_start, CAST(sum(increase) AS DOUBLE) / 300 / count(DISTINCT (event_type, user_id)) * 1000 AS mean_rate
-        FROM {DEALT} GROUP BY window_start""",
-)
+def _streamed_steps(t):
+    """Growth of each series and step, from a stream of samples, as rows that the sliding windows take."""
+    samples = event_stream(t).select("event_id", "event_type", "user_id", F.col("ts").alias("at"), (money("value") * 100).cast("bigint").alias("cents"))
+    grown = keyed.counter_growth(samples, ["event_type", "user_id"], F.col("at"), "event_id", "cents", new_path(t.spark, "steps"), ANY_AGE)
+    return grown.select("event_type", "user_id", F.timestamp_seconds("step").alias("ts"), F.col("growth").alias("increase"))
+
+
+@query("ST-9-stream", RATES)
+def counter_rates_streamed(t):
+    return series.sliding_rates(_streamed_steps(t), ["event_type"], "ts", unit=100)
+
+
+MEANS = f"""SELECT window_start, CAST(sum(increase) AS DOUBLE) / 300 / count(DISTINCT (event_type, user_id)) * 1000 AS mean_rate
+            FROM {DEALT} GROUP BY window_start"""
+
+
+@query("ST-10", MEANS)
 def mean_rate(t):
     means = series.mean_rates(_grown(t), ["event_type", "user_id"], "ts", unit=100)
     return means.withColumn("mean_rate", F.col("mean_rate") * 1000)
 
 
+@query("ST-10-stream", MEANS)
+def mean_rate_streamed(t):
+    means = series.mean_rates(_streamed_steps(t), ["event_type", "user_id"], "ts", unit=100)
+    return means.withColumn("mean_rate", F.col("mean_rate") * 1000)
+
+
 @query(
     "ST-11",
     """SELECT count(*) AS series, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS active FROM events
@@ -281,4 +304,4 @@ def price_changes(t):
 
 @query("ST-17-stream", CHANGES)
 def price_changes_streamed(t):
-    return triggers.price_change_stream(t.spark, _prices(event_stream(t)))
+    return keyed.price_changes(_prices(event_stream(t)), new_path(t.spark, "prices"))

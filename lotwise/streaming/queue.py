@@ -2,16 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lotwise.sources.workspace import new_path
-from lotwise.streaming.runtime import run_batches, write_batch
-from lotwise.streaming.state import KeyedState
-
-BACK_OFF_MINUTES = 5
-ERROR_TEXT = "Processing failed"
-TASK = "task_id bigint, status string, attempts bigint, scheduled_at timestamp, last_error string"
+from lotwise.streaming.keyed import BACK_OFF_MINUTES, ERROR_TEXT
 
 
 def dispatch_plan(tasks: DataFrame, as_of: Column, count: int) -> DataFrame:
@@ -50,34 +44,6 @@ def fold_outcomes(tasks: DataFrame, outcomes: DataFrame, max_attempts: int | Non
     )
 
 
-def keep_state(
-    spark: SparkSession, tasks: DataFrame, stream: DataFrame, max_attempts: int | None = None, folder: str | None = None
-) -> DataFrame:
-    """Folds a stream of outcomes into the tasks, one micro-batch at a time.
-
-    Finished tasks leave for an append-only folder, so the state holds open work only, and a batch rewrites only the
-    buckets of the tasks it names. ``folder`` keeps state, results and checkpoint: a call with the same folder goes on
-    where the last one stopped. Outcomes of a task that is no longer open are late and find nothing to change.
-    """
-    folder = folder or new_path(spark, "queue")
-    state = KeyedState(spark, f"{folder}/open", TASK, "task_id")
-    state.begin(tasks)
-    spark.createDataFrame([], TASK).write.mode("ignore").parquet(f"{folder}/finished/batch=-1")
-
-    def step(batch: DataFrame, number: int) -> None:
-        batch = batch.persist()
-        touched = state.touched(batch)
-        whole = fold_outcomes(state.before(number, touched), batch, max_attempts).persist()
-        write_batch(whole.where("status IN ('Completed', 'Failed')"), f"{folder}/finished", number)
-        state.after(number, whole.where("status NOT IN ('Completed', 'Failed')"), touched)
-        whole.unpersist()
-        batch.unpersist()
-
-    run_batches(stream, step, f"{folder}/checkpoint")
-    finished = spark.read.schema(TASK + ", batch int").parquet(f"{folder}/finished").drop("batch")
-    return state.before(state.last() + 1).unionByName(finished)
-
-
 def lag(tasks: DataFrame, as_of: Column) -> DataFrame:
     """Age in seconds of the oldest ready task, as a number and as minutes and seconds, and the number waiting."""
     ready = tasks.where("status = 'Ready'").agg(

@@ -6,12 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotwise.functions import text
-from lotwise.operators.change import keep_one, upsert
 from lotwise.operators.ordered import row_frames
 from lotwise.operators.quality import EMAIL
 from lotwise.sources.workspace import new_path
 from lotwise.streaming.runtime import read_batches, run_batches, write_batch
-from lotwise.streaming.state import KeyedState
 
 
 #: Numbers of a sequence that are one slice of it.
@@ -105,31 +103,3 @@ def price_changes(prices: DataFrame) -> DataFrame:
     paired = row_frames(prices, ["ad_id"], ["seq"], lambda w: {"old_price": F.lag("price").over(w), "_first": F.lag("seq").over(w).isNull()}, before=1, slice_of=F.expr(f"seq div {SEQUENCE}"))
     changed = paired.where(~F.col("_first") & ~F.col("old_price").eqNullSafe(F.col("price")))
     return changed.select("ad_id", "seq", "old_price", F.col("price").alias("new_price"), (F.col("price") - F.col("old_price")).alias("difference"))
-
-
-def price_change_stream(spark: SparkSession, stream: DataFrame, folder: str | None = None) -> DataFrame:
-    """The same over a stream of (ad_id, seq, price): the last price of each ad is carried from batch to batch.
-
-    ``folder`` keeps state, log and checkpoint; a call with the same folder goes on where the last one stopped.
-    """
-    folder = folder or new_path(spark, "prices")
-    log = f"{folder}/log"
-    schema = ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in stream.schema)
-    state = KeyedState(spark, f"{folder}/last", schema, "ad_id")
-    state.begin(spark.createDataFrame([], schema))
-
-    def step(batch: DataFrame, number: int) -> None:
-        new = batch.persist()
-        touched = state.touched(new)
-        last = state.before(number, touched)
-        earlier = last.join(new.select("ad_id").distinct(), "ad_id", "left_semi")
-        write_batch(price_changes(earlier.unionByName(new)), log, number)
-        newest = keep_one(new, ["ad_id"], [F.col("seq")], last=True)
-        state.after(number, upsert(last, newest, ["ad_id"]), touched)
-        new.unpersist()
-
-    empty = price_changes(spark.createDataFrame([], schema))
-    empty.write.mode("ignore").parquet(f"{log}/batch=-1")
-    run_batches(stream, step, f"{folder}/checkpoint")
-    columns = ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in empty.schema)
-    return read_batches(spark, log, columns).drop("batch")

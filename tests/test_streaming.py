@@ -1,13 +1,15 @@
 """Streams cut into several micro-batches give what the batch programs give."""
 
+import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
-from lotwise.plans.streams import _prices, open_tasks, outcomes_of
+from lotwise.functions.money import money
+from lotwise.plans.streams import ANY_AGE, _grown, _prices, open_tasks, outcomes_of
 from lotwise.sources.tables import SCHEMAS, Tables
-from lotwise.sources import workspace
 from lotwise.sources.workspace import new_path
-from lotwise.streaming import queue, runtime, series, triggers
+from lotwise.streaming import keyed, queue, runtime, series, triggers
 from tests.conftest import SMALL
 
 
@@ -37,12 +39,12 @@ def stream(spark, path):
 
 def test_outcomes_over_batches(spark, tables, in_three):
     whole = queue.fold_outcomes(open_tasks(tables), outcomes_of(tables.events))
-    streamed = queue.keep_state(spark, open_tasks(tables), outcomes_of(stream(spark, in_three)))
+    streamed, _ = keyed.retries(open_tasks(tables), outcomes_of(stream(spark, in_three)), new_path(spark, "retries"), ANY_AGE)
     assert rows(streamed) == rows(whole)
 
 
 def test_price_changes_over_batches(spark, tables, in_three):
-    streamed = triggers.price_change_stream(spark, _prices(stream(spark, in_three)))
+    streamed = keyed.price_changes(_prices(stream(spark, in_three)), new_path(spark, "prices"))
     assert rows(streamed) == rows(triggers.price_changes(_prices(tables.events)))
 
 
@@ -121,38 +123,108 @@ def test_counter_reset(spark):
     assert [round(r["rate"], 4) for r in rates.collect()] == [0.0, 0.5, 0.6667, 0.1667, 0.0]
 
 
-@pytest.mark.parametrize("case", ["queue", "prices"])
-def test_a_stopped_stream_goes_on(spark, tables, in_three, case):
-    """Stops after two of three batches; a call with the same folder ends at the result of the batch program."""
+def _samples(events):
+    return events.select("event_id", "event_type", "user_id", F.col("ts").cast("timestamp").alias("at"), (money("value") * 100).cast("bigint").alias("cents"))
+
+
+def _steps(stream_, folder, lateness=ANY_AGE):
+    return keyed.counter_growth(_samples(stream_), ["event_type", "user_id"], F.col("at"), "event_id", "cents", folder, lateness)
+
+
+def _batch_steps(tables):
+    second = F.unix_timestamp(F.col("ts").cast("timestamp"))
+    grown = _grown(tables).groupBy("event_type", "user_id", (F.floor(second / 15) * 15).alias("step"))
+    return grown.agg(F.sum("increase").alias("growth"))
+
+
+@pytest.mark.parametrize("case", ["queue", "prices", "counters"])
+def test_a_stopped_stream_goes_on(spark, tables, case):
+    """Five batches, a stop after three of them; a call with the same folder ends at the result of the batch program."""
     folder, source = new_path(spark, "resumed"), new_path(spark, "growing")
-    third = tables.events.count() // 3 + 1
+    fifth = tables.events.count() // 5 + 1
 
-    def add(first, last):
-        tables.events.where(F.col("event_id").between(first, last - 1)).coalesce(1).write.mode("append").parquet(source)
+    def add(number):
+        part = tables.events.where(F.col("event_id").between(number * fifth, (number + 1) * fifth - 1))
+        part.coalesce(1).write.mode("append").parquet(source)
 
     def run():
         rows_ = stream(spark, source)
         if case == "queue":
-            return queue.keep_state(spark, open_tasks(tables), outcomes_of(rows_), folder=folder)
-        return triggers.price_change_stream(spark, _prices(rows_), folder=folder)
+            return keyed.retries(open_tasks(tables), outcomes_of(rows_), folder, ANY_AGE)[0]
+        if case == "prices":
+            return keyed.price_changes(_prices(rows_), folder)
+        return _steps(rows_, folder)
 
-    add(0, third)
-    add(third, 2 * third)
+    for number in range(3):
+        add(number)
     run()
-    add(2 * third, 3 * third)
-    resumed = run()
-    if case == "queue":
-        assert rows(resumed) == rows(queue.fold_outcomes(open_tasks(tables), outcomes_of(tables.events)))
-    else:
-        assert rows(resumed) == rows(triggers.price_changes(_prices(tables.events)))
-    assert rows(run()) == rows(resumed)
-
-
-def test_old_versions_go(spark, in_three):
-    folder = new_path(spark, "bounded")
-    triggers.price_change_stream(spark, _prices(stream(spark, in_three)), folder=folder)
-    manifests = workspace.names(spark, f"{folder}/last/manifest")
-    assert sorted(map(int, manifests)) == [1, 2]
+    for number in range(3, 5):
+        add(number)
+    resumed = rows(run())
+    whole = {
+        "queue": lambda: queue.fold_outcomes(open_tasks(tables), outcomes_of(tables.events)),
+        "prices": lambda: triggers.price_changes(_prices(tables.events)),
+        "counters": lambda: _batch_steps(tables),
+    }[case]()
+    assert resumed == rows(whole)
+    assert rows(run()) == resumed
+
+
+def _files(spark, name, batches, schema):
+    path = new_path(spark, name)
+    for batch in batches:
+        spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+def test_timers_tell_what_is_due_again_and_finished_tasks_go(spark):
+    schema = "task_id bigint, seq bigint, at timestamp, success boolean"
+
+    def at(minute):
+        return datetime.datetime(2024, 1, 1, 12, minute)
+
+    batches = [[(1, 1, at(0), False), (2, 2, at(0), False)], [(2, 3, at(1), True)], [(3, 4, at(6), False)], [(9, 5, at(6), True)], [(1, 6, at(8), False), (2, 7, at(8), False)], [(3, 8, at(30), True)]]
+    path, folder = _files(spark, "outcomes", batches, schema), new_path(spark, "retries")
+    outcomes_ = runtime.file_stream(spark, path, schema, files_per_batch=1)
+    after, due = keyed.retries(tasks(spark, 1, 2, 3), outcomes_, folder, "0 seconds", max_attempts=5)
+    found = {r["task_id"]: (r["status"], r["attempts"], r["scheduled_at"]) for r in after.collect()}
+    assert found == {1: ("Ready", 2, at(13)), 2: ("Completed", 1, at(5)), 3: ("Completed", 1, at(11))}
+    # Task 1 is due after each failure once the watermark has passed; task 2 was done before, task 3 as it came due.
+    assert sorted((r["task_id"], r["scheduled_at"]) for r in due.collect()) == [(1, at(5)), (1, at(13))]
+    state = spark.read.format("statestore").option("stateVarName", "task").load(f"{folder}/checkpoint")
+    assert [r[0] for r in state.selectExpr("key.task_id").collect()] == [1]
+
+
+def test_a_batch_touches_the_state_of_its_keys_only(spark):
+    """The work of a small batch does not follow the number of open tasks."""
+    schema = "task_id bigint, seq bigint, at timestamp, success boolean"
+    rows_ = [(n, n, datetime.datetime(2024, 1, 1), False) for n in range(3)]
+    path, folder = _files(spark, "outcomes", [rows_[:1], rows_[1:]], schema), new_path(spark, "retries")
+    many = spark.range(20_000).select(F.col("id").alias("task_id"), F.lit("Ready").alias("status"), F.lit(0).cast("bigint").alias("attempts"), F.lit("2024-01-01").cast("timestamp").alias("scheduled_at"), F.lit(None).cast("string").alias("last_error"))
+    after, _ = keyed.retries(many, runtime.file_stream(spark, path, schema, files_per_batch=1), folder, ANY_AGE)
+    assert after.where("attempts = 1").count() == 3 and after.count() == 20_000
+    told_ = runtime.read_batches(spark, f"{folder}/told", "task_id bigint")
+    assert sorted((r["batch"], r["count"]) for r in told_.groupBy("batch").count().collect()) == [(0, 1), (1, 2)]
+
+
+def test_counters_with_late_samples(spark):
+    """Late samples within the watermark change what was told; later ones are given up, as is the state of passed steps."""
+    schema = "event_id bigint, event_type string, user_id bigint, ts timestamp, value double"
+
+    def at(second):
+        return datetime.datetime(2024, 1, 1) + datetime.timedelta(seconds=second)
+
+    def sample(n, second, value):
+        return n, "a", None, at(second), value
+
+    batches = [[sample(1, 0, 1.0), sample(2, 20, 5.0)], [sample(3, 40, 2.0)], [sample(4, 10, 3.0)], [sample(5, 200, 9.0)], [sample(6, 215, 10.0)], [sample(7, 21, 100.0), sample(8, 216, 10.0)]]
+    path, folder = _files(spark, "samples", batches, schema), new_path(spark, "steps")
+    found = _steps(runtime.file_stream(spark, path, schema, files_per_batch=1), folder, "60 seconds")
+    start = int(datetime.datetime(2024, 1, 1, tzinfo=datetime.timezone.utc).timestamp())
+    # 1, 3 in the first step, 5 in the second, a fall to 2 in the third; 9 and 10 go on from 2; the sample 7 came too late.
+    assert {r["step"] - start: r["growth"] for r in found.collect()} == {0: 200, 15: 200, 30: 200, 195: 700, 210: 100}
+    state = spark.read.format("statestore").option("stateVarName", "steps").load(f"{folder}/checkpoint")
+    assert sorted(r[0] - start for r in state.selectExpr("user_map_key.step" if "user_map_key" in state.columns else "map_value.step").collect()) in ([195, 210], [210])
 
 
 def test_many_names_in_several_messages(spark):
