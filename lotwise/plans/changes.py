@@ -9,7 +9,14 @@ from lotwise.operators import change, purchases
 from lotwise.operators.ordered import row_numbers
 from lotwise.plans.registry import query
 from lotwise.sources import files
-from lotwise.sources.workspace import new_path
+from lotwise.sources.stored import StoredTable
+from lotwise.sources.workspace import layout, new_path
+
+
+def _stored(t, label, sources, rows, keys) -> StoredTable:
+    """The table that is stored for these data, made of ``rows`` by whoever asks first."""
+    build = lambda path: StoredTable.create(t.spark, path, rows(), keys)
+    return StoredTable(t.spark, layout(t.spark, label, [t.path(name) for name in sources], build))
 
 
 def _spending(t):
@@ -35,7 +42,10 @@ KNOWN = "SELECT c_custkey, c_name, CAST(c_acctbal AS DECIMAL(28,2)) AS balance F
         UNION ALL SELECT * FROM ({KNOWN}) WHERE c_custkey NOT IN (SELECT c_custkey FROM incoming)""",
 )
 def incoming_wins(t):
-    return change.upsert(_known(t), _spending(t), ["c_custkey"])
+    """Into the stored table, of which only the buckets of changed rows are rewritten; asking again changes nothing."""
+    table = _stored(t, "balances", ["customer"], lambda: _known(t), ["c_custkey"])
+    table.upsert(_spending(t))
+    return table.read()
 
 
 @query(
@@ -395,8 +405,10 @@ APPLIED = f"""WITH feed AS ({FEED}), last AS (SELECT * FROM feed WHERE seq IN (S
 
 @query("CDC-1", APPLIED.format(columns="c_custkey, c_name, c_acctbal"))
 def change_feed(t):
-    target = t.customer.select("c_custkey", "c_name", "c_acctbal")
-    return change.apply_changes(target, feed_of(t), ["c_custkey"])
+    """Into the stored table; CDC-2 applies the feed to rows that are not stored."""
+    table = _stored(t, "accounts", ["customer"], lambda: t.customer.select("c_custkey", "c_name", "c_acctbal"), ["c_custkey"])
+    table.apply(feed_of(t))
+    return table.read()
 
 
 @query("CDC-2", APPLIED.format(columns="c_custkey, c_acctbal"))
