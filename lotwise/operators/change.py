@@ -112,16 +112,22 @@ def apply_keyless(target: DataFrame, removed: DataFrame, added: DataFrame) -> Da
     """Applies changes to a table without a key, matching whole old rows (nulls equal).
 
     An update is one removed and one added row. Rows are counted with a sign, so of several equal rows exactly as
-    many disappear as changes name them, and chains of changes cancel out.
+    many disappear as changes name them, and chains of changes cancel out. Only rows equal to a removed row are counted;
+    the rest of the table is told from them by the removed rows, which Spark broadcasts if they are few.
     """
     names = target.columns
+    gone = removed.select(*[F.col(name).alias(f"_{name}") for name in names]).distinct()
+    equal = F.lit(True)
+    for name in names:
+        equal = equal & F.col(name).eqNullSafe(F.col(f"_{name}"))
     signed = (
-        target.withColumn("_n", F.lit(1).cast("bigint"))
+        target.join(gone, equal, "left_semi")
+        .withColumn("_n", F.lit(1).cast("bigint"))
         .unionByName(added.select(*names).withColumn("_n", F.lit(1).cast("bigint")))
         .unionByName(removed.select(*names).withColumn("_n", F.lit(-1).cast("bigint")))
     )
     left = signed.groupBy(*names).agg(F.sum("_n").alias("_n")).where(F.col("_n") > 0)
-    return steps(left, F.lit(1), F.col("_n"), "_copy").select(*names)
+    return target.join(gone, equal, "left_anti").unionByName(steps(left, F.lit(1), F.col("_n"), "_copy").select(*names))
 
 
 def drift(stored: DataFrame, recomputed: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:

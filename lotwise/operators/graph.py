@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lotwise.sources.workspace import stage
+
 
 def pairs_with_counts(edges: DataFrame, links: DataFrame, reader: str, item: str, category: str) -> DataFrame:
     """Two-hop pattern reader -> item -> category with the number of paths.
@@ -17,12 +19,16 @@ def pairs_with_counts(edges: DataFrame, links: DataFrame, reader: str, item: str
     return counted.join(links, item).groupBy(reader, category).agg(F.sum("_n").alias("paths"))
 
 
-def similar_items(edges: DataFrame, reader: str, item: str, target: Column, k: int) -> DataFrame:
-    """Items with the most readers in common with one target item.
+def counted_edges(edges: DataFrame, reader: str, item: str) -> DataFrame:
+    """(reader, item, n) with each pair once, written: patterns that go over the edges several times read this table."""
+    return stage(edges.groupBy(reader, item).agg(F.count("*").alias("n")), "edges")
+
+
+def similar_items(distinct: DataFrame, reader: str, item: str, target: Column, k: int) -> DataFrame:
+    """Items with the most readers in common with one target item; ``distinct`` has each edge once.
 
     Starts from the target's readers, so no pairs of items are formed; hub readers cost their own edges only.
     """
-    distinct = edges.select(reader, item).distinct()
     readers = distinct.where(F.col(item) == target).select(reader)
     others = distinct.where(F.col(item) != target).join(readers, reader, "left_semi")
     common = others.groupBy(item).agg(F.count("*").alias("common_readers"))

@@ -11,6 +11,7 @@ PostgreSQL: last ascending, first descending.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -216,41 +217,59 @@ def _neighbours(cut: DataFrame, keys: Sequence[str], order: Sequence[str], rows:
     )
 
 
-def value_frames(
-    df: DataFrame, value: str, before: int, after: int, measures: Mapping[str, Column], ready: str
-) -> DataFrame:
-    """RANGE BETWEEN ``before`` PRECEDING AND ``after`` FOLLOWING over the whole table, for additive measures.
+@dataclass(frozen=True)
+class Frame:
+    """RANGE BETWEEN ``before`` PRECEDING AND ``after`` FOLLOWING; ``measures`` are sums or counts that are never null, and
+    ``ready`` prefixes their columns in the result."""
 
-    ``value`` is an integer column (cents, days, seconds); rows where it is null are a frame of their own, and
-    ``measures`` are sums or counts that are never null. A frame is the
-    difference of two running totals: rows are added up per distinct value, every value asks for the totals at the
-    last position inside its frame and at the last position before it, and one running total answers all questions.
-    The work is linear however many rows a frame holds. ``ready`` prefixes the result columns.
-    """
-    names = list(measures)
-    every = df.groupBy(value).agg(*[column.alias(f"_m_{name}") for name, column in measures.items()])
-    summed = every.where(F.col(value).isNotNull())
+    before: int
+    after: int
+    measures: Mapping[str, Column]
+    ready: str
 
-    def asking(position: Column, sign: int) -> DataFrame:
-        nothing = [F.lit(0).cast(summed.schema[f"_m_{name}"].dataType).alias(f"_m_{name}") for name in names]
-        return summed.select(position.alias("_at"), F.lit(1).alias("_asks"), F.col(value).alias("_value"), F.lit(sign).alias("_sign"), *nothing)
 
-    known = summed.select(
-        F.col(value).alias("_at"),
-        F.lit(0).alias("_asks"),
-        F.lit(None).cast(summed.schema[value].dataType).alias("_value"),
-        F.lit(0).alias("_sign"),
-        *[f"_m_{name}" for name in names],
-    )
-    line = known.unionByName(asking(F.col(value) + after, 1)).unionByName(asking(F.col(value) - before - 1, -1))
-    totals = running_totals(
-        line.select("_at", "_asks", "_value", "_sign", *[f"_m_{name}" for name in names]),
-        [],
-        ["_at", "_asks", "_value"],
-        {f"_t_{name}": F.col(f"_m_{name}") for name in names},
-    )
-    framed = totals.where("_asks = 1").groupBy("_value").agg(
-        *[F.sum(F.col(f"_t_{name}") * F.col("_sign")).alias(f"{ready}{name}") for name in names]
-    )
-    missing = every.where(F.col(value).isNull()).select(F.col(value).alias("_value"), *[F.col(f"_m_{name}").alias(f"{ready}{name}") for name in names])
-    return df.join(framed.unionByName(missing), F.col(value).eqNullSafe(F.col("_value")), "inner").drop("_value")
+#: Into so many bins the widest frame is cut.
+BINS = 32
+
+
+def value_frames(df: DataFrame, value: str, frames: Sequence[Frame]) -> DataFrame:
+    """RANGE frames over the whole table for additive measures, several frames in one pass.
+
+    ``value`` is an integer column (cents, days, seconds); rows where it is null are a frame of their own. A frame is the
+    difference of two running totals: rows are added up per distinct value, and every value asks for the totals at the
+    last position inside each frame and at the last position before it. Values lie in bins of a fixed width, a function of
+    the row: one shuffle by bin, without sampled borders or a written table. Inside a bin the totals run over its distinct
+    values and questions, at most a few per position of the bin whatever the number of rows; what the bins before hold is
+    a running total over the bins. The work is linear however many rows a frame holds.
+    """
+    every = df.groupBy(value).agg(*[column.alias(f"_m{i}_{name}") for i, frame in enumerate(frames) for name, column in frame.measures.items()])
+    summed = every.where(F.col(value).isNotNull())
+    sums = [name for name in summed.columns if name != value]
+    width = max(frame.before + frame.after for frame in frames) // BINS + 1
+
+    def asking(position: Column, frame: int, sign: int) -> DataFrame:
+        nothing = [F.lit(0).cast(summed.schema[name].dataType).alias(name) for name in sums]
+        return summed.select(position.cast("bigint").alias("_at"), F.lit(1).alias("_asks"), F.col(value).alias("_value"), F.lit(frame).alias("_frame"), F.lit(sign).alias("_sign"), *nothing)
+
+    no_value = F.lit(None).cast(summed.schema[value].dataType).alias("_value")
+    line = summed.select(F.col(value).cast("bigint").alias("_at"), F.lit(0).alias("_asks"), no_value, F.lit(-1).alias("_frame"), F.lit(0).alias("_sign"), *sums)
+    for i, frame in enumerate(frames):
+        line = line.unionByName(asking(F.col(value) + frame.after, i, 1)).unionByName(asking(F.col(value) - frame.before - 1, i, -1))
+    line = line.withColumn("_bin", F.expr(f"(_at - pmod(_at, {width})) DIV {width}"))
+    inside = Window.partitionBy("_bin").orderBy("_at", "_asks").rowsBetween(Window.unboundedPreceding, 0)
+    local = line.withColumns({f"_in{name}": F.sum(name).over(inside) for name in sums}).where("_asks = 1")
+
+    # One row per bin; their number follows the range of the values, not the rows.
+    earlier = Window.orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    bins = line.groupBy("_bin").agg(*[F.sum(name).alias(name) for name in sums])
+    bins = bins.select("_bin", *[F.coalesce(F.sum(name).over(earlier), F.lit(0)).alias(f"_to{name}") for name in sums])
+    totals = local.join(bins, "_bin")
+
+    def framed(i: int, name: str) -> Column:
+        total = F.col(f"_in_m{i}_{name}") + F.col(f"_to_m{i}_{name}")
+        return F.sum(F.when(F.col("_frame") == i, F.when(F.col("_sign") == 1, total).otherwise(-total)))
+
+    named = [(i, name, f"{frame.ready}{name}") for i, frame in enumerate(frames) for name in frame.measures]
+    found = totals.groupBy("_value").agg(*[framed(i, name).alias(shown) for i, name, shown in named])
+    missing = every.where(F.col(value).isNull()).select(F.col(value).alias("_value"), *[F.col(f"_m{i}_{name}").alias(shown) for i, name, shown in named])
+    return df.join(found.unionByName(missing), F.col(value).eqNullSafe(F.col("_value")), "inner").drop("_value")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 # The patterns are the rules.
@@ -12,6 +12,16 @@ EMAIL = r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}$"
 PHONE = r"^\+[0-9]{10,15}$"
 
 
+def written(df: DataFrame, path: str, **metrics: Column) -> dict:
+    """Writes ``df`` as Parquet and returns aggregates of the rows that went into the files.
+
+    They are collected by the tasks that write, so a gate on a load needs no second pass over its source.
+    """
+    seen = Observation("load")
+    df.observe(seen, *[column.alias(name) for name, column in metrics.items()]).write.parquet(path)
+    return seen.get
+
+
 def missing_columns(df: DataFrame, required: Sequence[str]) -> list[str]:
     """Required columns the schema lacks, without touching the data."""
     return sorted(set(required) - set(df.columns))

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from lotwise.functions.money import (
     mean, mean_of, mean_of_rounded, mean_rounded, money, sql_mean, sql_mean_rounded, sql_total, total,
 )
-from lotwise.operators.aggregates import cube_of, joined_segments, rollup_of
+from lotwise.operators.aggregates import cube_of, distinct_estimates, distinct_pairs, distinct_sketches, joined_segments, rollup_of
 from lotwise.operators.ordered import joined_null_safe
 from lotwise.plans.registry import query
+from lotwise.sources.workspace import layout
 
 STATUS_NAMES = (("A", "active"), ("N", "in processing"), ("R", "sold"))
 
@@ -183,9 +184,34 @@ def composed_strings(t):
     "SELECT l_suppkey, count(DISTINCT l_partkey) AS parts, count(DISTINCT l_shipdate) AS days FROM lineitem GROUP BY l_suppkey",
 )
 def distinct_counts(t):
-    return t.lineitem.groupBy("l_suppkey").agg(
-        F.count_distinct("l_partkey").alias("parts"), F.count_distinct("l_shipdate").alias("days")
-    )
+    return distinct_pairs(t.lineitem, "l_suppkey", parts="l_partkey", days="l_shipdate")
+
+
+def daily_parts(t):
+    """Sketches of the parts that each supplier shipped on each day, written once for these data."""
+
+    def write(path):
+        lines = t.lineitem.select("l_suppkey", F.col("l_shipdate").cast("date").alias("day"), "l_partkey")
+        distinct_sketches(lines, ["l_suppkey", "day"], "l_partkey", "parts").write.parquet(path)
+
+    return t.spark.read.parquet(layout(t.spark, "daily-parts", [t.path("lineitem")], write))
+
+
+@query(
+    "AGG-11-sketch",
+    """SELECT l_suppkey, span, count(DISTINCT l_partkey) AS parts, TRUE AS near FROM (
+         SELECT l_suppkey, l_partkey, unnest(CASE WHEN l_shipdate < TIMESTAMP '1995-07-01' THEN ['all', 'early'] ELSE ['all'] END) AS span FROM lineitem)
+       GROUP BY l_suppkey, span""",
+)
+def distinct_over_spans(t):
+    """Exact counts over two spans, and whether the estimate from the daily sketches lies within four standard errors."""
+    early = "day < date'1995-07-01'"
+    sketches, lines = daily_parts(t), t.lineitem.select("l_suppkey", "l_partkey", F.col("l_shipdate").cast("date").alias("day"))
+    estimates = [distinct_estimates(rows, ["l_suppkey"], "parts", "estimate").withColumn("span", F.lit(span)) for span, rows in (("all", sketches), ("early", sketches.where(early)))]
+    exact = [distinct_pairs(rows, "l_suppkey", parts="l_partkey").withColumn("span", F.lit(span)) for span, rows in (("all", lines), ("early", lines.where(early)))]
+    both = joined_null_safe(exact[0].union(exact[1]), estimates[0].union(estimates[1]), ["l_suppkey", "span"])
+    near = F.abs(F.col("estimate") - F.col("parts")) <= 1 + 4 * 0.8 / 2**6 * F.col("parts")
+    return both.select("l_suppkey", "span", "parts", near.alias("near"))
 
 
 @query("AGG-12", "SELECT l_partkey, min(l_returnflag) AS any_status, count(*) AS n FROM lineitem GROUP BY l_partkey")

@@ -21,7 +21,7 @@ def _counter(df, key, shift=0):
 )
 def number_series(t):
     last = t.orders.agg(F.max("o_orderkey")).first()[0]
-    numbers = g.series(t.spark, 0, last).withColumnRenamed("g", "n")
+    numbers = g.series(t.spark, 0, -1 if last is None else last).withColumnRenamed("g", "n")  # no order, no number
     used = t.lineitem.select("l_orderkey").distinct()
     joined = numbers.join(used, F.col("l_orderkey") == F.col("n"), "left")
     return joined.select("n", F.col("l_orderkey").isNotNull().alias("used"))

@@ -29,8 +29,8 @@ def category_links(t):
     return brands.union(t.part.select(article, F.col("p_type")))
 
 
-def _most(edges, column):
-    counts = edges.groupBy(column).agg(F.count("*").alias("_n"))
+def _most(counted, column):
+    counts = counted.groupBy(column).agg(F.sum("n").alias("_n"))
     return counts.orderBy(F.col("_n").desc(), column).limit(1).select(column).scalar()
 
 
@@ -79,7 +79,7 @@ def most_active(t):
         GROUP BY article ORDER BY common_readers DESC, article LIMIT 10""",
 )
 def similar_articles(t):
-    edges = read_edges(t).select("reader", "article")
+    edges = graph.counted_edges(read_edges(t), "reader", "article")
     return graph.similar_items(edges, "reader", "article", _most(edges, "article"), 10)
 
 
@@ -95,8 +95,8 @@ def similar_articles(t):
         GROUP BY l.article ORDER BY relevance DESC, views DESC, l.article LIMIT 10""",
 )
 def recommendations(t):
-    edges = read_edges(t).select("reader", "article")
-    views = edges.groupBy("article").agg(F.count("*").alias("views"))
+    edges = graph.counted_edges(read_edges(t), "reader", "article")
+    views = edges.groupBy("article").agg(F.sum("n").alias("views"))
     who = _most(edges, "reader")
     return graph.recommend(edges, category_links(t), views, "reader", "article", "category", who, 10)
 

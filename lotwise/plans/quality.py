@@ -10,6 +10,7 @@ from lotwise.functions.money import mean_rounded, money, sql_mean_rounded
 from lotwise.operators import quality as dq
 from lotwise.operators.purchases import check_requests
 from lotwise.plans.changes import ADS, REQUESTS, ads_of, requests_of
+from lotwise.plans.aggregates import STATUS_NAMES
 from lotwise.plans.registry import query
 from lotwise.sources.workspace import new_path
 
@@ -128,10 +129,11 @@ def foreign_keys(t):
     """SELECT count(*) AS source_rows, count(*) AS loaded_rows, TRUE AS complete FROM part""",
 )
 def loaded_counts(t):
+    # The source is read once: its rows are counted as they are written, those of the load in the files' footers.
     path = new_path(t.spark, "loaded")
-    t.part.write.parquet(path)
-    loaded = t.spark.read.schema(t.part.schema).parquet(path).agg(F.count("*")).scalar()
-    counts = t.part.agg(F.count("*").alias("source_rows")).withColumn("loaded_rows", loaded)
+    source = dq.written(t.part, path, rows=F.count(F.lit(1)))
+    loaded = t.spark.read.schema(t.part.schema).parquet(path).agg(F.count("*").alias("loaded_rows"))
+    counts = loaded.select(F.lit(source["rows"]).cast("bigint").alias("source_rows"), "loaded_rows")
     return counts.withColumn("complete", F.col("loaded_rows") == F.col("source_rows"))
 
 
@@ -141,24 +143,34 @@ def loaded_counts(t):
        FROM lineitem GROUP BY l_returnflag""",
 )
 def reconcile_stores(t):
-    joined = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
+    # Lines without a part stay marked until they have been counted, so the write itself sees both sides.
+    joined = t.lineitem.select("l_orderkey", "l_returnflag", "l_partkey").join(t.part.select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey"), "left")
+    counts = {f"{side}_{status}": F.count_if(in_status & found) for status, in_status in _statuses() for side, found in (("fact", F.lit(True)), ("extract", F.col("p_partkey").isNotNull()))}
     path = new_path(t.spark, "extract")
-    joined.select("l_orderkey", "l_returnflag", "p_name").write.parquet(path)
-    extract = t.spark.read.schema("l_orderkey bigint, l_returnflag string, p_name string").parquet(path)
-    facts = t.lineitem.groupBy(F.col("l_returnflag").alias("status")).agg(F.count("*").alias("fact_rows"))
-    copied = extract.groupBy(F.col("l_returnflag").alias("status")).agg(F.count("*").alias("extract_rows"))
-    both = facts.join(copied, "status", "full_outer")
+    seen = dq.written(joined.select("l_orderkey", "l_returnflag", "p_name", "p_partkey"), path, **counts)
+    if seen["fact_other"]:
+        raise ValueError("lines with a status that is not in the dictionary")
+    rows = [(status, seen[f"fact_{status}"], seen[f"extract_{status}"]) for status, _ in _statuses() if seen[f"fact_{status}"]]
+    both = t.spark.createDataFrame(rows, "status string, fact_rows bigint, extract_rows bigint")
     return both.withColumn("difference", F.col("fact_rows") - F.col("extract_rows"))
 
 
+def _statuses():
+    """The dictionary of line statuses, and what is none of them."""
+    known = [status for status, _ in STATUS_NAMES]
+    flag = F.col("l_returnflag")
+    return [*((status, F.coalesce(flag == status, F.lit(False))) for status in known), ("other", ~F.coalesce(flag.isin(*known), F.lit(False)))]
+
+
 @query(
     "DQ-13",
     """SELECT count(*) AS days, CAST(sum(n) AS BIGINT) AS total, count(*) > 0 AND sum(n) > 0 AS passed
        FROM (SELECT count(*) AS n FROM lineitem GROUP BY CAST(l_shipdate AS DATE))""",
 )
 def mart_gate(t):
-    mart = t.lineitem.groupBy(F.col("l_shipdate").cast("date")).agg(F.count("*").alias("n"))
-    sums = mart.agg(F.count("*").alias("days"), F.sum("n").alias("total"))
+    mart = t.lineitem.groupBy(F.col("l_shipdate").cast("date").alias("day")).agg(F.count("*").alias("n"))
+    seen = dq.written(mart, new_path(t.spark, "mart"), days=F.count(F.lit(1)), total=F.sum("n"))
+    sums = t.spark.createDataFrame([(seen["days"], seen["total"])], "days bigint, total bigint")
     return sums.withColumn("passed", F.coalesce((F.col("days") > 0) & (F.col("total") > 0), F.lit(False)))
 
 

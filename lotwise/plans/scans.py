@@ -70,7 +70,7 @@ def distinct_values(t):
 @query(
     "PRJ-8",
     """SELECT p_name AS title, p_retailprice AS price FROM part
-       WHERE p_type = 'PROMO' AND p_retailprice > 950 AND p_size <= 25""",
+       WHERE p_type = 'PROMO' AND p_size <= 25 AND p_retailprice > (SELECT avg(p_retailprice) FROM part)""",
 )
 def document_projection(t):
     books = t.part.select(
@@ -81,7 +81,8 @@ def document_projection(t):
             (F.col("p_size") <= 25).alias("available"),
         ).alias("doc")
     )
-    found = books.where((F.col("doc.genre") == "PROMO") & (F.col("doc.price") > 950) & F.col("doc.available"))
+    usual = t.part.agg(F.avg("p_retailprice")).scalar()
+    found = books.where((F.col("doc.genre") == "PROMO") & (F.col("doc.price") > usual) & F.col("doc.available"))
     return found.select("doc.title", "doc.price")
 
 

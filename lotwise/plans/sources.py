@@ -33,7 +33,7 @@ def csv_with_schema(t):
 @query("SRC-3", "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
 def json_arrays(t):
     path = new_path(t.spark, "json-arrays")
-    files.write_json_arrays(t.supplier, path, F.floor(F.col("s_suppkey") / 10000))
+    files.write_json_arrays(t.supplier, path, F.expr("s_suppkey DIV 10000"))
     rows = files.read_json_arrays(t.spark, path, SCHEMAS["supplier"] + ", chunk bigint")
     return rows.drop("chunk")
 
@@ -151,6 +151,19 @@ def hash_partitions(t):
     return counted.withColumn("buckets", F.col("buckets").cast("int"))
 
 
+@query(
+    "SRC-12-join",
+    """SELECT c_mktsegment AS segment, count(*) AS orders, count(DISTINCT c_custkey) AS customers
+       FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_mktsegment""",
+)
+def bucketed_join(t):
+    """Both sides lie in buckets of the customer, so neither is shuffled for the join or for the counts per customer."""
+    orders = files.bucketed(t.spark, "orders-by-customer", [t.path("orders")], lambda: t.orders.select("o_orderkey", "o_custkey"), "o_custkey", 16)
+    customers = files.bucketed(t.spark, "customers", [t.path("customer")], lambda: t.customer.select("c_custkey", "c_mktsegment"), "c_custkey", 16)
+    counted = orders.groupBy("o_custkey").agg(F.count("*").alias("n")).join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    return counted.groupBy(F.col("c_mktsegment").alias("segment")).agg(F.sum("n").alias("orders"), F.count("*").alias("customers"))
+
+
 @query(
     "SRC-13",
     """SELECT 'month' AS layout, o_orderkey, o_totalprice FROM orders
@@ -177,7 +190,7 @@ def partition_inventory(t):
 
 def shards(t):
     """Customers written to two stores, the lower and the upper half of the keys, read back as one table."""
-    border = t.customer.agg((F.floor(F.max("c_custkey") / 2) + 1).alias("border")).scalar()
+    border = t.customer.agg(F.expr("max(c_custkey) DIV 2 + 1").alias("border")).scalar()
     folder = new_path(t.spark, "shards")
     rows = t.customer.select("c_custkey", "c_name", "c_acctbal")
     rows.where(F.col("c_custkey") < border).write.parquet(f"{folder}/shard=1")
@@ -213,7 +226,7 @@ def sharded_table(t):
        FROM customer GROUP BY 1""",
 )
 def shard_bounds(t):
-    border = t.customer.agg((F.floor(F.max("c_custkey") / 2) + 1).alias("border")).scalar()
+    border = t.customer.agg(F.expr("max(c_custkey) DIV 2 + 1").alias("border")).scalar()
     inside = F.when(F.col("shard") == 1, F.col("c_custkey") < border).otherwise(F.col("c_custkey") >= border)
     checked = shards(t).withColumn("_inside", inside)
     return checked.groupBy("shard").agg(F.count("*").alias("row_count"), F.count_if(~F.col("_inside")).alias("out_of_bounds"))

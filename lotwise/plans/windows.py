@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lotwise.functions.money import mean, money, sql_mean, sql_total, total
-from lotwise.operators.ordered import day_of, joined_null_safe, ranks, row_frames, row_numbers, tiles, value_frames
+from lotwise.operators.ordered import Frame, day_of, joined_null_safe, ranks, row_frames, row_numbers, tiles, value_frames
 from lotwise.plans.registry import query
 from lotwise.sources.workspace import stage
 
@@ -180,7 +180,7 @@ def similar_prices(t):
     cents = (money("o_totalprice") * 100).cast("bigint")
     rows = t.orders.select("o_orderkey", "o_totalprice", cents.alias("_cents"))
     measures = {"sum": F.sum(money("o_totalprice")), "n": F.count("*")}
-    framed = value_frames(rows, "_cents", 500000, 500000, measures, "_w_")
+    framed = value_frames(rows, "_cents", [Frame(500000, 500000, measures, "_w_")])
     average = F.col("_w_sum").cast("double") / F.col("_w_n")
     return framed.select("o_orderkey", "o_totalprice", average.alias("avg_similar"))
 
@@ -197,8 +197,9 @@ def interval_ranges(t):
     second = F.unix_timestamp(F.col("o_orderdate").cast("timestamp"))
     rows = t.orders.select("o_orderkey", "o_custkey", "o_totalprice", second.alias("_second"))
     day = 86400
-    week = value_frames(rows, "_second", 7 * day, 0, {"n": F.count("*")}, "_week_")
-    both = value_frames(week, "_second", 30 * day, 0, {"sum": F.sum(money("o_totalprice"))}, "_month_")
+    week = Frame(7 * day, 0, {"n": F.count("*")}, "_week_")
+    month = Frame(30 * day, 0, {"sum": F.sum(money("o_totalprice"))}, "_month_")
+    both = value_frames(rows, "_second", [week, month])
     return both.select(
         "o_orderkey",
         "o_custkey",

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lotwise.sources.workspace import layout
+
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """CSV with a header line. Bad cells become null and the whole line lands in ``_corrupt`` if that is declared."""
@@ -51,6 +56,25 @@ def in_bucket(df: DataFrame, bucket: str, key: str, value: int, buckets: int) ->
     return df.where((F.col(bucket) == bucket_of(F.lit(value).cast("bigint"), buckets)) & (F.col(key) == value))
 
 
+def bucketed(spark: SparkSession, label: str, sources: Sequence[str], rows: Callable[[], DataFrame], key: str, buckets: int) -> DataFrame:
+    """The rows as a table in buckets of a key, made once for these sources: two such tables with equally many buckets
+    join and group by their keys without an exchange. A bucket is read by one task, so a key with a great part of all rows
+    is better joined from an ordinary table, whose partitions adaptive execution can split.
+    """
+
+    def write(path: str) -> None:
+        building = f"building_{uuid.uuid4().hex}"
+        spread = rows().repartition(buckets, key)  # one file per bucket
+        spread.write.bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(building)
+        spark.sql(f"DROP TABLE {building}")  # the files of a table with a path of its own stay
+
+    path = layout(spark, f"{label}-{buckets}", sources, write)
+    name = path.rsplit("/", 1)[-1].replace("-", "_")
+    schema = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in spark.read.parquet(path).schema)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({schema}) USING parquet CLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {buckets} BUCKETS LOCATION '{path}'")
+    return spark.table(name)
+
+
 def write_for_key(df: DataFrame, path: str, key: str) -> None:
     """A layout for one access key: ranges of the key per file, sorted, so row-group statistics skip the rest."""
     df.repartitionByRange(F.col(key)).sortWithinPartitions(key).write.parquet(path)

@@ -111,8 +111,23 @@ def test_row_frames_over_tiny_slices(many_slices):
 def test_value_frames(rows, before, after):
     known = rows.where("value IS NOT NULL")
     w = Window.orderBy("value").rangeBetween(-before, after)
-    mine = ordered.value_frames(known, "value", before, after, {"n": F.count("*"), "sum": F.sum("id")}, "w_")
-    same(mine, known.withColumn("w_n", F.count("*").over(w)).withColumn("w_sum", F.sum("id").over(w)))
+    frames = [ordered.Frame(before, after, {"n": F.count("*"), "sum": F.sum("id")}, "w_"), ordered.Frame(3, 0, {"n": F.count("*")}, "v_")]
+    mine = ordered.value_frames(known, "value", frames)
+    want = known.withColumn("w_n", F.count("*").over(w)).withColumn("w_sum", F.sum("id").over(w))
+    same(mine, want.withColumn("v_n", F.count("*").over(Window.orderBy("value").rangeBetween(-3, 0))))
+
+
+def test_value_frames_of_negative_and_far_values(many_slices):
+    values = many_slices.range(-500, 500, 7, 5).selectExpr("id AS value", "1 AS one").union(many_slices.sql("SELECT * FROM VALUES (-1000000000000L, 1), (1000000000000L, 1), (NULL, 1), (NULL, 1)"))
+    w = Window.orderBy("value").rangeBetween(-20, 15)
+    mine = ordered.value_frames(values, "value", [ordered.Frame(20, 15, {"n": F.sum("one")}, "w_")])
+    same(mine, values.withColumn("w_n", F.sum("one").over(w)))
+
+
+def test_value_frames_write_nothing(many_slices):
+    frames = [ordered.Frame(9, 0, {"n": F.count("*")}, "a_"), ordered.Frame(0, 9, {"n": F.count("*")}, "b_")]
+    plan = ordered.value_frames(many_slices.range(100).withColumnRenamed("id", "value"), "value", frames)._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and "Scan parquet" not in plan and "hashpartitioning(_bin" in plan
 
 
 def test_empty_input(many_slices):

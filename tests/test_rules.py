@@ -172,7 +172,7 @@ def test_graph(spark):
     edges = spark.createDataFrame([("u", 1), ("u", 1), ("u", 2), ("v", 1), ("v", 3), ("w", 3), ("w", 4)], "reader string, article int")
     links = spark.createDataFrame([(1, "x"), (2, "y"), (3, "x"), (4, "x"), (4, "y"), (5, "z")], "article int, category string")
     assert rows(graph.pairs_with_counts(edges, links, "reader", "article", "category")) == [("u", "x", 2), ("u", "y", 1), ("v", "x", 2), ("w", "x", 2), ("w", "y", 1)]
-    assert [tuple(r) for r in graph.similar_items(edges, "reader", "article", F.lit(1), 5).collect()] == [(2, 1), (3, 1)]
+    assert [tuple(r) for r in graph.similar_items(graph.counted_edges(edges, "reader", "article"), "reader", "article", F.lit(1), 5).collect()] == [(2, 1), (3, 1)]
     views = edges.groupBy("article").agg(F.count("*").alias("views"))
     found = graph.recommend(edges, links, views, "reader", "article", "category", F.lit("u"), 5)
     assert [tuple(r) for r in found.collect()] == [(4, 2, "x,y", 1), (3, 1, "x", 2)]
