@@ -5,9 +5,12 @@ words one hash of them all. A window of an item's size is as many shingles in a
 it has fewer). The similarity of window and item is the weighted Jaccard of their shingles, the weight of a shingle
 being how often it occurs: sum of the smaller over sum of the larger weights.
 
-1. Screening, which loses nothing: a window that similar contains shingles of at least that share of the item's weight.
-   Documents that do not have them for any item drop out; the others keep where shared shingles stand.
-2. Each shared shingle puts a window where the item would lie if the document held it as it is.
+1. Screening, which loses nothing: a window that similar contains shingles of at least that share of the item's weight, so
+   one of the item's rarest shingles that weigh more than the rest of it. Documents that have one meet the item; those
+   that hold too little of it anywhere drop out; the others keep where its shingles stand.
+2. Windows begin at shared shingles: moved on to the next of them, a window loses none and may gain some. A window that
+   gains none over the one that begins a shared shingle earlier is left out, as it holds a part of what that one holds,
+   and so is one with too few places of shared shingles. So the best window of all is among them.
 3. Windows and items get 64-bit SimHash fingerprints, each bit the sign of a sum weighted by occurrence.
 4. Fingerprints are cut into eight blocks of eight bits. Within a Hamming radius of 24 some block differs in at most
    three bits, so items are listed under all values that near of each block, and windows look up their own eight.
@@ -21,7 +24,7 @@ from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lotwise.sources.workspace import stage
@@ -70,16 +73,19 @@ def block_keys(bits: Column) -> Column:
     return F.array(*(F.struct(F.lit(block).alias("block"), F.shiftrightunsigned(bits, block * BLOCK_BITS).bitwiseAND(F.lit((1 << BLOCK_BITS) - 1)).alias("value")) for block in range(BLOCKS)))
 
 
-def contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", threshold: float = THRESHOLD) -> DataFrame:
+def contaminated(
+    docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", threshold: float = THRESHOLD, own: str | None = None
+) -> DataFrame:
     """(key, item, start, similarity): the best window of every document for every item that it contains.
 
-    ``start`` is the place of the window's first shingle, which is that of its first word.
+    ``start`` is the place of the window's first shingle, which is that of its first word; a window that begins where the
+    document has no shingle of the item is never better, so the first shingle is one of the item's wherever the text goes on
+    for the item's length. With ``own``, rows that repeat an id are told apart by that further column, xxhash64 of the text.
     """
     tests = with_shingles(items.select(F.col(item).alias("item"), F.col(text).alias("text")), "text", "shingles")
     tests = stage(tests.where(F.size("shingles") > 0).distinct().withColumn("size", F.size("shingles")), "items")
-    # By shingle: the items that have it, where, and how much of the item it is.
-    listed = tests.select("item", "size", F.posexplode("shingles").alias("place", "hash"))
-    listed = listed.groupBy("hash", "item", "size").agg(F.sort_array(F.collect_list("place")).alias("places"))
+    # By shingle: the items that have it, and how much of the item it is.
+    listed = tests.select("item", "size", F.explode("shingles").alias("hash")).groupBy("hash", "item", "size").agg(F.count("*").alias("weight"))
     wanted = listed.select("hash").distinct()
     wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST else wanted
 
@@ -88,17 +94,24 @@ def contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: s
     # The outer form: for the other, Spark infers a filter on the array's size that computes it anew for every element.
     spread = with_shingles(plain, "text", "shingles").select("doc", F.posexplode_outer("shingles").alias("at", "hash"))
     shared = stage(spread.join(wanted, "hash"), "shared")
+    present = shared.select("doc", "hash").distinct()
+    # A document that holds an item has one of the item's rarest shingles, all but as many as it may lack.
+    often = present.groupBy("hash").agg(F.count("*").alias("often"))
+    rarest = Window.partitionBy("item", "size").orderBy("often", "hash").rowsBetween(Window.unboundedPreceding, -1)
+    rare = listed.join(often, "hash", "left").withColumn("often", F.coalesce("often", F.lit(0))).withColumn("before", F.coalesce(F.sum("weight").over(rarest), F.lit(0)))
+    rare = rare.where(F.col("before") <= (1 - F.lit(threshold)) * F.col("size")).select("hash", "item", "size")
+    met = present.join(rare, "hash").select("doc", "item", "size").distinct()
     # Screening: the item's weight that the document holds somewhere.
-    has = shared.select("doc", "hash").distinct().join(listed, "hash")
-    has = has.groupBy("doc", "item", "size").agg(F.sum(F.size("places")).alias("weight")).where(F.col("weight") >= F.lit(threshold) * F.col("size"))
-    starts = shared.join(listed, "hash").join(has.select("doc", "item"), ["doc", "item"])
-    starts = starts.select("doc", "size", F.explode("places").alias("place"), "at").select("doc", "size", F.greatest(F.col("at") - F.col("place"), F.lit(0)).alias("start"))
-    starts = starts.distinct().groupBy("doc").agg(F.collect_list(F.struct("size", "start")).alias("places"))
+    held = met.join(listed, ["item", "size"]).join(present, ["doc", "hash"])
+    has = held.groupBy("doc", "item", "size").agg(F.sum("weight").alias("weight")).where(F.col("weight") >= F.lit(threshold) * F.col("size"))
+    has = has.select("doc", "item", "size")
+    places = has.join(listed, ["item", "size"]).join(shared, ["doc", "hash"]).select("doc", "item", "size", "at")
+    starts = _starts(places, threshold).groupBy("doc").agg(F.collect_list(F.struct("size", "start")).alias("places"))
     starts = stage(starts, "starts")
 
     held = with_shingles(plain.join(starts, "doc"), "text", "shingles").select("doc", "shingles", F.explode("places").alias("place"))
     size, last = F.col("place.size"), F.size("shingles") - F.col("place.size")
-    start = F.greatest(F.least(F.col("place.start"), last), F.lit(0))
+    start = F.greatest(F.least(F.col("place.start").cast("int"), last), F.lit(0))
     windows = held.select("doc", size.alias("size"), start.alias("start"), F.slice("shingles", start + 1, size).alias("window")).distinct()
     windows = stage(windows.withColumn("print", fingerprint(F.col("window"))), "windows")
 
@@ -110,5 +123,21 @@ def contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: s
     pairs = probes.join(index, ["size", "block", "value"]).where(close).select("doc", "size", "start", "item").distinct()
     pairs = pairs.join(windows.select("doc", "size", "start", "window"), ["doc", "size", "start"])
     pairs = pairs.join(tests.select("item", "shingles"), "item").withColumn("similarity", similarity(F.col("window"), F.col("shingles")))
-    best = pairs.where(F.col("similarity") >= threshold).groupBy("doc.id", "item").agg(F.max(F.struct("similarity", (-F.col("start")).alias("low"))).alias("best"))
-    return best.select(F.col("id").alias(key), F.col("item").alias(item), (-F.col("best.low")).alias("start"), F.col("best.similarity").alias("similarity"))
+    of = ["doc.id", "item"] if own is None else ["doc.id", "doc.own", "item"]
+    best = pairs.where(F.col("similarity") >= threshold).groupBy(*of).agg(F.max(F.struct("similarity", (-F.col("start")).alias("low"))).alias("best"))
+    shown = [F.col("id").alias(key), F.col("item").alias(item), (-F.col("best.low")).alias("start"), F.col("best.similarity").alias("similarity")]
+    return best.select(*shown) if own is None else best.select(*shown, F.col("own").alias(own))
+
+
+def _starts(places: DataFrame, threshold: float) -> DataFrame:
+    """(doc, size, start) of the windows to look at, from the places ``at`` of the item's shingles in the document."""
+    group = "doc", "item", "size"
+    begin = places.select(*group, F.col("at").cast("bigint").alias("x"), F.lit(0).alias("end"))
+    ends = begin.unionByName(places.select(*group, (F.col("at") + F.col("size") - 1).cast("bigint").alias("x"), F.lit(1).alias("end")))
+    so_far = Window.partitionBy(*group).orderBy("x", "end").rowsBetween(Window.unboundedPreceding, 0)
+    reach = ends.withColumn("reach", F.sum(1 - F.col("end")).over(so_far)).where("end = 1").withColumn("start", F.expr("x - size + 1"))
+    order = Window.partitionBy(*group).orderBy("start")
+    reach = reach.withColumns({"before": F.lag("reach").over(order), "earlier": F.row_number().over(order) - 1})
+    enough = F.col("reach") - F.col("earlier") >= F.lit(threshold) * F.col("size")
+    gains = F.col("before").isNull() | (F.col("reach") > F.col("before"))
+    return reach.where(enough & gains).select("doc", "size", "start").distinct()

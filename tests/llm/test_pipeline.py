@@ -60,3 +60,17 @@ def test_odd_rows(spark, tmp_path, rows):
     # Without labels every text passes; of the repeated and the equal texts one row stays, and texts without words.
     assert left == (["1", "2", "3", "4", "5", "6", "8", "None"] if rows else [])
     assert corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).count() == len(left)
+
+
+def test_documents_are_told_apart_by_id_and_text(spark, tmp_path):
+    item = " ".join(f"q{n}" for n in range(40))
+    spark.createDataFrame([(1, item)], SCHEMAS["benchmark"]).write.parquet(f"{tmp_path}/benchmark.parquet")
+    one, two = " ".join(f"a{n}" for n in range(30)), " ".join(f"b{n}" for n in range(30))
+    rows = [(5, one), (5, two), (5, two), (None, item), (None, one), (3, f"x {item} y"), (3, two + " end"), (9, ""), (9, None), (8, one)]
+    docs = spark.createDataFrame([(key, text, None, None, None) for key, text in rows], SCHEMAS["documents"])
+    steps = dict(corpus_pipeline.STAGES)
+    kept = sorted((str(r["doc_id"]), r["text"]) for r in steps["near_duplicates"](spark, docs, str(tmp_path)).collect() if r["text"])
+    # Of the copies of the first text the smallest id stays, of the second text 3 has a near copy; a null id comes last.
+    assert kept == [("3", two + " end"), ("3", f"x {item} y"), ("5", one)]
+    clean = sorted((str(r["doc_id"]), str(r["text"])) for r in steps["decontamination"](spark, docs, str(tmp_path)).collect())
+    assert clean == sorted((str(key), str(text)) for key, text in rows if not text or item not in text)

@@ -1,3 +1,6 @@
+import random
+from collections import Counter
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -139,3 +142,66 @@ def test_contamination(spark):
     assert got[7, 3] == (9, 1.0) and got[10, 1][1] == 1.0
     assert decontaminate.contaminated(texts(spark, []), items).count() == 0
     assert decontaminate.contaminated(texts(spark, docs), items.where("item_id > 9")).count() == 0
+
+
+def every_window(text, item, threshold=0.8):
+    """Best similarity of any window of the item's size, and the starts that have it."""
+    def shingles(words):
+        return [tuple(words[i : i + 5]) for i in range(len(words) - 4)] if len(words) >= 5 else ([tuple(words)] if words else [])
+
+    mine, wanted = shingles(text.split()), shingles(item.split())
+    size, best = min(len(wanted), len(mine)), {}
+    for start in range(len(mine) - size + 1):
+        common = sum((Counter(mine[start : start + size]) & Counter(wanted)).values())
+        best.setdefault(common / (size + len(wanted) - common), []).append(start)
+    top = max(best, default=0)
+    return (top, best[top]) if wanted and top >= threshold else None
+
+
+def test_windows_between_diagonals(spark):
+    item = [f"i{n}" for n in range(59)]
+    changed = ["x", *item[1:30], "new", "words", *item[30:58], "y"]
+    rows = [(1, " ".join([f"a{n}" for n in range(90)] + changed + [f"b{n}" for n in range(90)])), (2, " ".join(item[30:] + item[:30]))]
+    items = spark.createDataFrame([(7, " ".join(item))], "item_id bigint, text string")
+    found = {r["doc_id"]: r for r in decontaminate.contaminated(texts(spark, rows), items).collect()}
+    assert set(found) == {1, 2} and all(abs(found[key]["similarity"] - every_window(text, " ".join(item))[0]) < 1e-12 for key, text in rows)
+
+
+def test_contamination_equals_all_windows(spark):
+    pick = random.Random(3)
+    vocabulary = [f"w{n}" for n in range(40)]
+    items = [(n, " ".join(pick.choices(vocabulary, k=pick.choice([2, 4, 9, 30, 60, 80])))) for n in range(25)]
+    items += [(100, items[3][1]), (101, "same words all over " * 8)]
+    rows = [(-1, None), (-2, "same words all over " * 30)]
+    for key in range(250):
+        words = []
+        for _ in range(pick.randint(0, 3)):
+            part = pick.choice(items)[1].split()
+            for _ in range(pick.choice([0, 0, 1, 1, 2, 3])):
+                at = pick.randrange(len(part) + 1)
+                change = pick.choice(["cut", "put", "swap", "turn"])
+                if change == "cut":
+                    del part[at : at + pick.randint(1, 3)]
+                elif change == "put":
+                    part[at:at] = pick.choices(vocabulary, k=pick.randint(1, 3))
+                elif change == "swap" and at < len(part):
+                    part[at] = "new"
+                else:
+                    part = part[at:] + part[:at]
+            words += pick.choices(vocabulary, k=pick.choice([0, 0, 5, 40])) + part + pick.choices(vocabulary, k=pick.choice([0, 0, 5, 40]))
+        rows.append((key, " ".join(words)))
+    table = spark.createDataFrame(items, "item_id bigint, text string")
+    found = {(r["doc_id"], r["item_id"]): r for r in decontaminate.contaminated(texts(spark, rows), table).collect()}
+    want = {(key, n): hit for key, text in rows for n, item in items if (hit := every_window(text or "", item))}
+    assert set(found) == set(want) and len(want) > 100
+    for pair, (similarity, starts) in want.items():
+        assert abs(found[pair]["similarity"] - similarity) < 1e-12 and found[pair]["start"] in starts
+
+
+def test_a_line_of_all_items_meets_few(spark):
+    """A passage that all items and most documents hold pairs no document with an item by itself."""
+    line = " ".join(f"c{n}" for n in range(12))
+    items = spark.createDataFrame([(n, line + " " + " ".join(f"q{n}_{k}" for k in range(50))) for n in range(40)], "item_id bigint, text string")
+    rows = [(n, f"u{n} " * 30 + line) for n in range(300)] + [(1000, "before " + line + " " + " ".join(f"q7_{k}" for k in range(50)))]
+    found = decontaminate.contaminated(texts(spark, rows), items).collect()
+    assert [(r["doc_id"], r["item_id"]) for r in found] == [(1000, 7)]
