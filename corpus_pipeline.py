@@ -1,7 +1,7 @@
 """A training corpus from raw documents: every stage reads the Parquet that its predecessor wrote.
 
-A stage takes (spark, docs, sf_dir); all but the last return the columns of ``documents``. Null texts count as empty, null
-ids are kept and belong to no group, empty tables pass through, further columns are dropped.
+A stage takes (spark, docs, sf_dir); all but the last return the columns of ``documents``. Null texts count as empty, a null
+id is an id like others, empty tables pass through, further columns are dropped.
 """
 
 from __future__ import annotations
@@ -26,21 +26,33 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-copies stays: the one with the smallest id, and of that one row."""
+    """One document of each group of near-copies stays: the one with the smallest id, null ids last, and of that one row.
+
+    A document is an id with a text: unlike texts that share an id are not copies of each other.
+    """
+    key = F.xxhash64("doc_id", "text").alias("key")
     docs = docs.select(*COLUMNS)
-    found = minhash.near_duplicates(docs.select("doc_id", "text"), percent=NEAR)
-    found = stage(found.groupBy("doc_id").agg(F.bool_and("kept").alias("kept"), F.count("*").alias("rows")), "kept")
-    plain = docs.join(found.where("doc_id IS NOT NULL AND (NOT kept OR rows > 1)").select("doc_id"), "doc_id", "left_anti")
-    repeated = docs.join(found.where("kept AND rows > 1").select("doc_id"), "doc_id", "left_semi")
+    found = minhash.near_duplicates(docs.select(key, "text"), key="key", percent=NEAR).withColumnRenamed("doc_id", "key")
+    found = found.groupBy("key").agg(F.min("component_id").alias("component"), F.count("*").alias("rows"))
+    named = docs.select(key, "doc_id").distinct().join(found, "key")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "key")
+    best = named.groupBy("component").agg(F.min_by("key", order).alias("best"))
+    found = stage(named.join(best, "component").select("key", "rows", (F.col("key") == F.col("best")).alias("kept")), "kept")
+    # Most rows stay as they are; where a row is repeated, one of them does.
+    marked = docs.withColumn("key", key)
+    plain = marked.join(found.where("NOT kept OR rows > 1").select("key"), "key", "left_anti")
+    repeated = marked.join(found.where("kept AND rows > 1").select("key"), "key", "left_semi")
     one = F.min_by(F.struct(*COLUMNS), F.xxhash64(*COLUMNS)).alias("row")
-    return plain.select(*COLUMNS).unionByName(repeated.groupBy("doc_id").agg(one).select("row.*"))
+    once = repeated.groupBy("key", "doc_id", F.xxhash64("text")).agg(one).select("row.*")
+    return plain.select(*COLUMNS).unionByName(once)
 
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item. An id in a struct joins also where it is null, the text tells repeats apart."""
     docs = docs.select(*COLUMNS)
-    leaks = decontaminate.contaminated(docs, Tables(spark, sf_dir).benchmark).select("doc_id").distinct()
-    return docs.join(leaks, "doc_id", "left_anti").select(*COLUMNS)
+    leaks = decontaminate.contaminated(docs, Tables(spark, sf_dir).benchmark, own="own")
+    leaks = leaks.select(F.struct("doc_id", "own").alias("leak")).distinct()
+    return docs.join(leaks, F.struct("doc_id", F.xxhash64("text").alias("own")) == F.col("leak"), "left_anti").select(*COLUMNS)
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
