@@ -80,20 +80,54 @@ def write_for_key(df: DataFrame, path: str, key: str) -> None:
     df.repartitionByRange(F.col(key)).sortWithinPartitions(key).write.parquet(path)
 
 
-LINE = r"^([^,\s]+)(?:,(\S+))? (\S+?)(?: (-?\d+))?$"
+# A backslash takes the meaning from the sign after it; a quoted text may hold blanks and commas.
+NAME, TEXT = r"(?:\\.|[^,=\s\\])+", r'"(?:\\.|[^"\\])*"'
+ONE = rf'{NAME}=(?:{TEXT}|[^,\s"]+)'
+LINE = rf'^((?:\\.|[^,\s\\])+)((?:,{NAME}={NAME})*) +({ONE}(?:,{ONE})*)(?: +(-?\d+))?\s*$'
+TAG, FIELD = rf",({NAME})=({NAME})", rf'({NAME})=({TEXT}|[^,\s"]+)'
 
 
 def parse_line_protocol(lines: DataFrame) -> DataFrame:
-    """``measurement,tag=v,... field=v,... [nanoseconds]`` from the column ``value``; other lines are left out."""
+    """``measurement,tag=v,... field=v,... [nanoseconds]`` from the column ``value``, of a table or a stream.
+
+    Backslashes before blanks, commas and equal signs are taken off; fields that are no numbers are null; a line without a
+    time has none. Other lines, and lines that name a tag or field twice, are left out.
+    """
+
+    def plain(text: Column) -> Column:
+        return F.regexp_replace(text, r"\\([,= \\])", "$1")
+
+    def pairs(part: Column, pattern: str) -> tuple[Column, Column]:
+        names, values = (F.regexp_extract_all(part, F.lit(pattern), F.lit(i)) for i in (1, 2))
+        return F.transform(names, plain), values
+
     matched = lines.where(F.col("value").rlike(LINE))
     group = [F.regexp_extract("value", LINE, i) for i in range(5)]
-    tags = F.when(group[2] != "", F.str_to_map(group[2], F.lit(","), F.lit("=")))
-    fields = F.transform_values(
-        F.str_to_map(group[3], F.lit(","), F.lit("=")), lambda _, v: F.rtrim(v, F.lit("i")).try_cast("double")
-    )
-    return matched.select(
-        group[1].alias("measurement"),
-        tags.alias("tags"),
-        fields.alias("fields"),
+    (tags, tag_values), (fields, field_values) = pairs(group[2], TAG), pairs(group[3], FIELD)
+    once = (F.size(tags) == F.size(F.array_distinct(tags))) & (F.size(fields) == F.size(F.array_distinct(fields)))
+    numbers = F.transform(field_values, lambda v: F.rtrim(v, F.lit("iu")).try_cast("double"))
+    return matched.where(once).select(
+        plain(group[1]).alias("measurement"),
+        F.when(F.size(tags) > 0, F.map_from_arrays(tags, F.transform(tag_values, plain))).alias("tags"),
+        F.map_from_arrays(fields, numbers).alias("fields"),
         F.when(group[4] != "", group[4].cast("bigint")).alias("time_ns"),
     )
+
+
+def line_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
+    """The same rows of line-protocol files as they arrive in a folder, read by Spark from any store it reaches.
+
+    A line without a time gets that of its file, as a server would give it its time of arrival.
+    """
+    reader = spark.readStream.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else spark.readStream
+    lines = reader.text(path).select("value", F.col("_metadata.file_modification_time").alias("arrived"))
+    return with_arrival(lines)
+
+
+def with_arrival(lines: DataFrame) -> DataFrame:
+    """Parsed lines of (value, arrived), times filled in."""
+    arrived = F.unix_micros("arrived") * 1000
+    named = lines.where(F.col("value").rlike(LINE)).select(
+        F.when(F.regexp_extract("value", LINE, 4) != "", F.col("value")).otherwise(F.concat(F.rtrim("value"), F.lit(" "), arrived.cast("string"))).alias("value")
+    )
+    return parse_line_protocol(named)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from lotwise.operators import warehouse as dw
 from lotwise.sources import files
 from lotwise.sources import generate as g
+from lotwise.streaming.runtime import collected
 from lotwise.sources.workspace import names, new_path, scratch, shared_folder, stage
 
 
@@ -62,6 +63,37 @@ def test_line_protocol(spark):
     assert parsed.count() == 3
 
 
+def test_line_protocol_with_escapes(spark):
+    lines = [
+        r'my\ sensor\,a,room=up\ stairs,a\=b=c\,d temp=21.5,note="a, \"b\" = c",on=true,n=5i,u=7u 1000',
+        "plain value=1",
+        "m,t=1,t=2 v=1 5",  # a tag twice
+        "m v=1,v=2 5",
+        "m,t=1 5",
+        "m,t= v=1",
+        "no fields",
+        "",
+        "m,t=ü v=-1e3   -7  ",
+    ]
+    found = files.parse_line_protocol(spark.createDataFrame([(line,) for line in lines], "value string")).collect()
+    assert [tuple(r) for r in found] == [
+        ("my sensor,a", {"room": "up stairs", "a=b": "c,d"}, {"temp": 21.5, "note": None, "on": None, "n": 5.0, "u": 7.0}, 1000),
+        ("plain", None, {"value": 1.0}, None),
+        ("m", {"t": "ü"}, {"v": -1000.0}, -7),
+    ]
+
+
+def test_lines_as_a_stream(spark):
+    path = new_path(spark, "lines")
+    for part in range(3):
+        lines = [(f"m{part},t=a v={n}" + (f" {n}" if n % 2 else ""),) for n in range(10)] + [("broken",)]
+        spark.createDataFrame(lines, "value string").coalesce(1).write.mode("append").text(path)
+    batch = files.with_arrival(spark.read.text(path).select("value", F.col("_metadata.file_modification_time").alias("arrived")))
+    streamed = collected(files.line_stream(spark, path, files_per_batch=1))
+    assert rows(streamed) == rows(batch) and streamed.count() == 30
+    assert streamed.where("time_ns IS NULL OR time_ns > 1000000000000000000").count() == 15
+
+
 def test_json_arrays(spark):
     path = new_path(spark, "arrays")
     files.write_json_arrays(spark.range(25), path, F.floor(F.col("id") / 10))
