@@ -27,7 +27,7 @@ from lotwise.llm.batches import appended, letter_words, mixed
 from lotwise.llm.quality import sampled
 
 #: Training documents of both labels together, and the length up to which a document can be one.
-SAMPLE, MAX_CHARS = 2_000, 20_000
+SAMPLE, MAX_CHARS = 3_000, 20_000
 CUT = 0.3
 WINDOW, STEP = 32, 24
 BUCKETS = 1 << 17
@@ -289,10 +289,12 @@ def _best_cut(logit: np.ndarray, label: np.ndarray) -> float:
 
 def trained(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", sample: int = SAMPLE) -> Model | None:
     marks = labels.select(key, label).distinct().where(F.col(label).isin(0, 1))
-    short = docs.where(F.col(text).isNotNull() & (F.length(text) <= MAX_CHARS)).select(key).join(marks, key)
-    picked = sampled(short, key, label, sample)
-    rows = docs.select(key, text).join(picked, key).where(F.length(text) <= MAX_CHARS).select(text, label).collect()
-    rows.sort()  # the order in which tasks end must not matter
+    short = docs.where(F.col(text).isNotNull() & (F.length(text) <= MAX_CHARS)).select(key, F.xxhash64(text).alias("_own"), F.col(text).alias("_text"))
+    # An id with its text is one document, however many rows repeat it, so the bound holds for what comes to the driver.
+    ids = short.select(key, "_own").join(marks, key).distinct()
+    picked = sampled(ids, key, label, sample)
+    rows = short.join(picked, [key, "_own"]).select("_text", label, key, "_own").dropDuplicates([key, "_own", label])
+    rows = sorted((row[0], row[1]) for row in rows.collect())  # the order in which tasks end must not matter
     return fit([row[0] for row in rows], [row[1] for row in rows])
 
 
@@ -300,7 +302,8 @@ def scored(df: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
     """``df`` with ``score`` and ``predicted``."""
 
     def compute(texts: list[str]) -> dict:
-        score = np.zeros(len(texts)) if model is None else model.score(texts)
+        # Rounded, as the last digits of a product depend on what else is in the batch: equal texts score alike.
+        score = np.zeros(len(texts)) if model is None else np.round(model.score(texts), 5)
         return {"score": score, "predicted": (score >= CUT).astype(np.int32)}
 
     return appended(df, text, compute, "score double, predicted int")
