@@ -27,8 +27,6 @@ from pyspark.sql import functions as F
 from lotwise.llm.batches import appended, chunks, letter_words, mixed, texts_of
 
 SAMPLE = 1_500
-#: Languages learned at most, those with most documents first: it bounds the tables.
-LANGUAGES = 64
 BUCKETS = 1 << 16
 SWITCH = 4.0
 UNKNOWN = "und"
@@ -156,12 +154,17 @@ COUNTS = "lang string, kind int, slot int, n bigint"
 def trained(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> Model:
     """A model from the documents with a language; give only those it may learn from."""
     ids = df.where(F.col(lang).isNotNull()).select(key, lang).distinct()
-    names = [row[0] for row in ids.groupBy(lang).count().orderBy(F.col("count").desc(), lang).limit(LANGUAGES).collect()]
-    names.sort()
+    counts = dict(map(tuple, ids.groupBy(lang).count().collect()))  # one row a language
+    names = sorted(counts)
     if not names:
-        return Model((), np.zeros((BUCKETS, 0)), np.zeros((N_SCRIPTS, 0), bool))
-    place = Window.partitionBy(lang).orderBy(F.xxhash64(key), key)
-    picked = ids.where(F.col(lang).isin(names)).withColumn("_place", F.row_number().over(place)).where(F.col("_place") <= sample).drop("_place")
+        return Model((), np.zeros((BUCKETS, 0), np.float32), np.zeros((N_SCRIPTS, 0), bool))
+    # The smallest hashes of each language: of the share that holds them for certain, as good as, the exact first ones.
+    shares = [(name, min(1.0, (1.2 * sample + 200) / count)) for name, count in counts.items()]
+    shares = df.sparkSession.createDataFrame(shares, f"`{lang}` string, _share double")
+    hash_ = F.xxhash64(key)
+    low = ids.join(F.broadcast(shares), lang).where(hash_.cast("double") <= F.col("_share") * 2.0**64 - 2.0**63).drop("_share")
+    place = Window.partitionBy(lang).orderBy(hash_, key)
+    picked = low.withColumn("_place", F.row_number().over(place)).where(F.col("_place") <= sample).drop("_place")
     texts = df.select(key, lang, text).join(picked, [key, lang]).select(F.col(lang).alias("lang"), F.col(text).cast("string").alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,7 +196,7 @@ def trained(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     share = home / np.maximum(home.sum(axis=0), 1)
     known = share >= 0.02
     known[~known.any(axis=1)] = True
-    return Model(tuple(names), likely - likely.mean(axis=1, keepdims=True), known)
+    return Model(tuple(names), (likely - likely.mean(axis=1, keepdims=True)).astype(np.float32), known)
 
 
 def identified(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
