@@ -130,10 +130,14 @@ def sampled(labelled: DataFrame, key: str, label: str, limit: int) -> DataFrame:
 
 def trained(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", sample: int = SAMPLE) -> Ranker:
     """A ranker from the labelled documents. Their features, not their texts, come to the driver."""
-    picked = sampled(labels.select(key, label).distinct(), key, label, sample)
+    # An id with its text is one document, however many rows repeat it, so the bound holds for what comes to the driver.
+    marked = docs.select(key, F.xxhash64(text).alias("_own"), F.col(text).alias("_text"))
+    ids = marked.select(key, "_own").join(labels.select(key, label).distinct(), key).distinct()
+    picked = sampled(ids, key, label, sample)
     share = {row[0]: row[1] for row in labels.where(F.col(label).isin(0, 1)).groupBy(label).count().collect()}
-    texts = docs.select(key, text).join(picked, key).select(text, label)
-    found = appended(texts, text, lambda texts: {"features": list(features(texts))}, "features array<float>").select(label, "features").collect()
+    texts = marked.join(picked, [key, "_own"]).dropDuplicates([key, "_own", label]).select("_text", label, F.xxhash64(key, "_own").alias("_place"))
+    found = appended(texts, "_text", lambda texts: {"features": list(features(texts))}, "features array<float>").select("_place", label, "features").collect()
+    found = [row[1:] for row in sorted(map(tuple, found))]  # the order of the rows must not matter
     rows = np.array([row[1] for row in found], np.float64).reshape(len(found), N_FEATURES)
     marks = np.array([row[0] for row in found], int)
     # The sample may hold other shares of the labels than the table; the quantile follows the table.

@@ -143,3 +143,35 @@ def test_gradient_of_the_network():
         down = loss()
         value[at] = kept
         assert np.isclose(slopes[name][at], (up - down) / 2e-3, rtol=1e-2, atol=1e-5), name
+
+
+def test_every_language_is_learned(spark):
+    """Seventy invented languages, each with letters of its own in other proportions."""
+    pick = np.random.default_rng(5)
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+    rows = []
+    for number in range(70):
+        words = ["".join(pick.choice(letters, size=pick.integers(2, 7))) for _ in range(40)]
+        rows += [(number * 100 + n, " ".join(pick.choice(words, size=60)), f"l{number:02d}") for n in range(6)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = language.trained(df.where("doc_id % 100 < 4"))
+    assert len(model.names) == 70
+    found = language.identified(df.where("doc_id % 100 >= 4"), model)
+    assert found.where("lang = lang_pred").count() > 0.95 * found.count()
+
+
+def test_samples_of_a_language_are_bounded(spark):
+    many = spark.range(20_000).selectExpr("id AS doc_id", "'some words ' || id AS text", "IF(id % 100 = 0, 'b', 'a') AS lang")
+    model = language.trained(many, sample=50)
+    assert model.names == ("a", "b") and np.isfinite(model.table).all()
+
+
+@pytest.mark.parametrize("module, label", [(quality, "quality"), (toxicity, "toxic")])
+def test_repeated_rows_are_one_training_document(spark, monkeypatch, module, label):
+    rows = [(n, f"good plain words number {n} and more of them" if n % 2 else f"bad bad!! {n} $$ ugly {n}") for n in range(40)]
+    marks = spark.createDataFrame([(n, n % 2) for n in range(40)], f"doc_id bigint, {label} int")
+    seen, real = [], module.fit
+    monkeypatch.setattr(module, "fit", lambda rows, *rest: seen.append(np.array(rows)) or real(rows, *rest))
+    module.trained(texts(spark, rows), marks, sample=20)
+    module.trained(texts(spark, rows + [rows[3]] * 3000 + [rows[8]] * 500).repartition(7), marks, sample=20)
+    assert 10 <= len(seen[0]) <= 20 and np.array_equal(seen[0], seen[1])
