@@ -50,12 +50,17 @@ SQL_WRITTEN = "length(replace(replace(replace({0}, '\\', '\\b'), '<', '\\l'), '>
 
 @registered(
     "op3_chat_format",
-    f"""WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM ({CHATS}))
+    f"""WITH rows AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM ({CHATS})),
+             t AS (SELECT *, row_number() OVER w AS place, lag(role) OVER w AS old, lead(role) OVER w IS NULL AS final FROM rows
+                   WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text))
         SELECT conv_id, count(*) AS n_turns,
                sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
                CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
                sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
-               CAST(sum({SQL_WRITTEN.format("role")} + {SQL_WRITTEN.format("text")} + 15) AS BIGINT) AS formatted_chars
+               CAST(sum({SQL_WRITTEN.format("role")} + {SQL_WRITTEN.format("text")} + 15) AS BIGINT) AS formatted_chars,
+               coalesce(min(place) FILTER (CASE WHEN old IS NULL THEN role NOT IN ('system', 'user')
+                                                ELSE old || '>' || role NOT IN ('system>user', 'user>assistant', 'assistant>user', 'assistant>tool', 'tool>assistant', 'tool>tool') END),
+                        max(place + 1) FILTER (final AND role <> 'assistant')) AS fault
         FROM t GROUP BY conv_id""",
 )
 def op3(t: Tables) -> DataFrame:
@@ -63,7 +68,7 @@ def op3(t: Tables) -> DataFrame:
         r"SELECT * FROM VALUES (-7L, 0L, 'user', r'\### Assistant: </turn> ok'), (-7L, 1L, 'assistant', r'\### Assistant: </turn> ok') AS (conv_id, turn, role, text)"
     )
     chats = chat.format_chats(t.conversations.unionByName(planted))
-    written = chats.select("conv_id", chat.formatted(F.col("segments")).alias("written"), chat.learned(F.col("segments")).alias("learned"))
+    written = chats.select("conv_id", F.col("fault").cast("bigint").alias("fault"), chat.formatted(F.col("segments")).alias("written"), chat.learned(F.col("segments")).alias("learned"))
     read = written.select("*", chat.turns_of(F.col("written")).alias("turns"))
     lines = F.transform("turns", lambda turn: F.concat(turn["role"], F.lit("\n"), turn["text"], F.lit("\n")))
     return read.select(
@@ -73,6 +78,7 @@ def op3(t: Tables) -> DataFrame:
         F.length("learned").cast("bigint").alias("loss_chars"),
         F.sha2("learned", 256).alias("loss_sha256"),
         F.length("written").cast("bigint").alias("formatted_chars"),
+        "fault",
     )
 
 
