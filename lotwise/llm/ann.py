@@ -11,8 +11,9 @@ vectors of unequal length one further coordinate makes the inner product an angl
 
 Equal vectors are searched once, as one class. A class answers with its k + 1 smallest ids, which is all that ties can
 ask for. The index is cut into slices and the queries into blocks of bounded size; a task has one of each, so no bucket,
-however common, meets one task. A query that finds fewer than k + 1 codes in a slice takes the nearest codes beyond the
-radius there.
+however common, meets one task. The substring indexes of a slice list its codes by value, and only codes on the lists that
+a query probes are compared with it. Queries that find fewer than k + 1 classes within the radius, over all slices, are
+compared with every code in a second pass.
 
 A vector takes no part if it is null, zero, holds a null or a number that is not finite, or differs in size from most
 (ties: the larger size). Rows that repeat an id and a vector count once; null ids take no part; an empty table gives an
@@ -102,23 +103,44 @@ def distances(queries: np.ndarray, codes: np.ndarray) -> np.ndarray:
     return result
 
 
-def search(hashing: Hashing, ids: np.ndarray, vectors: np.ndarray, asked: np.ndarray, queries: np.ndarray, k: int):
-    """(query, id, score) of the nearest k of the vectors for each query, found through the substring indexes."""
+def probed(codes: np.ndarray, indexes: list[tuple[np.ndarray, np.ndarray]], probes: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(probe, code, distance) of all codes within the radius, by the substring indexes.
+
+    Of two codes within the radius some substring differs in at most ``radius // SUBSTRINGS`` bits. Each index lists the
+    codes by the values that their substring takes: the values near enough to the probe's are picked, their lists united,
+    and only the codes on them are compared.
+    """
+    reach = radius // SUBSTRINGS
+    hit = np.zeros((len(probes), len(codes)), bool)
+    for place, (values, where) in enumerate(indexes):
+        near = np.bitwise_count(values[None, :] ^ probes[:, place][:, None]) <= reach
+        rows = np.flatnonzero(near.any(axis=1))
+        hit[rows] |= near[rows][:, where]
+    row, one = np.nonzero(hit)
+    apart = np.zeros(len(row), np.int32)
+    wide = [np.ascontiguousarray(side).view(np.uint64) for side in (probes, codes)]
+    for place in range(wide[0].shape[1]):
+        apart += np.bitwise_count(wide[0][row, place] ^ wide[1][one, place])
+    within = apart <= radius
+    return row[within], one[within], apart[within]
+
+
+def search(hashing: Hashing, ids: np.ndarray, vectors: np.ndarray, asked: np.ndarray, queries: np.ndarray, k: int, every: bool = False):
+    """(query, id, score) of the nearest k of the vectors within the radius for each query, found by the substring indexes.
+
+    With ``every``, the k nearest codes however far, found by comparing them all: for queries with too few in the radius.
+    """
     codes, probes = hashing.codes(vectors), hashing.codes(queries, True)
-    reach = hashing.radius // SUBSTRINGS
     indexes = [np.unique(codes[:, place], return_inverse=True) for place in range(SUBSTRINGS)]
     found = []
     for at in range(0, len(asked), 32):
         part = probes[at : at + 32]
-        hit = np.zeros((len(part), len(codes)), bool)
-        for place, (values, where) in enumerate(indexes):
-            hit |= (np.bitwise_count(values[None, :] ^ part[:, place][:, None]) <= reach)[:, where]
-        apart = distances(part, codes)
-        near = hit & (apart <= hashing.radius)
-        for row in np.flatnonzero(near.sum(axis=1) < min(k, len(codes))):
-            limit = np.partition(apart[row], min(k, len(codes)) - 1)[min(k, len(codes)) - 1]
-            near[row] = apart[row] <= max(limit, hashing.radius)
-        row, one = np.nonzero(near)
+        if every:
+            apart, most = distances(part, codes), min(k, len(codes)) - 1
+            limit = np.partition(apart, most, axis=1)[:, most]
+            row, one = np.nonzero(apart <= np.maximum(limit, hashing.radius)[:, None])
+        else:
+            row, one, _ = probed(codes, indexes, part, hashing.radius)
         score = np.einsum("ij,ij->i", queries[at + row], vectors[one])
         order = np.lexsort((ids[one], -score, row))
         row, one, score = row[order], one[order], score[order]
@@ -154,21 +176,32 @@ def nearest(df: DataFrame, is_query: Column, k: int, key: str = "vec_id", vector
     picked = classes.orderBy(F.xxhash64("class"), "class").limit(SAMPLE).select("vector").toArrow()
     hashing = fit(_matrix(picked.column(0), picked.num_rows), longest, k)
 
-    slices, blocks = -(-count // SLICE), max(1, -(-asked.count() // BLOCK))
-    index = classes.withColumn("slice", F.pmod(F.xxhash64("class"), F.lit(slices)))
-    index = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    probes = asked.withColumn("block", F.pmod(F.xxhash64("class"), F.lit(blocks)).cast("int"))
-    probes = probes.withColumn("slice", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(slices - 1).cast("bigint"))))
-    probes = probes.toDF("asker", "question", "its_block", "its_slice")
-
-    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows or not right.num_rows:
-            return pa.table({"query": pa.array([], pa.int64()), "class": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
-        ids, queries = left.column("class").to_numpy(), right.column("asker").to_numpy()
-        found = search(hashing, ids, _matrix(left.column("vector"), len(ids)), queries, _matrix(right.column("question"), len(queries)), k + 1)
-        return pa.table(dict(zip(("query", "class", "score"), found)))
-
-    found = index.groupBy("slice", "block").cogroup(probes.groupBy("its_slice", "its_block")).applyInArrow(compare, FOUND)
+    slices = -(-count // SLICE)
+    sliced = classes.withColumn("slice", F.pmod(F.xxhash64("class"), F.lit(slices)))
+
+    def searched(asked: DataFrame, every: bool) -> DataFrame:
+        """All slices of the vectors against all blocks of the queries."""
+        blocks = max(1, -(-asked.count() // BLOCK))
+        index = sliced.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+        probes = asked.withColumn("block", F.pmod(F.xxhash64("class"), F.lit(blocks)).cast("int"))
+        probes = probes.withColumn("slice", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(slices - 1).cast("bigint"))))
+        probes = probes.toDF("asker", "question", "its_block", "its_slice")
+
+        def compare(left: pa.Table, right: pa.Table) -> pa.Table:
+            if not left.num_rows or not right.num_rows:
+                return pa.table({"query": pa.array([], pa.int64()), "class": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
+            ids, queries = left.column("class").to_numpy(), right.column("asker").to_numpy()
+            found = search(hashing, ids, _matrix(left.column("vector"), len(ids)), queries, _matrix(right.column("question"), len(queries)), k + 1, every)
+            return pa.table(dict(zip(("query", "class", "score"), found)))
+
+        return index.groupBy("slice", "block").cogroup(probes.groupBy("its_slice", "its_block")).applyInArrow(compare, FOUND)
+
+    within = stage(searched(asked, False), "within")
+    # A query with fewer than it asks for in the radius, over all slices, is compared with every code.
+    enough = within.groupBy("query").agg(F.count("*").alias("n")).where(F.col("n") >= min(k + 1, count))
+    short = stage(asked.join(enough, F.col("class") == F.col("query"), "left_anti"), "short")
+    rest = searched(short, True)
+    found = within.join(short.select(F.col("class").alias("query")), "query", "left_anti").unionByName(rest)
     best = Window.partitionBy("query").orderBy(F.col("score").desc(), "class")
     found = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k + 1).drop("rank")
     best = Window.partitionBy("query").orderBy(F.col("score").desc(), "id")

@@ -62,6 +62,42 @@ def test_every_code_within_the_radius_is_probed():
     assert set(zip(query.tolist(), one.tolist())) >= set(zip(*map(np.ndarray.tolist, np.nonzero(apart <= 90))))
 
 
+def test_probes_of_clustered_codes_are_selective():
+    """The lists hold all codes within the radius, and on clustered codes little else."""
+    pick = np.random.default_rng(4)
+    centres = pick.integers(0, 2, (40, ann.BITS)).astype(np.uint8)
+    bits = centres[pick.integers(0, 40, 4000)] ^ (pick.random((4000, ann.BITS)) < 0.03)
+    codes = np.packbits(bits.astype(np.uint8), axis=1, bitorder="little").view("<u2")
+    indexes = [np.unique(codes[:, place], return_inverse=True) for place in range(ann.SUBSTRINGS)]
+    row, one, apart = ann.probed(codes, indexes, codes[:50], 40)
+    want = ann.distances(codes[:50], codes)
+    assert set(zip(row.tolist(), one.tolist())) == set(zip(*map(np.ndarray.tolist, np.nonzero(want <= 40))))
+    assert (apart == want[row, one]).all()
+    listed = np.zeros((50, 4000), bool)
+    for place, (values, where) in enumerate(indexes):
+        listed |= (np.bitwise_count(values[None, :] ^ codes[:50, place][:, None]) <= 40 // ann.SUBSTRINGS)[:, where]
+    assert listed.mean() < 0.25
+
+
+def test_recall_on_the_given_table(spark):
+    df = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+    rows = {r["vec_id"]: np.array(r["embedding"], np.float64) for r in df.collect()}
+    ids = np.array(sorted(rows))
+    every = np.stack([rows[key] for key in ids.tolist()])
+    found = {}
+    for r in ann.nearest(df, F.col("vec_id") % 20 == 0, 20).collect():
+        found.setdefault(r["query_id"], set()).add(r["vec_id"])
+    hits = total = 0
+    for key in ids[ids % 20 == 0].tolist():
+        order = np.lexsort((ids, -(every @ rows[key])))
+        want = {other for other in ids[order].tolist() if other != key}
+        best = [other for other in ids[order].tolist() if other != key][:20]
+        assert len(found[key]) == min(20, len(want))
+        hits += len(found[key] & set(best))
+        total += len(best)
+    assert hits >= 0.9 * total
+
+
 def naive_table(shards, slots):
     """Shards take turns; each walks its whole permutation from the start until a free slot comes."""
     start = {s: sharding._number(s, "start") % slots for s in shards}
