@@ -6,7 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from lotwise.operators.ordered import row_numbers
 from lotwise.sources.workspace import stage
 
 
@@ -19,6 +21,27 @@ def pairs_with_counts(edges: DataFrame, links: DataFrame, reader: str, item: str
     return counted.join(links, item).groupBy(reader, category).agg(F.sum("_n").alias("paths"))
 
 
+def scattered(key: Column) -> Column:
+    """A number below 2**32 that puts keys in an order of its own: multiplication by a large odd number."""
+    return F.pmod(key, F.lit(2**31)) * 2654435761 % 2**32
+
+
+def picked(readers: DataFrame, items: DataFrame, reader: str, item: str, k: int) -> DataFrame:
+    """(reader, item) with ``k`` different items for each reader, all of them if there are fewer.
+
+    The items are put in a scattered order and numbered; a reader takes the ``k`` that follow a place of its own, round the
+    end. So every reader asks for ``k`` numbers, and readers and items meet in one join by number, never in pairs.
+    """
+    placed = items.select(item).distinct().withColumn("_order", scattered(F.col(item)))
+    numbered = stage(row_numbers(placed, [], ["_order", item], "_place").select(item, "_place"), "numbered")
+    count = numbered.agg(F.max("_place")).first()[0] or 0
+    if not count:
+        return readers.sparkSession.createDataFrame([], StructType([readers.schema[reader], items.schema[item]]))
+    asked = readers.select(reader).distinct().withColumn("_at", F.explode(F.sequence(F.lit(0), F.lit(min(k, count) - 1))))
+    asked = asked.withColumn("_place", (scattered(F.col(reader)) + F.col("_at")) % count + 1)
+    return asked.join(numbered, "_place").select(reader, item)
+
+
 def counted_edges(edges: DataFrame, reader: str, item: str) -> DataFrame:
     """(reader, item, n) with each pair once, written: patterns that go over the edges several times read this table."""
     return stage(edges.groupBy(reader, item).agg(F.count("*").alias("n")), "edges")

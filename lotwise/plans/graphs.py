@@ -52,6 +52,23 @@ def one_hop(t):
     )
 
 
+SCATTERED = "(({0} % 2147483648) * 2654435761 % 4294967296)"
+
+
+@query(
+    "GRF-1-picked",
+    f"""WITH placed AS (SELECT p_partkey AS article, row_number() OVER (ORDER BY {SCATTERED.format("p_partkey")}, p_partkey) - 1 AS place, count(*) OVER () AS n FROM part)
+        SELECT c_custkey AS reader, article, 3 + (c_custkey * 7 + article) % 3 AS rating, strftime(TIMESTAMP '2024-01-01' + to_days(CAST((c_custkey + article) % 365 AS INTEGER)), '%Y-%m-%d') AS read_at
+        FROM customer, (SELECT unnest(range(5)) AS i) JOIN placed ON place = ({SCATTERED.format("c_custkey")} + i) % n""",
+)
+def picked_articles(t):
+    """Five articles for every reader, with a rating and a day by arithmetic on the keys."""
+    edges = graph.picked(t.customer.select(F.col("c_custkey").alias("reader")), t.part.select(F.col("p_partkey").alias("article")), "reader", "article", 5)
+    rating = 3 + (F.col("reader") * 7 + F.col("article")) % 3
+    read_at = F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), ((F.col("reader") + F.col("article")) % 365).cast("int")), "yyyy-MM-dd")
+    return edges.select("reader", "article", rating.alias("rating"), read_at.alias("read_at"))
+
+
 @query(
     "GRF-2",
     f"""SELECT reader, category, count(*) AS paths FROM {READ} JOIN {IS_IN} USING (article) GROUP BY reader, category""",

@@ -180,6 +180,15 @@ def test_graph(spark):
     assert merged.count() == 7
 
 
+def test_every_reader_picks_different_items(spark):
+    readers, items = spark.range(300).withColumnRenamed("id", "r"), spark.range(1000, 1040).withColumnRenamed("id", "i")
+    found = graph.picked(readers.union(readers), items, "r", "i", 5).collect()
+    assert len(found) == len(set(map(tuple, found))) == 1500
+    assert len({r["i"] for r in found}) == 40 and len({tuple(sorted(r["i"] for r in found if r["r"] == n)) for n in range(300)}) > 20
+    assert graph.picked(readers, items.limit(3), "r", "i", 5).count() == 900
+    assert graph.picked(readers, items.limit(0), "r", "i", 5).count() == 0
+
+
 def test_bool_query_and_postings(spark):
     df = spark.createDataFrame([(1, "Samsung phone", 900), (2, "phone", 800), (3, "phone", 10)], "id bigint, name string, price int")
     found = search.bool_query(df, [F.col("price") >= 800], [(text.has_any(text.tokens("name"), ["Samsung"]), 1.0)])
