@@ -91,7 +91,7 @@ def running_totals(
 def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
     """ROW_NUMBER per key (or over the whole table without keys); ``order`` must be total."""
     if keys:
-        return running_totals(df, keys, order, {name: F.lit(1).cast("bigint")})
+        return _numbers_in_groups(df, keys, order, name)
     # The slices are sorted as they are written, and the row id holds both the slice and the place in it:
     # one shuffle, no window. What is broadcast is one row per slice.
     cut = df.repartitionByRange(*sort_columns(order)).sortWithinPartitions(*sort_columns(order))
@@ -104,6 +104,25 @@ def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[str], name:
     return joined.select(*df.columns, (F.col("_before") + place + 1).alias(name))
 
 
+def _numbers_in_groups(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
+    """The same per key. A row's number is its place in the sorted slice, less the place where its key begins there, and
+    the rows of the key in earlier slices: a table of one row for each slice and key, which Spark broadcasts if it is small.
+    """
+    sorted_by = [*sort_columns(keys), *sort_columns(order)]
+    cut = df.repartitionByRange(*sorted_by).sortWithinPartitions(*sorted_by)
+    placed = stage(cut.withColumn("_id", F.monotonically_increasing_id()), "numbered")
+    slice_of, place = F.shiftright("_id", 33), F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    of = [f"_of_{key}" for key in keys]
+    groups = placed.groupBy(slice_of.alias("_slice_of"), *[F.col(key).alias(f"_of_{key}") for key in keys])
+    groups = groups.agg(F.min(place).alias("_first"), F.count("*").alias("_rows"))
+    earlier = Window.partitionBy(*of).orderBy("_slice_of").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = groups.select("_slice_of", *of, (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"))
+    on = slice_of == F.col("_slice_of")
+    for key in keys:
+        on = on & F.col(key).eqNullSafe(F.col(f"_of_{key}"))
+    return placed.join(shifts, on).select(*df.columns, (place + F.col("_shift") + 1).alias(name))
+
+
 def ranks(df: DataFrame, keys: Sequence[str], value: str, descending: bool = True, count: Column | None = None) -> DataFrame:
     """Distinct (keys, value) rows with RANK as ``position`` and DENSE_RANK as ``dense_position``.
 

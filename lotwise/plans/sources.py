@@ -8,7 +8,7 @@ from lotwise.functions.money import mean, sql_mean
 from lotwise.plans.registry import query
 from lotwise.sources import files
 from lotwise.sources.tables import SCHEMAS
-from lotwise.sources.workspace import new_path, together
+from lotwise.sources.workspace import layout, new_path, together
 
 ORDER_COLUMNS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
 ORDERS_WITH_DAY = f"SELECT {', '.join(ORDER_COLUMNS)}, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders"
@@ -108,24 +108,28 @@ def cross_store_extract(t):
 LAYOUT = "o_orderkey bigint, o_custkey bigint, o_totalprice double, o_orderdate timestamp_ntz"
 
 
+def _partitioned(t, label, column, more):
+    """The orders partitioned by a column, written once for these data."""
+
+    def write(path):
+        rows = t.orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", more.alias(column))
+        files.write_partitioned(rows, path, column)
+
+    return layout(t.spark, label, [t.path("orders")], write)
+
+
 def by_month(t):
-    path = new_path(t.spark, "by-month")
-    rows = t.orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
-    files.write_partitioned(rows.withColumn("month", files.month_of(F.col("o_orderdate"))), path, "month")
+    path = _partitioned(t, "by-month", "month", files.month_of(F.col("o_orderdate")))
     return files.read_partitioned(t.spark, path, f"{LAYOUT}, month date")
 
 
 def by_status(t):
-    path = new_path(t.spark, "by-status")
-    rows = t.orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderstatus")
-    files.write_partitioned(rows, path, "o_orderstatus")
+    path = _partitioned(t, "by-status", "o_orderstatus", F.col("o_orderstatus"))
     return files.read_partitioned(t.spark, path, f"{LAYOUT}, o_orderstatus string")
 
 
 def by_hash(t, buckets=4):
-    path = new_path(t.spark, "by-hash")
-    rows = t.orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
-    files.write_partitioned(rows.withColumn("bucket", files.bucket_of(F.col("o_custkey"), buckets)), path, "bucket")
+    path = _partitioned(t, f"by-hash-{buckets}", "bucket", files.bucket_of(F.col("o_custkey"), buckets))
     return files.read_partitioned(t.spark, path, f"{LAYOUT}, bucket int")
 
 

@@ -85,8 +85,11 @@ def _ranked(t, position):
     per_part = t.lineitem.groupBy("l_partkey", "l_quantity").agg(F.count("*").alias("n"))
     counted = per_part.join(t.part, F.col("l_partkey") == F.col("p_partkey")).groupBy("p_brand", "l_quantity").agg(F.sum("n").alias("n"))
     counted = stage(counted, "counted")
-    inside = ranks(counted, ["p_brand"], "l_quantity", count=F.sum("n")).withColumnRenamed(position, "in_brand")
-    overall = ranks(counted, [], "l_quantity", count=F.sum("n")).withColumnRenamed(position, "overall")
+    # Both levels are ranked in one pass: the whole table is a group beside the brands.
+    both = counted.withColumn("level", F.lit(1)).unionByName(counted.withColumns({"level": F.lit(0), "p_brand": F.lit(None).cast("string")}))
+    ranked = ranks(both, ["level", "p_brand"], "l_quantity", count=F.sum("n"))
+    inside = ranked.where("level = 1").withColumnRenamed(position, "in_brand")
+    overall = ranked.where("level = 0").withColumnRenamed(position, "overall")
     places = joined_null_safe(inside.select("p_brand", "l_quantity", "in_brand"), overall.select("l_quantity", "overall"), ["l_quantity"])
     rows = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
     rows = rows.select("p_brand", "l_orderkey", "l_linenumber", "l_quantity")
