@@ -149,7 +149,7 @@ def sketches(hashes: np.ndarray, owner: np.ndarray, count: int) -> np.ndarray:
     return packed_
 
 
-FEATURES = "doc_id bigint, n_shingles bigint, high bigint, low bigint, bits array<bigint>, bands array<bigint>, sketch array<bigint>"
+FEATURES = "doc_id bigint, n_shingles bigint, high bigint, low bigint, bits array<bigint>, bands array<bigint>"
 
 
 def features(df: DataFrame, key: str, text: str, n_bands: int = BANDS) -> DataFrame:
@@ -172,10 +172,8 @@ def features(df: DataFrame, key: str, text: str, n_bands: int = BANDS) -> DataFr
                     low = minima(hashes, begin)
                     bits, bands = packed(low), band_keys(low, n_bands)
                 columns = [piece.column(0), pa.array(sizes.astype(np.int64)), *(pa.array(m.view(np.int64)) for m in marks)]
-                short = np.flatnonzero((sizes > 0) & (sizes <= SKETCHED))
                 columns += [_lists(bits, full, len(texts)), _lists(bands, full, len(texts))]
-                columns += [_lists(sketches(hashes, owner, len(texts))[short].T, short, len(texts))]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "high", "low", "bits", "bands", "sketch"])
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "high", "low", "bits", "bands"])
 
     return df.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(each, FEATURES)
 
@@ -283,7 +281,7 @@ def _links(first: DataFrame, df: DataFrame, key: str, text: str, percent: int) -
     placed = _placed(buckets.select("doc_id", "key"), "doc_id", place, "component")
     keys = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
     open_ = placed.join(keys.select("key"), "key").select("doc_id", "component").distinct()
-    open_ = stage(open_.join(first.select("doc_id", "bits", "sketch"), "doc_id"), "open")
+    open_ = stage(open_.join(marks, "doc_id"), "open")
     with scratch(df.sparkSession) as keep:
         rarest = keep(stage(_rarest(open_, df, key, text, percent), "rarest"))
     rare = _partnered(rarest, percent)
@@ -309,19 +307,25 @@ def _rarest(open_: DataFrame, df: DataFrame, key: str, text: str, percent: int)
             for piece in chunks(batch, 1):
                 hashes, owner = shingle_sets(texts_of(piece.column(1)))
                 n = np.bincount(owner, minlength=piece.num_rows)
-                columns = [piece.column(0).take(pa.array(owner)), pa.array(n[owner]), pa.array(hashes.view(np.int64))]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "hash"])
+                # The sketch of a set stands beside its first shingle.
+                short = np.flatnonzero((n > 0) & (n <= SKETCHED))
+                beside = np.searchsorted(owner, short)
+                sketch = _lists(sketches(hashes, owner, len(n))[short].T, beside, len(owner))
+                columns = [piece.column(0).take(pa.array(owner)), pa.array(n[owner]), pa.array(hashes.view(np.int64)), sketch]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "hash", "sketch"])
 
     texts = df.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
     with rows_per_batch(df.sparkSession, BATCH):
-        rows = stage(texts.join(open_.select("doc_id"), "doc_id").mapInArrow(each, "doc_id bigint, n bigint, hash bigint"), "shingles")
+        rows = stage(texts.join(open_.select("doc_id"), "doc_id").mapInArrow(each, "doc_id bigint, n bigint, hash bigint, sketch array<bigint>"), "shingles")
     common = rows.groupBy("hash").agg(F.count("*").alias("often")).where("often > 1")
     order = Window.partitionBy("doc_id", "n").orderBy("often", "hash")
-    shared = rows.join(common, "hash").withColumn("place", F.row_number().over(order))
+    shared = rows.drop("sketch").join(common, "hash").withColumn("place", F.row_number().over(order))
     shared = shared.withColumn("shared", F.count("*").over(Window.partitionBy("doc_id", "n")))
     bound = F.expr(f"n - CAST(ceil(n * {percent} / 100) AS BIGINT) + 1 - (n - shared)")
     prefix = F.transform(F.sort_array(F.collect_list(F.struct("place", "hash"))), lambda one: one["hash"])
     rarest = shared.where(F.col("place") <= bound).groupBy("doc_id", "n", "shared").agg(prefix.alias("prefix"))
+    sketched = rows.where("size(sketch) > 0").select("doc_id", "n", "sketch")
+    rarest = rarest.join(sketched, ["doc_id", "n"], "left").withColumn("sketch", F.coalesce("sketch", F.array().cast("array<bigint>")))
     return rarest.join(open_, "doc_id")
 
 
@@ -337,8 +341,8 @@ def _partnered(rarest: DataFrame, percent: int) -> DataFrame:
     # Of n shingles, the unshared come first: so many less than ``shared`` stand behind.
     rows = rows.withColumn("reach", F.expr(f"(shared - at) * {100 + percent} DIV {percent} - n"))
     rows = rows.where(F.expr(f"100 * reach >= {percent} * n"))
-    ends = rows.groupBy("hash").agg(F.min("n").alias("least"), F.max("reach").alias("furthest"), F.count("*").alias("often")).where("often > 1")
-    return rows.join(ends, "hash").where("least <= reach AND furthest >= n").drop("least", "furthest", "often")
+    ends = rows.groupBy("hash").agg(F.min("n").alias("least"), F.max("reach").alias("furthest"), F.min("component").alias("x"), F.max("component").alias("y"))
+    return rows.join(ends.where("x < y").drop("x", "y"), "hash").where("least <= reach AND furthest >= n").drop("least", "furthest")
 
 
 def _placed(df: DataFrame, node: str, place: DataFrame, name: str) -> DataFrame:
