@@ -38,13 +38,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "key")
     best = named.groupBy("component").agg(F.min_by("key", order).alias("best"))
     found = stage(named.join(best, "component").select("key", "rows", (F.col("key") == F.col("best")).alias("kept")), "kept")
-    # Most rows stay as they are; where a row is repeated, one of them does.
-    marked = docs.withColumn("key", key)
-    plain = marked.join(found.where("NOT kept OR rows > 1").select("key"), "key", "left_anti")
-    repeated = marked.join(found.where("kept AND rows > 1").select("key"), "key", "left_semi")
+    # Most rows stay as they are; where a row is repeated, one of them does. Both parts come from one join.
+    marked = docs.withColumn("key", key).join(found.where("NOT kept OR rows > 1").select("key", "kept"), "key", "left")
     one = F.min_by(F.struct(*COLUMNS), F.xxhash64(*COLUMNS)).alias("row")
-    once = repeated.groupBy("key", "doc_id", F.xxhash64("text")).agg(one).select("row.*")
-    return plain.select(*COLUMNS).unionByName(once)
+    once = marked.where("kept").groupBy("key", "doc_id", F.xxhash64("text")).agg(one).select("row.*")
+    return marked.where("kept IS NULL").select(*COLUMNS).unionByName(once)
 
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
