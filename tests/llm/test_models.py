@@ -1,5 +1,6 @@
 """The fitted operators: held-out accuracy, and every odd row."""
 
+import contextlib
 import zlib
 
 import numpy as np
@@ -175,3 +176,30 @@ def test_repeated_rows_are_one_training_document(spark, monkeypatch, module, lab
     module.trained(texts(spark, rows), marks, sample=20)
     module.trained(texts(spark, rows + [rows[3]] * 3000 + [rows[8]] * 500).repartition(7), marks, sample=20)
     assert 10 <= len(seen[0]) <= 20 and np.array_equal(seen[0], seen[1])
+
+
+def test_all_labelled_documents_are_learned(spark, monkeypatch):
+    """More documents than a block, the marks of most of them turned: a part would learn the opposite or find another cut."""
+    monkeypatch.setattr(quality, "BLOCK", 64)
+    rows = [(n, f"plain words and more of them {n}" if n % 4 else f"ugly $$ text!! {n} $$") for n in range(900)]
+    marks = spark.createDataFrame([(n, int(n % 4 > 0)) for n in range(900)] + [(None, 1), (5000, 0)], "doc_id bigint, quality int")
+    docs = texts(spark, rows + [rows[3]] * 400 + [(None, "ugly $$")])
+    monkeypatch.setattr(quality, "fit", None)  # nothing is fitted to rows on the driver
+    seen, real = [], quality._blocks
+    monkeypatch.setattr(quality, "_blocks", lambda rows, counts: seen.append(real(rows, counts)) or seen[-1])
+    monkeypatch.setattr(quality, "scratch", contextlib.nullcontext)
+    model = quality.trained(docs, marks)
+    sizes = [len(row["marks"]) for row in seen[0].collect()]
+    assert sum(sizes) == 900 and len(sizes) == 15
+    again = quality.trained(docs.repartition(11), marks)
+    assert np.array_equal(model.weights, again.weights) and model.cut == again.cut
+    found = quality.scored(texts(spark, rows), model).collect()
+    assert all(row["predicted"] == int(row["doc_id"] % 4 > 0) for row in found)
+
+
+def test_cut_is_the_share_of_zeros(spark):
+    pick = np.random.default_rng(3)
+    rows = pick.normal(size=(5000, quality.N_FEATURES)).astype(np.float32)
+    labels = (rows[:, 0] + pick.normal(size=5000) > 0.7).astype(int)
+    ranker = quality.fit(rows, labels)
+    assert ranker.cut == pytest.approx(np.quantile(ranker.raw(rows), (labels == 0).mean(), method="midpoint"), abs=1e-9)
