@@ -50,9 +50,21 @@ def sliding_rates(
 def mean_rates(
     grown: DataFrame, series: Sequence[str], time: str, span: int = 300, step: int = 15, unit: int = 1
 ) -> DataFrame:
-    """Mean over the series of their growth per second. Growth is added exactly and divided once."""
-    each = sliding_growth(grown, series, time, span, step)
-    sums = each.groupBy("window_start").agg(F.sum("growth").cast("double").alias("_all"), F.count("*").alias("_series"))
+    """Mean over the series of their growth per second. Growth is added exactly and divided once.
+
+    A series is counted in a window once: by the first of its steps there. A step is the first one in the windows that do
+    not reach back to the step before it, so steps are counted by how many windows these are, and only the counts, which do
+    not grow with the number of series, are dealt to windows.
+    """
+    second = F.unix_timestamp(F.col(time).cast("timestamp"))
+    per_step = grown.groupBy(*series, (F.floor(second / step) * step).alias("_step")).agg(F.sum("increase").alias("_sum"))
+    placed = row_frames(per_step, series, ["_step"], lambda w: {"_before": F.lag("_step").over(w)}, before=1)
+    windows = span // step
+    fresh = F.when(F.col("_step").isNull(), 1).otherwise(F.coalesce(F.least(F.expr(f"(_step - _before) div {step}"), F.lit(windows)), F.lit(windows)))
+    counted = placed.groupBy("_step", fresh.alias("_fresh")).agg(F.sum("_sum").alias("_sum"), F.count("*").alias("_n"))
+    dealt = counted.withColumn("_back", F.explode(F.array(*[F.lit(i) for i in range(windows)])))
+    dealt = dealt.groupBy((F.col("_step") - F.col("_back") * step).alias("window_start"))
+    sums = dealt.agg(F.sum("_sum").cast("double").alias("_all"), F.sum(F.when(F.col("_back") < F.col("_fresh"), F.col("_n")).otherwise(0)).alias("_series"))
     return sums.select("window_start", (F.col("_all") / unit / span / F.col("_series")).alias("mean_rate"))
 
 
