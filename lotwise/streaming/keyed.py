@@ -9,8 +9,10 @@ Times that come before the watermark are late: the engine drops them. ``lateness
 
 from __future__ import annotations
 
+import bisect
 import datetime
-from collections.abc import Iterator
+import itertools
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -157,11 +159,17 @@ def price_changes(prices: DataFrame, folder: str) -> DataFrame:
     return rows.select("ad_id", "seq", "old_price", "new_price", (F.col("new_price") - F.col("old_price")).alias("difference"))
 
 
+#: Steps of a series that lie in one entry of its state.
+RUN = 64
+
+
 class Counters(StatefulProcessor):
     """Samples of each series since the watermark, and the last value before it. Tells the growth of each step it changes.
 
     A sample's growth belongs to its step; until the watermark passes a step, late samples may still change it and the
-    step after it. Then a timer gives up its samples, and the last of them is what the next step starts from.
+    step after it. An entry of the state, with one timer, holds a run of up to ``RUN`` steps under its first one. New steps
+    begin entries of their own, late samples go to the entry they fall into. When the watermark passes the last step of an
+    entry, it gives up its samples, and the last of them is what the next step starts from.
     """
 
     def __init__(self, step: int, key: str):
@@ -170,37 +178,64 @@ class Counters(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.before = handle.getValueState("before", "value bigint")
-        self.steps = handle.getMapState("steps", "step bigint", "growth bigint, samples array<struct<at:bigint,id:bigint,value:bigint>>")
+        self.steps = handle.getMapState("steps", "step bigint", "samples array<struct<at:bigint,id:bigint,value:bigint>>")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        new: dict[int, list] = {}
-        for row in rows:
-            new.setdefault(row["micros"] // (self.step * 1_000_000) * self.step, []).append((row["micros"], row["id"], row["value"]))
-        known = {place[0]: (value[0], [tuple(sample) for sample in value[1]]) for place, value in self.steps.iterator()}
-        for step, samples in new.items():
-            if step not in known:
-                self.handle.registerTimer((step + self.step) * 1000)
-            known[step] = (None, sorted([*known.get(step, (None, []))[1], *samples]))
-        last = self.before.get()[0] if self.before.exists() else None
-        for step in sorted(known):
-            growth, samples = known[step]
-            grown = 0
-            for _, _, value in samples:
-                grown += 0 if last is None else value if value < last else value - last
-                last = value
-            if grown != growth:
-                yield Row(**dict(zip(self._names(key), key)), step=step, growth=grown)
-            if grown != growth or step in new:
-                self.steps.updateValue((step,), (grown, samples))
+        new = sorted((row["micros"], row["id"], row["value"]) for row in rows)
+        known = {place[0]: [tuple(sample) for sample in value[0]] for place, value in self.steps.iterator()}
+        before = self.before.get()
+        last = None if before is None else before[0]
+        old = self._growth(itertools.chain.from_iterable(known[first] for first in sorted(known)), last)
+        ends = {first: self._step_of(known[first][-1]) for first in known}
+        firsts, changed, fresh = sorted(known), {}, []
+        for sample in new:
+            at = bisect.bisect_right(firsts, self._step_of(sample)) - 1
+            if at < 0 or (at == len(firsts) - 1 and self._step_of(sample) > ends[firsts[at]]):
+                fresh.append(sample)
+            else:
+                changed.setdefault(firsts[at], []).append(sample)
+        for first, samples in changed.items():
+            known[first] = sorted(known[first] + samples)
+        # Samples before all entries and those after them never share an entry.
+        early = [sample for sample in fresh if firsts and self._step_of(sample) < firsts[0]]
+        for samples in [early, fresh[len(early) :], *[known[first] for first in changed]]:
+            for run in self._runs(samples):
+                first, end = self._step_of(run[0]), self._step_of(run[-1])
+                known[first] = run
+                self.steps.updateValue((first,), (run,))
+                if ends.get(first) != end:
+                    self.handle.registerTimer((end + self.step) * 1000)
+        names = self._names(key)
+        for step, growth in self._growth(itertools.chain.from_iterable(known[first] for first in sorted(known)), last).items():
+            if old.get(step) != growth:
+                yield Row(**dict(zip(names, key)), step=step, growth=growth)
+
+    def _step_of(self, sample: tuple) -> int:
+        return sample[0] // (self.step * 1_000_000) * self.step
+
+    def _growth(self, samples: Iterable[tuple], last: int | None) -> dict[int, int]:
+        """Growth of each step of samples in order."""
+        found: dict[int, int] = {}
+        for sample in samples:
+            step, value = self._step_of(sample), sample[2]
+            found[step] = found.get(step, 0) + (0 if last is None else value if value < last else value - last)
+            last = value
+        return found
+
+    def _runs(self, samples: list[tuple]) -> Iterator[list[tuple]]:
+        """Samples in order, cut into runs of whole steps."""
+        steps = [list(of) for _, of in itertools.groupby(samples, key=self._step_of)]
+        for at in range(0, len(steps), RUN):
+            yield list(itertools.chain.from_iterable(steps[at : at + RUN]))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        step = expiredTimerInfo.getExpiryTimeInMs() // 1000 - self.step
-        # Timers of one batch may come in any order; what an earlier step leaves is never put over that of a later one.
-        if self.steps.containsKey((step,)):
-            earlier = [place[0] for place in self.steps.keys() if place[0] <= step]
-            self.before.update((self.steps.getValue((step,))[1][-1][2],))
-            for place in earlier:
-                self.steps.removeKey((place,))
+        passed = expiredTimerInfo.getExpiryTimeInMs() // 1000 - self.step
+        # Timers of one batch may come in any order; what an earlier entry leaves is never put over that of a later one.
+        gone = [(place[0], value[0][-1]) for place, value in self.steps.iterator() if self._step_of(tuple(value[0][-1])) <= passed]
+        if gone:
+            self.before.update((max(gone)[1][2],))
+            for first, _ in gone:
+                self.steps.removeKey((first,))
         return iter(())
 
     def _names(self, key) -> list[str]:

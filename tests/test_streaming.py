@@ -1,6 +1,7 @@
 """Streams cut into several micro-batches give what the batch programs give."""
 
 import datetime
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -230,3 +231,63 @@ def test_counters_with_late_samples(spark):
 def test_many_names_in_several_messages(spark):
     told = triggers.batch_summary(spark.range(5000).select(F.col("id").cast("string").alias("name")), "name", "t").collect()
     assert len(told) > 1 and sum(row["record_count"] for row in told) == 5000
+
+
+class _State:
+    """The state of one key in memory, counting the calls that change it."""
+
+    def __init__(self):
+        self.values, self.value, self.calls = {}, None, 0
+
+    def iterator(self):
+        return iter([((first,), value) for first, value in self.values.items()])
+
+    def updateValue(self, key, value):
+        self.calls += 1
+        self.values[key[0]] = value
+
+    def removeKey(self, key):
+        del self.values[key[0]]
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+    def registerTimer(self, at):
+        self.calls += 1
+
+
+def test_counters_keep_runs_of_steps():
+    """Few calls to the state for many steps, and the growth of the sorted samples in whatever batches they come."""
+    pick = random.Random(5)
+    samples = sorted((pick.randint(0, 6000) * 1_000_000, n, pick.randint(0, 9)) for n in range(600))
+    for batches in (1, 4, 25):
+        state, before, told_ = _State(), _State(), {}
+        counters = keyed.Counters(15, "name")
+        counters.handle, counters.steps, counters.before = state, state, before
+        given = samples[:]
+        pick.shuffle(given)
+        for at in range(batches):
+            rows_ = [dict(zip(("micros", "id", "value"), sample)) for sample in given[at::batches]]
+            told_.update({row["step"]: row["growth"] for row in counters.handleInputRows(("x",), rows_, None)})
+        assert told_ == counters._growth(samples, None)
+        assert sorted(sample for value in state.values.values() for sample in value[0]) == samples
+        assert batches > 1 or state.calls <= 2 * (len(told_) // keyed.RUN + 1)
+        assert all(first == counters._step_of(value[0][0]) for first, value in state.values.items())
+        assert max(len({counters._step_of(s) for s in value[0]}) for value in state.values.values()) <= keyed.RUN
+
+
+def test_means_count_a_series_once_a_window(spark):
+    """Every window by brute force, series and times with nulls."""
+    pick = random.Random(9)
+    begin = datetime.datetime(2024, 1, 1)
+    given = [(pick.choice(["a", "b", None]), pick.randint(1, 4), begin + datetime.timedelta(seconds=pick.randint(0, 3000)), pick.randint(0, 50)) for _ in range(200)]
+    given += [("a", 1, None, 7), ("a", 1, None, 8), ("b", 2, None, 9)]
+    grown = spark.createDataFrame(given, "kind string, name int, ts timestamp, increase bigint")
+    each = series.sliding_growth(grown, ["kind", "name"], "ts")
+    want = each.groupBy("window_start").agg((F.sum("growth").cast("double") / 300 / F.count("*")).alias("mean_rate"))
+    found = series.mean_rates(grown, ["kind", "name"], "ts")
+    assert rows(found) == rows(want) and found.count() > 200
+    assert "kind" not in found._jdf.queryExecution().optimizedPlan().toString().split("Generate")[0]  # no series is dealt to windows
