@@ -72,7 +72,7 @@ def term_counts(value) -> Column:
         return named(first, lambda starts: F.transform(starts, lambda at, i: F.struct(F.get(sorted_, at).alias("term"), (F.coalesce(F.get(starts, i + 1), size) - at).alias("tf"))))
 
     none = F.array().cast("array<struct<term:string,tf:int>>")
-    return named(F.array_sort(words(value)), lambda sorted_: F.when(F.size(sorted_) > 0, counted(sorted_)).otherwise(none))
+    return named(F.sort_array(words(value)), lambda sorted_: F.when(F.size(sorted_) > 0, counted(sorted_)).otherwise(none))
 
 
 def one_space(value) -> Column:

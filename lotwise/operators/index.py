@@ -30,7 +30,7 @@ def write_index(df: DataFrame, path: str, text: str, stored: Sequence[str]) -> N
         listed = counted.select("row", "length", F.explode("_counts").alias("one")).select("one.term", F.expr(f"row DIV {SEGMENT}").alias("segment"), "row", "one.tf", "length")
         # Segments are bounded by their row numbers, and the range exchange serves the grouping too.
         grouped = listed.repartitionByRange("term", "segment").groupBy("term", "segment")
-        lists = grouped.agg(F.count("*").alias("documents"), F.array_sort(F.collect_list(F.struct("row", "tf", "length"))).alias("entries"))
+        lists = grouped.agg(F.count("*").alias("documents"), F.sort_array(F.collect_list(F.struct("row", "tf", "length"))).alias("entries"))
         lists.sortWithinPartitions("term", "segment").write.parquet(f"{path}/terms")
 
 

@@ -75,7 +75,7 @@ def postings(df: DataFrame, key: str, text: str, segment: int = 1024) -> DataFra
     gathered = counted.groupBy("term", part).agg(
         F.count("*").alias("documents"),
         F.sum("tf").alias("occurrences"),
-        F.array_sort(F.collect_list(F.struct(F.col(key).alias("id"), "tf"))).alias("_list"),
+        F.sort_array(F.collect_list(F.struct(F.col(key).alias("id"), "tf"))).alias("_list"),
     )
     written = F.transform("_list", lambda p: F.concat(p["id"].cast("string"), F.lit(":"), p["tf"].cast("string")))
     return gathered.select("term", "segment", "documents", "occurrences", F.array_join(written, " ").alias("postings"))

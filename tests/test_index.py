@@ -125,3 +125,12 @@ def test_few_names_are_measured(spark, named):
 def test_a_threshold_of_zero_is_refused(spark, named):
     with pytest.raises(ValueError):
         trigrams.similar(spark, named[1], "ring", 0.0)
+
+
+def test_words_and_lists_are_sorted_natively(indexed):
+    """No comparison by expression for each pair of words or entries."""
+    docs, _, path = indexed
+    for df in (docs.select(term_counts("body")), search.postings(docs, "id", "body")):
+        assert "lambdafunction(if" not in df._jdf.queryExecution().analyzed().toString().lower()
+    lists = docs.sparkSession.read.parquet(f"{path}/terms")
+    assert lists.where("documents <> size(entries) OR entries <> array_sort(entries)").count() == 0
