@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType
 
-CHUNK_BYTES = 1_000_000
+CHUNK_BYTES = 250_000
 BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so that its powers have inverses modulo 2**64
 BASE_INVERSE = np.uint64(pow(int(BASE), -1, 2**64))
 

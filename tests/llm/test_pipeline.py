@@ -3,7 +3,10 @@ import re
 import pytest
 
 import __spark_entry__
+import pyarrow as pa
+
 import corpus_pipeline
+from lotwise.llm import batches
 from lotwise.llm import bpe
 from lotwise.llm.queries import QUERIES, SQL
 from lotwise.sources.tables import SCHEMAS
@@ -74,3 +77,10 @@ def test_documents_are_told_apart_by_id_and_text(spark, tmp_path):
     assert kept == [("3", two + " end"), ("3", f"x {item} y"), ("5", one)]
     clean = sorted((str(r["doc_id"]), str(r["text"])) for r in steps["decontamination"](spark, docs, str(tmp_path)).collect())
     assert clean == sorted((str(key), str(text)) for key, text in rows if not text or item not in text)
+
+
+def test_chunks_are_small():
+    """What a task holds beside a batch follows the chunk: a few hundred kilobytes of text, or one longer text."""
+    batch = pa.record_batch({"text": ["x" * 100_000] * 9 + ["y" * 600_000, None]})
+    sizes = [sum(len(text or "") for text in piece.column(0).to_pylist()) for piece in batches.chunks(batch, 0)]
+    assert sum(sizes) == 1_500_000 and max(sizes) == 600_000 and sorted(sizes)[-2] <= 250_000
