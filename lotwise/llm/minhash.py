@@ -255,11 +255,14 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", perc
 
 
 def _links(first: DataFrame, df: DataFrame, key: str, text: str, percent: int) -> DataFrame:
-    keyed = first.select("doc_id", F.posexplode("bands").alias("band", "key"))
+    keyed = first.select("doc_id", F.explode("bands").alias("key"))
     hubs = keyed.groupBy("key").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("last")).where("hub < last")
     buckets = stage(keyed.join(hubs.select("key", "hub"), "key"), "buckets")
     first = stage(first.drop("bands"), "representatives")
     marks = first.select("doc_id", "bits")
+    # All pairs below lie in buckets. Their texts are picked once, so that no other step moves all texts.
+    texts = df.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    texts = stage(texts.join(buckets.select("doc_id").distinct(), "doc_id"), "texts")
 
     def alike(left: str, right: str) -> Column:
         return estimate(F.col(left), F.col(right)) >= percent / 100 - slack_for(percent)
@@ -271,10 +274,10 @@ def _links(first: DataFrame, df: DataFrame, key: str, text: str, percent: int) -
     met = stage(met.join(left, "a").join(right, "b").where(alike("left", "right")).select("a", "b", "shared").distinct(), "hubs")
     best = met.groupBy("a").agg(F.max(F.struct("shared", (-F.col("b")).alias("low"))).alias("best"))
     best = best.select("a", (-F.col("best.low")).alias("b"))
-    links = confirmed(best, df, key, text, percent)
+    links = confirmed(best, texts, "doc_id", "text", percent)
     place = stage(components(links), "components")
     rest = _across(met.select("a", "b"), place).join(best, ["a", "b"], "left_anti")
-    links = links.unionByName(confirmed(rest, df, key, text, percent))
+    links = links.unionByName(confirmed(rest, texts, "doc_id", "text", percent))
 
     # What still shares a bucket with another component: pairs that share one of their rarest shingles.
     place = stage(components(links), "components")
@@ -283,21 +286,21 @@ def _links(first: DataFrame, df: DataFrame, key: str, text: str, percent: int) -
     open_ = placed.join(keys.select("key"), "key").select("doc_id", "component").distinct()
     open_ = stage(open_.join(marks, "doc_id"), "open")
     with scratch(df.sparkSession) as keep:
-        rarest = keep(stage(_rarest(open_, df, key, text, percent), "rarest"))
+        rarest = keep(stage(_rarest(open_, texts, percent), "rarest"))
     rare = _partnered(rarest, percent)
     one, two = (rare.select(*(F.col(name).alias(name + side) for name in rare.columns)) for side in "12")
     sizes = (F.col("n1") <= F.col("reach2")) & (F.col("n2") <= F.col("reach1"))
     apart = (F.col("component1") != F.col("component2")) & (F.col("doc_id1") > F.col("doc_id2")) & sizes
     apart = apart & may_be_near(F.col("sketch1"), F.col("sketch2"), F.col("n1") + F.col("n2"), percent)
     # A pair that shares several of them is made at the first.
-    again = F.arrays_overlap(F.expr("slice(prefix1, 1, at1)"), F.expr("slice(prefix2, 1, at2)"))
+    again = F.arrays_overlap("before1", "before2")
     pairs = one.join(two, (F.col("hash1") == F.col("hash2")) & apart & alike("bits1", "bits2") & ~again)
     pairs = pairs.select(F.col("doc_id1").alias("a"), F.col("doc_id2").alias("b")).distinct()
     pairs = stage(pairs.join(met.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
-    return links.unionByName(confirmed(pairs, df, key, text, percent))
+    return links.unionByName(confirmed(pairs, texts, "doc_id", "text", percent))
 
 
-def _rarest(open_: DataFrame, df: DataFrame, key: str, text: str, percent: int) -> DataFrame:
+def _rarest(open_: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The open documents with their rarest shingles in ``prefix``: n - ceil(n * percent / 100) + 1 of n, of which a
     linked pair shares one. Shingles that no other open document has come first and need no entry.
     """
@@ -314,8 +317,7 @@ def _rarest(open_: DataFrame, df: DataFrame, key: str, text: str, percent: int)
                 columns = [piece.column(0).take(pa.array(owner)), pa.array(n[owner]), pa.array(hashes.view(np.int64)), sketch]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "hash", "sketch"])
 
-    texts = df.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    with rows_per_batch(df.sparkSession, BATCH):
+    with rows_per_batch(texts.sparkSession, BATCH):
         rows = stage(texts.join(open_.select("doc_id"), "doc_id").mapInArrow(each, "doc_id bigint, n bigint, hash bigint, sketch array<bigint>"), "shingles")
     common = rows.groupBy("hash").agg(F.count("*").alias("often")).where("often > 1")
     order = Window.partitionBy("doc_id", "n").orderBy("often", "hash")
@@ -330,7 +332,7 @@ def _rarest(open_: DataFrame, df: DataFrame, key: str, text: str, percent: int)
 
 
 def _partnered(rarest: DataFrame, percent: int) -> DataFrame:
-    """The entries of the prefixes that can have a partner, one a row: ``at`` in the prefix, ``hash``, and ``reach``.
+    """The entries of the prefixes that can have a partner, one a row: ``hash``, the entries ``before`` it, and ``reach``.
 
     Two linked documents of n and m shingles have at least (n + m) * p / (1 + p) in common, so the first that they share
     has at least so many, less one, behind it in both. An entry at rank r of n can thus only join a document of at most
@@ -340,7 +342,7 @@ def _partnered(rarest: DataFrame, percent: int) -> DataFrame:
     rows = rarest.select("*", F.posexplode("prefix").alias("at", "hash"))
     # Of n shingles, the unshared come first: so many less than ``shared`` stand behind.
     rows = rows.withColumn("reach", F.expr(f"(shared - at) * {100 + percent} DIV {percent} - n"))
-    rows = rows.where(F.expr(f"100 * reach >= {percent} * n"))
+    rows = rows.where(F.expr(f"100 * reach >= {percent} * n")).withColumn("before", F.expr("slice(prefix, 1, at)")).drop("prefix", "shared", "at")
     ends = rows.groupBy("hash").agg(F.min("n").alias("least"), F.max("reach").alias("furthest"), F.min("component").alias("x"), F.max("component").alias("y"))
     return rows.join(ends.where("x < y").drop("x", "y"), "hash").where("least <= reach AND furthest >= n").drop("least", "furthest")
 

@@ -101,6 +101,17 @@ def test_pairs_do_not_grow_with_the_square_of_a_family(spark, monkeypatch):
     assert counts[1] < 2.5 * counts[0] and counts[2] < 2.5 * counts[1]
 
 
+def test_only_texts_in_buckets_are_read_again(spark, monkeypatch):
+    """Steps that need whole texts get those of documents that share a bucket, not the whole table each time."""
+    given = []
+    confirmed, rarest = minhash.confirmed, minhash._rarest
+    monkeypatch.setattr(minhash, "confirmed", lambda pairs, df, *args: given.append(df.count()) or confirmed(pairs, df, *args))
+    monkeypatch.setattr(minhash, "_rarest", lambda open_, df, *args: given.append(df.count()) or rarest(open_, df, *args))
+    alone = [(1000 + key, " ".join(f"{word}_{key}" for word in range(40))) for key in range(200)]
+    check(spark, alone + variants(12) + [(500, variants(1)[0][1]), (3, "a second text of one id")])
+    assert len(given) == 4 and max(given) <= 14
+
+
 def test_sketches_never_overstate_a_difference():
     pick = np.random.default_rng(2)
     every = pick.integers(0, 1 << 63, 3000, dtype=np.uint64)
