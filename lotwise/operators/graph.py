@@ -9,16 +9,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lotwise.operators.ordered import row_numbers
-from lotwise.sources.workspace import stage
+from lotwise.sources.workspace import partitions_for, stage
 
 
-def pairs_with_counts(edges: DataFrame, links: DataFrame, reader: str, item: str, category: str) -> DataFrame:
-    """Two-hop pattern reader -> item -> category with the number of paths.
+def pairs_with_counts(edges: DataFrame, links: DataFrame, reader: str, item: str, category: str, rows: int = 0) -> DataFrame:
+    """Two-hop pattern reader -> item -> category with the number of paths, written.
 
-    Edges are first counted per (reader, item), so a reader who reads one item a million times is one row.
+    Edges are first counted per (reader, item), so a reader who reads one item a million times is one row. ``rows`` is about
+    the number of edges; the partitions follow it, since most edges may be different and a task holds those of its share.
     """
-    counted = edges.groupBy(reader, item).agg(F.count("*").alias("_n"))
-    return counted.join(links, item).groupBy(reader, category).agg(F.sum("_n").alias("paths"))
+    with partitions_for(edges.sparkSession, rows):
+        counted = edges.groupBy(reader, item).agg(F.count("*").alias("_n"))
+        return stage(counted.join(links, item).groupBy(reader, category).agg(F.sum("_n").alias("paths")), "paths")
 
 
 def scattered(key: Column) -> Column:
@@ -42,9 +44,13 @@ def picked(readers: DataFrame, items: DataFrame, reader: str, item: str, k: int)
     return asked.join(numbered, "_place").select(reader, item)
 
 
-def counted_edges(edges: DataFrame, reader: str, item: str) -> DataFrame:
-    """(reader, item, n) with each pair once, written: patterns that go over the edges several times read this table."""
-    return stage(edges.groupBy(reader, item).agg(F.count("*").alias("n")), "edges")
+def counted_edges(edges: DataFrame, reader: str, item: str, rows: int = 0) -> DataFrame:
+    """(reader, item, n) with each pair once, written: patterns that go over the edges several times read this table.
+
+    ``rows`` is about the number of edges, for the number of partitions.
+    """
+    with partitions_for(edges.sparkSession, rows):
+        return stage(edges.groupBy(reader, item).agg(F.count("*").alias("n")), "edges")
 
 
 def similar_items(distinct: DataFrame, reader: str, item: str, target: Column, k: int) -> DataFrame:

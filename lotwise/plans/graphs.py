@@ -74,7 +74,7 @@ def picked_articles(t):
     f"""SELECT reader, category, count(*) AS paths FROM {READ} JOIN {IS_IN} USING (article) GROUP BY reader, category""",
 )
 def categories_read(t):
-    return graph.pairs_with_counts(read_edges(t), category_links(t), "reader", "article", "category")
+    return graph.pairs_with_counts(read_edges(t), category_links(t), "reader", "article", "category", t.lineitem.count())
 
 
 @query(
@@ -96,7 +96,7 @@ def most_active(t):
         GROUP BY article ORDER BY common_readers DESC, article LIMIT 10""",
 )
 def similar_articles(t):
-    edges = graph.counted_edges(read_edges(t), "reader", "article")
+    edges = graph.counted_edges(read_edges(t), "reader", "article", t.lineitem.count())
     return graph.similar_items(edges, "reader", "article", _most(edges, "article"), 10)
 
 
@@ -112,7 +112,7 @@ def similar_articles(t):
         GROUP BY l.article ORDER BY relevance DESC, views DESC, l.article LIMIT 10""",
 )
 def recommendations(t):
-    edges = graph.counted_edges(read_edges(t), "reader", "article")
+    edges = graph.counted_edges(read_edges(t), "reader", "article", t.lineitem.count())
     views = edges.groupBy("article").agg(F.sum("n").alias("views"))
     who = _most(edges, "reader")
     return graph.recommend(edges, category_links(t), views, "reader", "article", "category", who, 10)

@@ -17,6 +17,9 @@ from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Rows that one task sorts or groups, where the number of partitions follows the table.
+TASK_ROWS = 1_000_000
+
 _local_folder: str | None = None
 _made: list[str] = []
 _inside: ContextVar[list[str] | None] = ContextVar("_inside", default=None)
@@ -80,6 +83,27 @@ def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
             outer.extend(kept)
 
 
+@contextmanager
+def partitions_for(spark: SparkSession, rows: int) -> Iterator[None]:
+    """While it lasts, a shuffle has a partition for every ``TASK_ROWS`` rows, or the session's number if that is larger.
+
+    What one task sorts or groups then stays the same when tables grow. Adaptive execution still merges small partitions,
+    up to 16 MB. For steps that write their result inside; a lazy one would run with the session's settings.
+    """
+    wanted = {
+        "spark.sql.shuffle.partitions": str(max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // TASK_ROWS))),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
+    }
+    before = {name: spark.conf.get(name) for name in wanted}
+    try:
+        for name, value in wanted.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def layout(spark: SparkSession, label: str, sources: Sequence[str], write: Callable[[str], None]) -> str:
     """The folder of a table that ``write`` derives from the files at ``sources``: written by whoever asks first, then reused.
 

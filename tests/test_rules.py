@@ -180,6 +180,22 @@ def test_graph(spark):
     assert merged.count() == 7
 
 
+def test_partitions_of_paths_follow_the_edges(spark, monkeypatch):
+    """The shuffles have a partition for each share of the edges, and the session's settings are as before afterwards."""
+    names = ["spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes"]
+    before, seen, real = [spark.conf.get(name) for name in names], [], graph.stage
+    monkeypatch.setattr(graph, "stage", lambda df, label: seen.append(int(spark.conf.get(names[0]))) or real(df, label))
+    monkeypatch.setattr("lotwise.sources.workspace.TASK_ROWS", 100)
+    edges = spark.range(5000).selectExpr("id % 70 AS reader", "id % 9 AS article")
+    links = spark.range(9).selectExpr("id AS article", "id % 2 AS category")
+    found = graph.pairs_with_counts(edges, links, "reader", "article", "category", 5000)
+    graph.counted_edges(edges, "reader", "article", 5000)
+    graph.counted_edges(edges, "reader", "article")
+    assert seen == [50, 50, int(before[0])] and [spark.conf.get(name) for name in names] == before
+    counts = {(r["reader"], r["category"]): r["paths"] for r in found.collect()}
+    assert len(counts) == 140 and sum(counts.values()) == 5000
+
+
 def test_every_reader_picks_different_items(spark):
     readers, items = spark.range(300).withColumnRenamed("id", "r"), spark.range(1000, 1040).withColumnRenamed("id", "i")
     found = graph.picked(readers.union(readers), items, "r", "i", 5).collect()
