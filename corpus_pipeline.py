@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotwise.llm import bpe, decontaminate, minhash, pii, quality
+from lotwise.llm.members import with_listed
 from lotwise.sources.tables import Tables
 from lotwise.sources.workspace import stage
 
@@ -38,11 +39,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "key")
     best = named.groupBy("component").agg(F.min_by("key", order).alias("best"))
     found = stage(named.join(best, "component").select("key", "rows", (F.col("key") == F.col("best")).alias("kept")), "kept")
-    # Most rows stay as they are; where a row is repeated, one of them does. Both parts come from one join.
-    marked = docs.withColumn("key", key).join(found.where("NOT kept OR rows > 1").select("key", "kept"), "key", "left")
+    # Most rows stay as they are, where they are; where a row is repeated, one of them does. Both parts of what may not stay
+    # come from one join.
+    changed = found.where("NOT kept OR rows > 1").select("key", "kept")
+    told = with_listed(docs.withColumn("key", key), "key", changed.select("key"))
+    marked = told.where("listed").join(changed, "key", "left")
     one = F.min_by(F.struct(*COLUMNS), F.xxhash64(*COLUMNS)).alias("row")
     once = marked.where("kept").groupBy("key", "doc_id", F.xxhash64("text")).agg(one).select("row.*")
-    return marked.where("kept IS NULL").select(*COLUMNS).unionByName(once)
+    return told.where("NOT listed").select(*COLUMNS).unionByName(marked.where("kept IS NULL").select(*COLUMNS)).unionByName(once)
 
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

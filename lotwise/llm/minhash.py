@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from lotwise.llm.batches import chunks, mixed, range_hashes, rows_per_batch, runs, texts_of, utf8_of, weighted
 from lotwise.llm.components import components
+from lotwise.llm.members import with_listed
 from lotwise.sources.workspace import scratch, stage
 
 WIDTH = 5
@@ -260,9 +261,11 @@ def _links(first: DataFrame, df: DataFrame, key: str, text: str, percent: int) -
     buckets = stage(keyed.join(hubs.select("key", "hub"), "key"), "buckets")
     first = stage(first.drop("bands"), "representatives")
     marks = first.select("doc_id", "bits")
-    # All pairs below lie in buckets. Their texts are picked once, so that no other step moves all texts.
+    # All pairs below lie in buckets. Their texts are picked once; no step moves all texts.
+    bucketed = stage(buckets.select("doc_id").distinct(), "bucketed")
     texts = df.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    texts = stage(texts.join(buckets.select("doc_id").distinct(), "doc_id"), "texts")
+    texts = with_listed(texts, "doc_id", bucketed).where("listed").drop("listed")
+    texts = stage(texts.join(bucketed, "doc_id"), "texts")
 
     def alike(left: str, right: str) -> Column:
         return estimate(F.col(left), F.col(right)) >= percent / 100 - slack_for(percent)
